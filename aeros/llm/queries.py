@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, flac, neardup, packing, pii, toxicity
 from .common import table
 
 
@@ -13,6 +14,42 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+def op2_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.digests(flac.encode_column(table(spark, sf_dir, "documents")))
+
+
+#: Names the surrogates; a deployment passes its own secret.
+PII_KEY = b"surrogate-key-of-the-registered-query"
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.surrogates(table(spark, sf_dir, "documents"), PII_KEY)
+    return out.select("doc_id", "text", F.size("pii_kinds").alias("n_entities"), "pii_kinds")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.components(table(spark, sf_dir, "documents"), size=2)
+
+
+def fold(parts: int) -> Column:
+    """The part of its table that a document is in."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(fold(4) != 2)
+    return toxicity.learn(labels, table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op2_flac": op2_flac, "op5_pii": op5_pii, "op6_packing": op6_packing, "op7_neardup": op7_neardup, "op9_toxicity": op9_toxicity}
 
 ORACLES: dict[str, str] = {}
