@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 NEVER = 1 << 60
 #: Unicode White_Space; str.split() also splits at U+001C..U+001F, which are not in it.
@@ -201,17 +202,16 @@ class WordCodec:
         self.names = self.bpe.names | {i: t for t, i in self.special.items()}
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self._words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE}\p{{L}}\p{{N}}]+")
+        self._rules = Tokenizer.from_file(path)
         self.known: dict[str, tuple[bytes, bytes, int]] = {}
         self._word_ids: dict[str, list[int]] = {}
 
     def _plain(self, chunk: str) -> list[int]:
-        if not chunk.isascii():
-            chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")  # lower() alone looks at word ends
         out: list[int] = []
-        for word in self._words.findall(chunk.lower()):
+        for word in self._cut(chunk):
             ids = self._word_ids.get(word)
             if ids is None:
-                ids = self.bpe.encode("".join(map(BYTE_CHARS.__getitem__, word.encode())))
+                ids = self.bpe.encode(word)
                 if len(self._word_ids) > CACHE:
                     self._word_ids.clear()
                 if len(word) < 100:
@@ -219,6 +219,14 @@ class WordCodec:
             out += ids
         return out
 
+    def _cut(self, chunk: str) -> list[str]:
+        """Words in vocabulary characters. Beyond Latin, where Unicode versions differ, the file's own rules cut."""
+        if not chunk.isascii() and max(chunk) > "\u024f":
+            return [w for w, _ in self._rules.pre_tokenizer.pre_tokenize_str(self._rules.normalizer.normalize_str(chunk))]
+        if not chunk.isascii():
+            chunk = unicodedata.normalize("NFC", chunk)
+        return ["".join(map(BYTE_CHARS.__getitem__, w.encode())) for w in self._words.findall(chunk.lower())]
+
     def chunks(self, text: str) -> list[str]:
         """Parts between white space. No token spans two of them."""
         if _ODD_SPACE.search(text):

@@ -7,7 +7,7 @@
 3. A pair's signatures are compared batch by batch. It is dropped once the posterior probability that its
    similarity reaches the threshold falls below MISS; survivors are checked on their full sets.
 4. Buckets whose members are not yet all in one component are searched whole, block against block, by the same
-   test. A block gives only links that join two components, so rows stay in proportion to its members.
+   test; buckets that share members are searched together. A block gives only links that join two components.
 
 A pair at the threshold shares no band with probability (1 - 0.8**6)**40 = 5e-6, less above it.
 
@@ -180,41 +180,74 @@ def _root(up: list[int], i: int) -> int:
 
 def block_links(g: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links within one block, or between its two sides, that join components; pairs already joined are passed over."""
-    g = g.drop_duplicates("id").reset_index(drop=True)
+    g = g.drop_duplicates(["id", "side"]).reset_index(drop=True)
     sig, items = _signatures(list(g["signature"])), [np.frombuffer(x, np.uint64) for x in g["items"]]
-    names = {c: i for i, c in enumerate(dict.fromkeys(g["component"]))}
-    comp, up, out = [names[c] for c in g["component"]], list(range(len(names))), []
-    comps = np.array(comp)
-    for i in range(1, len(g)):
-        others = np.flatnonzero(comps[:i] != comps[i])
+    comp, names = pd.factorize(g["component"])
+    side, ids, up, out = g["side"].to_numpy(), g["id"].to_numpy(), list(range(len(names))), []
+    first = np.flatnonzero(side == 0)
+    for i in np.flatnonzero(side == 1) if side.any() else range(1, len(g)):
+        others = first if side.any() else np.arange(i)
+        others = others[comp[others] != comp[i]]
         if len(others):
             for j in others[likely(np.broadcast_to(sig[i], (len(others), HASHES)), sig[others], percent / 100)]:
-                x, y = _root(up, comp[i]), _root(up, comp[int(j)])
-                if x != y and linked(items[i], items[int(j)], percent):
+                x, y = _root(up, int(comp[i])), _root(up, int(comp[j]))
+                if x != y and linked(items[i], items[j], percent):
                     up[x] = y
-                    out.append((g["id"][int(j)], g["id"][i]))
+                    out.append((ids[j], ids[i]))
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
 def smallest_reachable(links: DataFrame) -> DataFrame:
     """(id, component): the smallest id that links reach from each linked id.
 
-    Labels pass over the links and are then followed one step, so the rounds grow with the logarithm of the
-    longest chain. Each round's labels are a table in the shared folder.
+    In each round an id takes the smallest label among its own, its neighbours' and its label's label, so the rounds
+    grow with the logarithm of the longest chain. Each round's labels are a table in the shared folder.
     """
     both = stored(links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a")).distinct(), "links")
     labels = stored(both.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("m")).select("id", F.least("id", "m").alias("component")), "labels")
     while True:
-        near = both.join(labels.withColumnRenamed("id", "v"), "v").groupBy(F.col("u").alias("id")).agg(F.min("component").alias("m"))
-        step = stored(labels.join(near, "id").select("id", F.col("component").alias("was"), F.least("component", "m").alias("component")), "labels")
-        jump = step.select(F.col("id").alias("component"), F.col("component").alias("next"))
-        new = stored(step.join(jump, "component").select("id", "was", F.least("component", "next").alias("component")), "labels")
+        near = both.join(labels.withColumnRenamed("id", "v"), "v").groupBy(F.col("u").alias("id")).agg(F.min("component").alias("near"))
+        jump = labels.select(F.col("id").alias("component"), F.col("component").alias("next"))
+        new = labels.join(jump, "component").join(near, "id").select("id", F.col("component").alias("was"), F.least("component", "next", "near").alias("component"))
+        new = stored(new, "labels")
         changed = new.filter("component <> was").limit(1).count()
         labels = new.select("id", "component")
         if not changed:
             return labels
 
 
+def _open_pairs(placed: DataFrame) -> DataFrame:
+    """Rows (group, x, y, side, id, component) for the block search of buckets (band, n, rep, component) still open.
+
+    Buckets that share members are one group, searched as a whole where that takes fewer rows than bucket by bucket.
+    In a group, members of its largest component are never compared with each other: they meet only the rest.
+    """
+    several = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("rep").alias("head")).filter("low <> high")
+    rows = stored(placed.join(several.select("band", "head"), "band"), "open")
+    if not rows.limit(1).count():
+        return rows.select(F.lit(0).alias("group"), F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(0).alias("side"), F.col("rep").alias("id"), "component").limit(0)
+    whole = smallest_reachable(rows.select(F.col("head").alias("a"), F.col("rep").alias("b")).filter("a <> b").distinct()).withColumnRenamed("component", "whole")
+    tagged = rows.join(whole.withColumnRenamed("id", "rep"), "rep")
+    cost = lambda n: n * F.ceil(n / BLOCK)
+    apart = tagged.groupBy("whole", "band").agg(F.count("*").alias("m")).groupBy("whole").agg(F.sum(cost(F.col("m"))).alias("apart"))
+    sizes = tagged.select("whole", "rep").distinct().groupBy("whole").agg(F.count("*").alias("m"))
+    joint = apart.join(sizes, "whole").select("whole", (cost(F.col("m")) <= F.col("apart")).alias("joint"))
+    members = stored(tagged.join(joint, "whole").select(F.when(F.col("joint"), F.col("whole")).otherwise(F.col("band")).alias("group"), "joint", "rep", "component").distinct(), "groups")
+    keys = ["group", "joint"]
+    per = members.groupBy(*keys, "component").agg(F.count("*").alias("m"))
+    largest = stored(per.groupBy(*keys).agg(F.sum("m").alias("all"), F.max(F.struct("m", "component")).alias("top")).select(*keys, F.col("top.component").alias("main"), F.ceil(F.col("top.m") / BLOCK).cast("int").alias("mains"), F.ceil((F.col("all") - F.col("top.m")) / BLOCK).cast("int").alias("rests")), "largest")
+    is_main = F.col("component") == F.col("main")
+    own = F.pmod(F.xxhash64("rep"), F.when(is_main, F.col("mains")).otherwise(F.col("rests"))).cast("int")
+    to = lambda n: F.sequence(F.lit(0), n - 1)
+    meet = lambda x, y, side: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"), F.lit(side).alias("side"))
+    with_rest = F.transform(to(F.col("rests")), lambda r: meet(r, F.col("own"), 0))
+    # y of -1 - block stands for another block of the rest
+    among = F.transform(to(F.col("rests")), lambda r: F.struct(F.least(r, F.col("own")).cast("int").alias("x"), (-1 - F.greatest(r, F.col("own"))).cast("int").alias("y"), F.when(r < F.col("own"), 1).otherwise(0).alias("side")))
+    rest = F.concat(F.transform(to(F.col("mains")), lambda m: meet(F.col("own"), m, 1)), among)
+    dealt = members.join(largest, keys).withColumn("own", own)
+    return dealt.select(F.xxhash64(*keys).alias("group"), F.col("rep").alias("id"), "component", F.inline(F.when(is_main, with_rest).otherwise(rest)))
+
+
 def components(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of df: key, n_shingles, component_id (smallest id reachable over links, itself included), kept.
 
@@ -236,16 +269,10 @@ def components(df: DataFrame, key: str = "doc_id", text: str = "text", size: int
     links = stored(verify(pairs, found, percent), "verified")
     labels = smallest_reachable(links)
 
-    # buckets of three or more that hold several components still
-    placed = stored(members.filter("n > 2").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("band", "n", "rep", F.coalesce("component", "rep").alias("component")), "placed")
-    several = placed.groupBy("band", "n").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.sum(F.xxhash64("rep") % (1 << 40)).alias("mark")).filter("low <> high")
-    searched = stored(several.groupBy("n", "low", "high", "mark").agg(F.min("band").alias("band")).select("band"), "open")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    to_search = placed.join(searched, "band").withColumn("blocks", blocks).withColumn("own", own).select(
-        "band", F.col("rep").alias("id"), "component", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("x"), F.greatest(o, F.col("own")).alias("y")))).alias("block")
-    )
-    more = to_search.join(found, "id").select("band", "block.x", "block.y", "id", "component", "signature", "items").groupBy("band", "x", "y").applyInPandas(lambda g: block_links(g, percent), "a long, b long")
+    # of a bucket of two, the pair has been checked
+    placed = members.filter("n > 2").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("component"))
+    to_search = _open_pairs(stored(placed, "placed"))
+    more = to_search.join(found, "id").select("group", "x", "y", "side", "id", "component", "signature", "items").groupBy("group", "x", "y").applyInPandas(lambda g: block_links(g, percent), "a long, b long")
     more = stored(more.distinct(), "links")
     if more.limit(1).count():
         labels = smallest_reachable(links.union(more))

@@ -5,14 +5,17 @@ and full ones. Full pieces are sequences of their own. The others are dealt even
 SHARD pieces; each shard places its pieces, longest first, where the sum over residual gaps of (open bins with that
 gap) ** 2 becomes smallest. Shards keep the work parallel; a shard wastes only its own last open bins.
 
+A piece opens a new sequence only where it fits into no open one: among the open ones the sums of squares decide.
+
 Null and empty texts are a document of the end token alone. Repeated rows are packed once each.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,20 +25,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import BYTE_CHARS
 from .common import stored
 
 #: Pieces that one shard packs, on average.
 SHARD = 20_000
 #: Chunks whose ids a Python worker remembers before it starts anew.
 CACHE = 400_000
-_NOT_PLAIN = re.compile(r" \s| \Z|[\x1c-\x1f\x85]|<\|")
+#: How byte-level files cut a text before merging (fixed value of that format).
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+class _Known(dict):
+    """Ids of a space and the chunk after it; what is not known is encoded."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, chunk: str) -> bytes:
+        if not chunk or chunk[0].isspace():  # such a space belongs to a run of white space
+            raise KeyError(chunk)
+        ids = self.encode(" " + chunk)
+        if len(self) > CACHE:
+            self.clear()
+        if len(chunk) < 100:
+            self[chunk] = ids
+        return ids
 
 
 class ByteCodec:
     """Ids of a byte-level vocabulary file as little-endian 32-bit bytes.
 
     A space before a character that is no white space always begins a token, so the text is cut there and the
-    ids of each cut are remembered.
+    ids of each cut are remembered. Where ids follow the order of the merges, as they do in these files, chunks without
+    special tokens are encoded from ranks; all else by the file's own tokenizer.
     """
 
     def __init__(self, path: str):
@@ -45,22 +68,40 @@ class ByteCodec:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def _run(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each whole text."""
-        texts = [t or "" for t in texts]
-        plain = [None if _NOT_PLAIN.search(t) else t.split(" ") for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known = self.known
-        new = list({c for p in plain if p for c in p[1:] if c not in known})
-        known.update(zip(new, self._run([" " + c for c in new])))
-        firsts = iter(self._run([p[0] if p else t for p, t in zip(plain, texts)]))
-        return [next(firsts) + b"".join(map(known.__getitem__, p[1:])) if p else next(firsts) for p in plain]
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.ranks = self._by_rank(spec)
+        self.known = _Known(self._chunk)
+
+    @staticmethod
+    def _by_rank(spec: dict):
+        model, cut = spec["model"], spec["pre_tokenizer"]
+        vocab = model["vocab"]
+        made = [vocab["".join(m if not isinstance(m, str) else m.split(" ", 1))] for m in model["merges"]]
+        plain = cut == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} and spec["normalizer"] is None
+        if not plain or made != sorted(set(made)) or sorted(vocab.values()) != list(range(len(vocab))) or (made and made[0] < len(vocab) - len(made)):
+            return None
+        import tiktoken
+
+        to_byte = {c: b for b, c in BYTE_CHARS.items()}
+        ranks = {bytes(map(to_byte.__getitem__, t)): i for t, i in vocab.items()}
+        return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _exact(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _chunk(self, text: str) -> bytes:
+        if self.ranks is None or "<|" in text:
+            return self._exact(text)
+        return array("I", self.ranks.encode_ordinary(text)).tobytes()
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids of the whole text."""
+        first, *rest = (text or "").split(" ")
+        try:
+            return self._chunk(first) + b"".join(map(self.known.__getitem__, rest))
+        except KeyError:
+            return self._exact(text)
 
 
 @lru_cache(maxsize=2)
@@ -69,28 +110,31 @@ def codec(path: str) -> ByteCodec:
     return ByteCodec(path)
 
 
-def pieces(df: DataFrame, path: str, capacity: int = 2048, key: str = "doc_id", text: str = "text", end: int = 0) -> DataFrame:
-    """key, piece, start, length, ids_crc32 and ids of each piece of each document."""
+def pieces(df: DataFrame, path: str, capacity: int = 2048, key: str = "doc_id", text: str = "text", end: int = 0, with_ids: bool = True) -> DataFrame:
+    """key, piece, start, length, ids_crc32 and, if asked for, ids of each piece of each document."""
+    names = [key, "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use, last = codec(path), end.to_bytes(4, "little")
         for b in batches:
-            for at in range(0, b.num_rows, 200):
-                part, rows = b.slice(at, 200), []
-                for k, ids in zip(part.column(0).to_pylist(), use.encode(part.column(1).to_pylist())):
-                    ids += last
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                cols: list[list] = [[] for _ in names]
+                for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    ids = use.encode(t) + last
                     n = len(ids) // 4
                     start, stop, i = 0, n % capacity or min(n, capacity), 0
                     while start < n:
                         own = ids[4 * start : 4 * stop]
-                        rows.append((k, i, start, stop - start, zlib.crc32(own), np.frombuffer(own, "<i4")))
+                        row = (k, i, start, stop - start, zlib.crc32(own)) + ((np.frombuffer(own, "<i4"),) if with_ids else ())
+                        for col, v in zip(cols, row):
+                            col.append(v)
                         start, stop, i = stop, stop + capacity, i + 1
-                cols = list(zip(*rows))
                 kinds = (part.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=[key, "piece", "start", "length", "ids_crc32", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInArrow(run, f"{key} {kind}, piece int, start long, length long, ids_crc32 long, ids array<int>")
+    return df.select(key, text).mapInArrow(run, f"{key} {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,4 +178,4 @@ def pack(items: DataFrame, capacity: int = 2048, shard: int = SHARD) -> DataFram
 
 def pack_documents(df: DataFrame, path: str, capacity: int = 2048, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, piece, start, length, ids_crc32, sequence_id, offset of each piece."""
-    return pack(stored(pieces(df, path, capacity, key, text).drop("ids"), "pieces"), capacity)
+    return pack(stored(pieces(df, path, capacity, key, text, with_ids=False), "pieces"), capacity)

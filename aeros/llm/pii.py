@@ -27,7 +27,7 @@ from .common import stored
 
 #: Given names by gender and script, fixed values. A surrogate comes from the same list.
 GIVEN = {
-    ("f", "latin"): "Mary Anna Laura Julia Sarah Emma Sophie Marie Claire Elena Carmen Lucia Isabel Ingrid Petra Monika Heike Sabine Nathalie Camille".split(),
+    ("f", "latin"): "Mary Maria Anna Laura Julia Sarah Emma Sophie Marie Claire Elena Carmen Lucia Isabel Ingrid Petra Monika Heike Sabine Nathalie Camille".split(),
     ("m", "latin"): "John James Robert Michael David Peter Thomas Paul Martin Daniel Carlos Miguel Javier Diego Hans Klaus Stefan Pierre Michel Antoine".split(),
     ("f", "cyrillic"): "Анна Мария Ольга Елена Наталья Ирина Светлана Татьяна".split(),
     ("m", "cyrillic"): "Иван Сергей Дмитрий Алексей Николай Андрей Михаил Павел".split(),
@@ -107,13 +107,11 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
             found.append((2, *m.span(), "iban", flat))
     if not _NAME_WORDS.isdisjoint(text.split()):
         for m in _TITLED.finditer(text):
-            words = m[2].split(" ")
-            start = m.start(2)
-            if len(words) == 2 and words[0] in _GIVEN:
-                found.append((7, start, start + len(words[0]), "given", words[0]))
-            elif len(words) == 2:  # the second capitalised word may belong to the next phrase
-                words = words[:1]
-            found.append((7, start + (len(words[0]) + 1) * (len(words) - 1), start + len(" ".join(words)), "surname", words[-1].casefold()))
+            at = m.start(2)
+            for k, word in enumerate(words := m[2].split(" ")):
+                given = k == 0 and len(words) == 2 and word in _GIVEN
+                found.append((7, at, at + len(word), "given" if given else "surname", word if given else word.casefold()))
+                at += len(word) + 1
         for m in _NAMED.finditer(text):
             found += [(8, *m.span(1), "given", m[1]), (8, *m.span(2), "surname", m[2].casefold())]
     found.sort()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, flac, neardup, packing, pii, toxicity
+from . import bpe, chat, ctw, flac, neardup, packing, pii, topk, toxicity, warc
 from .common import table
 
 
@@ -18,6 +18,14 @@ def op2_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.digests(flac.encode_column(table(spark, sf_dir, "documents")))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 #: Names the surrogates; a deployment passes its own secret.
 PII_KEY = b"surrogate-key-of-the-registered-query"
 
@@ -50,6 +58,38 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_flac": op2_flac, "op5_pii": op5_pii, "op6_packing": op6_packing, "op7_neardup": op7_neardup, "op9_toxicity": op9_toxicity}
-
-ORACLES: dict[str, str] = {}
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repaired(table(spark, sf_dir, "conversations"))
+
+
+def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.scores(table(spark, sf_dir, "documents"), fold(10) != 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_flac, op3_topk, op4_warc, op5_pii, op6_packing, op7_neardup, op8_chat, op9_toxicity, op10_ctw)}
+
+ORACLES = {
+    "op3_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM s QUALIFY rank <= 10
+    """,
+    "op4_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+        ), f AS (
+            SELECT *, min(page_id) OVER (PARTITION BY digest) AS first_id FROM p
+        )
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN n >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 100 AND page_id > first_id THEN first_id END AS refers_to
+        FROM f
+    """,
+}

@@ -1,0 +1,264 @@
+"""BPE, packing, FLAC, PII and chat against their libraries or brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from aeros.llm import bpe, chat, flac, packing, pii
+
+WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+ODD = [None, "", "  ", "a", "Hello, World's  end…", "Σας ΟΔΟΣ İstanbul", "a<|endoftext|>b <|startoftext|>", "x\x1cy \x85z w", "½²³ ١٢ é", "日本語 \U0001f600", "aaaa" * 60, "tab\t\tnew\n\nline \n x", " nb sp "]
+
+
+@pytest.fixture(scope="module")
+def word_codec():
+    return bpe.codec(WORDS)
+
+
+def test_bpe_matches_library(word_codec):
+    library = Tokenizer.from_file(WORDS)
+    for text in ODD:
+        want = library.encode(text or "", add_special_tokens=False).ids
+        assert word_codec.encode(text) == want
+        n, ids, back = word_codec.digest(text)
+        assert (n, ids) == (len(want), hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest())
+        assert back == hashlib.sha256(library.decode(want, skip_special_tokens=False).encode()).hexdigest()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=60))
+def test_bpe_any_text(text):
+    assert bpe.codec(WORDS).encode(text) == _library().encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abt hesin'd.,1\n", max_size=80))
+def test_bpe_letters(text):
+    assert bpe.codec(WORDS).encode(text) == _library().encode(text, add_special_tokens=False).ids
+
+
+_kept: list = []
+
+
+def _library():
+    if not _kept:
+        _kept.append(Tokenizer.from_file(WORDS))
+    return _kept[0]
+
+
+def test_bpe_frames(spark):
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(ODD)], "doc_id long, text string, ids_note string")
+    rows = {r["doc_id"]: r for r in bpe.digests(df, WORDS).collect()}
+    assert len(rows) == len(ODD) and rows[0]["n_tokens"] == rows[1]["n_tokens"] == 0
+    back = bpe.decode(bpe.encode(df, WORDS), WORDS).collect()
+    assert all(hashlib.sha256(r["decoded"].encode()).hexdigest() == rows[r["doc_id"]]["decoded_sha256"] for r in back)
+    assert bpe.digests(df.limit(0), WORDS).count() == 0
+
+
+def test_byte_codec_matches_library():
+    library, texts = Tokenizer.from_file(BYTES), [t for t in ODD] + ["a  b", " lead", "trail ", "x \ny", "it's we'll 's", "a  b"]
+    assert packing.codec(BYTES).ranks is not None
+    for text in texts:
+        assert np.frombuffer(packing.codec(BYTES).encode(text), "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_packing(spark):
+    texts = [None, "", "word " * 5000, *["some words here " * n for n in range(1, 200, 7)]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(1, "")], "doc_id long, text string")
+    rows = packing.pack_documents(df, BYTES).collect()
+    library = Tokenizer.from_file(BYTES)
+    for i, t in enumerate(texts):
+        ids = library.encode(t or "", add_special_tokens=False).ids + [0]
+        own = sorted({(r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows if r["doc_id"] == i})
+        assert sum(r[2] for r in own) == len(ids)
+        for piece, start, length, crc in own:
+            assert zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes()) == crc and length <= 2048
+    by = {}
+    for r in rows:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for items in by.values():
+        at = 0
+        for offset, length in sorted(items):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    total = sum(r["length"] for r in rows)
+    assert len(by) <= -(-total // 2048) + 1
+    assert packing.pack_documents(df.limit(0), BYTES).count() == 0
+
+
+def test_sum_of_squares_choice():
+    bins, offsets = packing.place(np.array([6, 5, 4, 3, 2]), 10)
+    assert bins.tolist() == [0, 1, 0, 1, 1] and offsets.tolist() == [0, 0, 6, 5, 8]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.binary(max_size=900), min_size=1, max_size=6))
+def test_flac_round_trip(payloads):
+    padded = [flac.padded(p) for p in payloads]
+    for want, (pcm, offsets, error) in zip(padded, flac.decode(flac.encode(padded))):
+        assert error is None and (pcm + 128).astype(np.uint8).tobytes() == want and len(offsets) == len(want) // 192
+
+
+def test_flac_damage_and_seek():
+    streams = flac.encode([flac.padded(b"some text, again and again; " * 900), flac.padded(b"")])
+    points = flac.seek_points(streams[0])
+    assert len(points) == 3 and all(streams[0][b : b + 2] == b"\xff\xf8" for _, b in points)
+    bad = bytearray(streams[0])
+    bad[points[1][1] + 20] ^= 1
+    errors = [e for _, _, e in flac.decode([bytes(bad), b"nothing", b"", streams[1]])]
+    assert errors[0] and errors[1] and errors[2] and errors[3] is None
+
+
+def test_flac_linear_predictor():
+    """A hand-made frame: predictor of order 2, precision 4, weights 2 and -1, two Rice partitions, one of them escaped."""
+    x = np.cumsum(np.arange(192) % 5 - 2) % 17 - 8
+    residual = [int(x[i] - ((2 * x[i - 1] - x[i - 2]) >> 0)) for i in range(2, 192)]
+    bits = "0" + format(32 + 1, "06b") + "0" + "".join(format(int(v) & 255, "08b") for v in x[:2])
+    bits += format(3, "04b") + "00000" + format(2, "04b") + format(-1 & 15, "04b") + "00" + "0001" + format(4, "04b")
+    for r in residual[:94]:
+        u = r << 1 if r >= 0 else -2 * r - 1
+        bits += "0" * (u >> 4) + "1" + format(u & 15, "04b")
+    bits += "1111" + format(8, "05b") + "".join(format(r & 255, "08b") for r in residual[94:])
+    bits += "0" * (-len(bits) % 8)
+    head = bytes([0xFF, 0xF8, 0x14, 0x02, 0])
+    crc = 0
+    for b in head:
+        crc = int(flac._CRC8[crc ^ b])
+    frame = head + bytes([crc]) + int(bits, 2).to_bytes(len(bits) // 8, "big")
+    total = int(flac._crc16(np.frombuffer(frame, np.uint8), np.array([0]), np.array([len(frame)]))[0])
+    info = (192 << 16 | 192).to_bytes(4, "big") + bytes(6) + (8000 << 44 | 7 << 36 | 192).to_bytes(8, "big") + bytes(16)
+    stream = b"fLaC\x80" + len(info).to_bytes(3, "big") + info + frame + total.to_bytes(2, "big")
+    pcm, _, error = flac.decode([stream])[0]
+    assert error is None and pcm.tolist() == x.tolist()
+
+
+def test_flac_frames(spark):
+    texts = [None, "", "é" * 300, "a" * 20000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    media = flac.encode_column(df)
+    rows = {r["doc_id"]: r for r in flac.digests(media).collect()}
+    for i, t in enumerate(texts):
+        want = flac.padded((t or "").encode())
+        r = rows[i]
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len((t or "").encode()), len(want), hashlib.sha256(want).hexdigest(), zlib.crc32(want[-16:]))
+    assert rows[0]["media_sha256"] == rows[1]["media_sha256"] and rows[0]["feature"] == rows[1]["feature"]
+    blocks = flac.decode_blocks(media).filter("doc_id = 3").orderBy("sample_offset").collect()
+    assert [b["sample_offset"] for b in blocks] == [0, 12288]
+
+
+KEY = b"k"
+
+
+def test_pii_found_and_left():
+    text = 'Mail Ann.19@mail5.example.com or +1 (771) 555-1655, card 4111 1111 1111 1111, host 10.20.30.40, token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff". Mrs Maria Schmidt met John Keller.'
+    kinds = [s[2] for s in pii.find(text)]
+    assert kinds == ["email", "phone", "card", "ip", "secret", "given", "surname", "given", "surname"]
+    new, _ = pii.rewrite(text, KEY, {})
+    for gone in ("Ann.19", "771", "1111 1111 1111", "10.20.30.40", "24be64", "Maria", "Schmidt", "John", "Keller"):
+        assert gone not in new
+    again = pii.find(new)
+    assert [s[2] for s in again][:5] == kinds[:5]
+    card = next(s[3] for s in again if s[2] == "card")
+    assert pii.luhn(card) and card[0] == "4"
+    for clean in ("order 8007782375593431 of 20240101, version 1.2.3.4.5 at 12:30", "plain words and 3.14", "1234567890", "256.300.1.2", "", None):
+        assert pii.rewrite(clean, KEY, {})[0] == clean
+
+
+def test_pii_consistent():
+    a, _ = pii.rewrite("JOHN.19@MAIL5.EXAMPLE.COM and john.19@mail5.example.com", KEY, {})
+    assert a.split(" and ")[0].lower() == a.split(" and ")[1]
+    b, _ = pii.rewrite("Mr Keller, John Keller", KEY, {})
+    first, second = b.split(", ")
+    assert first.split()[1] == second.split()[1] != "Keller"
+    assert second.split()[0] in pii.GIVEN["m", "latin"]
+    assert pii.surrogate("given", "Ольга", KEY) in pii.GIVEN["f", "cyrillic"]
+    assert pii.rewrite("x 9.8.7.6 y", b"other", {}) != pii.rewrite("x 9.8.7.6 y", KEY, {})
+
+
+def test_pii_collisions(spark):
+    df = spark.createDataFrame([(i, f"call {i % 40 + 100}-{i % 40 + 10}-{i + 1000}") for i in range(80)] + [(80, None), (81, "")], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in pii.surrogates(df, KEY).collect()}
+    assert len(out) == 82 and out[80]["text"] is None and out[81]["text"] == ""
+    new = [out[i]["text"] for i in range(80)]
+    assert len(set(new)) == 80 and all(n != f"call {i % 40 + 100}-{i % 40 + 10}-{i + 1000}" for i, n in enumerate(new))
+    few = spark.createDataFrame([("ssn", f"{i:03d}-11-1111") for i in range(300)], "kind string, form string")
+    assert pii.collisions(few, KEY) is None or pii.collisions(few, KEY).filter("attempt > 0").count() > 0
+
+
+def test_pii_retries(spark):
+    """Surnames of one syllable list collide often: 3 syllables of 16, 3000 names."""
+    names = spark.createDataFrame([("surname", "п" + "".join(c)) for c in itertools.islice(itertools.product("абвгдежз", repeat=4), 3000)], "kind string, form string")
+    tries = pii.collisions(names, KEY)
+    assert tries is not None and tries.count() > 0
+    got = {(r["kind"], r["form"]): r["attempt"] for r in tries.collect()}
+    new = [pii.surrogate("surname", r["form"], KEY, got.get(("surname", r["form"]), 0)) for r in names.collect()]
+    assert len(set(new)) == 3000
+
+
+def _cheapest(roles):
+    """By trying everything: labels, and merge, keep or insert for each turn."""
+    best = 10**9
+    for labels in itertools.product((1, 2, 3), repeat=len(roles)):
+        cost, state, ok = 0, 0, True
+        for own, to in zip(roles, labels):
+            index = chat.ROLES.index(own) + 1 if own in chat.ROLES else 0
+            label = 0 if to == index else chat.RELABEL if index else chat.UNKNOWN
+            ways = []
+            if to in chat._LEGAL[state]:
+                ways.append(label)
+            if to == state:
+                ways.append(label + chat.MERGE)
+            path = chat.bridge(state, to)
+            if path:
+                ways.append(label + chat.INSERT * len(path))
+            if not ways:
+                ok = False
+                break
+            cost, state = cost + min(ways), to
+        if ok:
+            end = chat.bridge(state, 0)
+            if end is not None:
+                best = min(best, cost + chat.INSERT * len(end))
+    return best
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.lists(st.sampled_from(["system", "user", "assistant", "tool", None]), min_size=1, max_size=5), st.integers(0, 5))
+def test_chat_is_cheapest(roles, cut):
+    cut = min(cut, len(roles))
+    parts = [p for p in (roles[:cut], roles[cut:]) if p]
+    got = chat.chain([(i, chat.matrix(p)) for i, p in enumerate(parts)])
+    assert got[0][4] == _cheapest(roles)
+    labels = [x for part, (_, a, b, _, _) in zip(parts, got) for x in chat.repair(part, a, b)]
+    state = 0
+    for to, action, inserted in labels:
+        for n in inserted:
+            assert n in chat._LEGAL[state]
+            state = n
+        assert to == state if action == "merge" else to in chat._LEGAL[state]
+        state = to
+    assert chat.bridge(state, 0) is not None
+
+
+def test_chat_frames(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "user", "there"), (1, 2, "assistant", "yes"), (2, 0, "Assistant", None), (3, None, None, "x"), (3, None, None, "x")]
+    rows += [(9, i, "user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(301)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.repaired(df).collect()
+    assert len(out) == len(rows)
+    text = lambda c: "".join(r["piece"] for r in sorted((r for r in out if r["conv_id"] == c), key=lambda r: (r["stretch"], r["place"])))
+    assert text(1) == "<|user|>\nhi\nthere<|end|>\n<|assistant|>\nyes<|end|>\n"
+    assert text(2).startswith("<|user|>\n<|end|>\n<|assistant|>\n") or text(2).startswith("<|user|>\n")
+    assert text(9).count("<|user|>") == 151 and text(9).endswith("<|assistant|>\n<|end|>\n") and text(9).count("<|end|>") == 302
+    assert {r["total_cost"] for r in out if r["conv_id"] == 9} == {chat.INSERT}
+    assert chat.repaired(df.limit(0)).count() == 0
