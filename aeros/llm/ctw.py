@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-DEPTH = 5
+DEPTH = 6
 #: Rows of a bucket; bytes that are worked on at a time; contexts in a part of the tree, about.
 BUCKET, CHUNK, PART = 8192, 4 << 20, 150_000
 #: Ways in which the contexts that share their two nearest bytes are dealt over parts.
