@@ -12,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark(tmp_path_factory):
     from aeros.session import build_session
 
-    s = build_session("tests", "local[4]", {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"})
+    s = build_session("tests", "local[2]", {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"})
     s.sparkContext.setLogLevel("ERROR")
     s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield s
