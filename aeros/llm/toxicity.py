@@ -28,6 +28,8 @@ from .common import stored
 
 #: Labelled rows that the model is learned from at most (in expectation), and learned lexicon words at most.
 SAMPLE, WORDS = 20_000, 500
+#: Parts of the sample; each is scored by trees learned from the others.
+FOLDS = 3
 #: Insults and curses, fixed values.
 INSULTS = """idiot idiots moron morons stupid dumb loser losers scum trash garbage worthless pathetic disgusting clown clowns
 fool fools jerk liar pig vermin filth coward hate kill die shut ugly bastard bitch shit fuck fucking asshole crap
@@ -104,8 +106,8 @@ def _featured(df: DataFrame, columns: list[str], text: str, lexicon: dict[str, f
 def learn(labelled: DataFrame, documents: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE, words: int = WORDS) -> Model:
     """Learn from labelled (key, label) and the texts of documents (key, text).
 
-    At most about `sample` labelled keys are taken, by a hash of the key; only their texts are read further. Two
-    thirds teach the trees, one third the calibration.
+    At most about `sample` labelled keys are taken, by a hash of the key; only their texts are read further. All
+    teach the trees; the calibration is learned from scores of rows that the trees giving them have not seen.
     """
     known = labelled.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("label"))
     total = known.count()
@@ -133,14 +135,17 @@ def learn(labelled: DataFrame, documents: DataFrame, key: str = "doc_id", text:
     lexicon |= {r["word"]: float(r["lift"]) for r in telling}
 
     table = stored(_featured(rows.select(key, "label", "text"), [key, "label"], "text", lexicon), "features")
-    fold = F.pmod(F.xxhash64(F.col(key), F.lit("fold")), F.lit(3))
-    teach, check = table.filter(fold < 2).coalesce(8), table.filter(fold == 2)
-    if teach.select("label").distinct().count() < 2 or check.select("label").distinct().count() < 2:
-        teach = check = table
-    trees = GBTClassifier(labelCol="label", featuresCol="_features", maxIter=24, maxDepth=3, stepSize=0.25, maxBins=64, minInstancesPerNode=5, seed=11).fit(teach)
-    judged = trees.transform(check).select(vector_to_array("probability")[1].alias("_raw"), F.col("label").cast("double").alias("label"))
+    gbt = GBTClassifier(labelCol="label", featuresCol="_features", maxIter=24, maxDepth=3, stepSize=0.25, maxBins=64, minInstancesPerNode=5, subsamplingRate=0.8, seed=11)
+    fold = F.pmod(F.xxhash64(F.col(key), F.lit("fold")), F.lit(FOLDS))
+    # a row at each end with the share of label 1 keeps the calibration of small samples from the extremes
+    judged = table.sparkSession.createDataFrame([(0.0, share), (1.0, share)], "_raw double, label double")
+    for f in range(FOLDS):
+        teach, check = table.filter(fold != f).coalesce(8), table.filter(fold == f)
+        if teach.select("label").distinct().count() == 2:
+            unseen = gbt.fit(teach).transform(check)
+            judged = judged.unionByName(unseen.select(vector_to_array("probability")[1].alias("_raw"), F.col("label").cast("double").alias("label")))
     scale = IsotonicRegression(featuresCol="_raw", labelCol="label").fit(judged.coalesce(1))
-    return Model(lexicon, trees, scale, share)
+    return Model(lexicon, gbt.fit(table.coalesce(8)), scale, share)
 
 
 def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -235,7 +235,7 @@ def test_toxicity_learns(spark):
 
 
 def test_features():
-    f = dict(zip(toxicity.FEATURES, toxicity.features("YOU id10t!! you i.d.i.o.t, idiot", dict.fromkeys(["idiot"], 1.0))))
+    f = dict(zip(toxicity.FEATURES, toxicity.features("YOU id10t!! i.d.i.o.t, you are an idiot", dict.fromkeys(["idiot"], 1.0))))
     assert f["hits"] == 1 and f["near_you"] == 1 and f["hidden_hits"] >= 1 and f["capitals"] > 0 and f["exclaims"] > 0
     assert toxicity.features(None, {}) == toxicity.features("", {}) == [0.0] * len(toxicity.FEATURES)
 
