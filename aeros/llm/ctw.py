@@ -9,10 +9,11 @@ context of 0 to DEPTH bytes before it, a Krichevsky-Trofimov estimate. Weighted
 they give the probability of a bit given the training documents. A context that training has not seen is no node: the tree
 ends above it. The score sums log10 over the document; the code length per byte follows from it.
 
-On Spark: documents are dealt into buckets of BUCKET neighbouring rows. Each bucket's distinct n-grams and words are
-counted once, summed over buckets, weighted, and sent back to the buckets that hold them. Contexts are grouped by
-their three nearest bytes; the levels above are merged by their nearest byte, and the topmost two (65,535 binary
-nodes at most, by their form) on the driver.
+On Spark: documents are dealt into buckets of BUCKET neighbouring rows. A bucket's distinct n-grams and words are counted
+once and dealt into parts, each as one compressed sorted list; a part sums its lists over all buckets, weighs its
+contexts, and sends each bucket's list back with its values. N-grams are dealt by their nearest bytes; the levels
+above are merged by their nearest byte, and the topmost two (65,535 binary nodes at most, by their form) on the
+driver. Values travel as 32-bit floats; words are told apart by 63-bit hashes.
 
 Null and empty texts are the end token alone. With no training documents every bit has probability 1/2.
 """
@@ -25,6 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +34,8 @@ from pyspark.sql import functions as F
 from .common import stored
 
 DEPTH = 6
-#: Rows of a bucket; bytes that are worked on at a time; contexts in a part of the tree, about.
-BUCKET, CHUNK, PART = 8192, 4 << 20, 150_000
+#: Rows of a bucket; bytes that are worked on at a time; bytes of text for each part of the tree.
+BUCKET, CHUNK, PART = 8192, 2 << 20, 4 << 20
 #: Ways in which the contexts that share their two nearest bytes are dealt over parts.
 SALT = 8
 END = b"\n"
@@ -120,38 +122,129 @@ def _counted(texts: list[bytes | None], train: list[bool]) -> tuple[np.ndarray,
     return np.concatenate([grams[0], tokens[0]]), np.concatenate([grams[1], tokens[1]])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, key, train count) for the rows (bucket, train, text) of a task."""
-    at, texts, train, size, parts = None, [], [], 0, []
-
-    def fold() -> None:
-        nonlocal texts, train, size
-        if texts:
-            parts.append(_counted(texts, train))
-            if len(parts) > 4:
-                parts[:] = [summed(*(np.concatenate(x) for x in zip(*parts)))]
-        texts, train, size = [], [], 0
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        fold()
-        if parts:
-            keys, n = summed(*(np.concatenate(x) for x in zip(*parts)))
-            parts.clear()
-            for i in range(0, len(keys), 100_000):
-                k = keys[i : i + 100_000].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), at)), pa.array(k), pa.array(n[i : i + 100_000])], names=["bucket", "key", "n"])
-
-    for b in batches:
-        for bucket, t, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-            if bucket != at:
-                yield from flush()
-                at = bucket
-            texts.append(text)
-            train.append(t)
-            size += len(text or b"")
-            if size > CHUNK:
-                fold()
-    yield from flush()
+def pack(values: np.ndarray) -> bytes:
+    """Numbers of one type, bytes of one place together, compressed."""
+    wide = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(wide.T).tobytes())
+
+
+def unpack(data: bytes, kind) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel()
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Keys in order, as differences."""
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, np.uint64), dtype=np.uint64)
+
+
+def parts_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """N-grams: 0 to parts - 1, by their two nearest bytes and three bits of the third; words: the same number after."""
+    near = keys >> np.uint64(8 * (DEPTH - 1)) << np.uint64(3) | keys >> np.uint64(8 * (DEPTH - 2)) & np.uint64(SALT - 1)
+    gram = (near * np.uint64(2654435761) & np.uint64(0xFFFFFFFF)) % np.uint64(parts)
+    word = np.uint64(parts) + (keys >> np.uint64(20)) % np.uint64(parts)
+    return np.where(keys >= _WORD_BIT, word, gram).astype(np.int64)
+
+
+def lists(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(part, places of its keys) for each part that has any; keys are in order and stay so."""
+    part = parts_of(keys, parts)
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.concatenate([[True], part[order][1:] != part[order][:-1], [True]])) if len(keys) else [0]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield int(part[order[a]]), order[a:b]
+
+
+def chunks(texts: list[bytes | None]) -> Iterator[slice]:
+    """Runs of texts of about CHUNK bytes."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        if size and size + len(t or b"") > CHUNK:
+            yield slice(start, i)
+            start, size = i, 0
+        size += len(t or b"")
+    if texts:
+        yield slice(start, len(texts))
+
+
+def bucket_keys(texts: list[bytes | None], train: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a bucket in order, with their training counts."""
+    parts: list[tuple] = []
+    for c in chunks(texts):
+        parts.append(_counted(texts[c], train[c]))
+        if len(parts) > 3:
+            parts = [summed(*(np.concatenate(x) for x in zip(*parts)))]
+    return summed(*(np.concatenate(x) for x in zip(*parts))) if parts else (np.empty(0, np.uint64), np.empty(0, np.int64))
+
+
+def _count(bucket_rows: DataFrame, parts: int) -> DataFrame:
+    """(bucket, part, keys, counts) of the rows (bucket, train, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, texts, train, size, folded = None, [], [], 0, []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if texts:
+                folded.append(bucket_keys(texts, train))
+            if folded:
+                keys, n = summed(*(np.concatenate(x) for x in zip(*folded)))
+                rows = [(at, p, pack_keys(keys[i]), pack(n[i].astype(np.uint32 if n[i].max() < 1 << 32 else np.uint64)), int(n[i].max() >= 1 << 32)) for p, i in lists(keys, parts)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32()))], names=["bucket", "part", "keys", "counts", "wide"])
+
+        for b in batches:
+            for bucket, t, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if bucket != at:
+                    yield from flush()
+                    at, texts, train, size, folded = bucket, [], [], 0, []
+                texts.append(text)
+                train.append(t)
+                size += len(text or b"")
+                if size > 8 * CHUNK:
+                    folded.append(bucket_keys(texts, train))
+                    texts, train, size = [], [], 0
+        yield from flush()
+
+    return bucket_rows.mapInArrow(run, "bucket long, part int, keys binary, counts binary, wide int")
+
+
+def _part_sums(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Each list's keys, and the distinct keys of the part with their summed counts."""
+    each = [unpack_keys(k) for k in table.column("keys").to_pylist()]
+    n = [unpack(c, np.uint64 if w else np.uint32).astype(np.int64) for c, w in zip(table.column("counts").to_pylist(), table.column("wide").to_pylist())]
+    return each, *summed(np.concatenate(each), np.concatenate(n))
+
+
+class Lookup:
+    """Values of distinct keys by hashing: a probe costs a memory access where a search in order costs some twenty."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(len(keys) * 3 // 2).bit_length())
+        self.key, self.value = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits)
+        owner, left, slot = np.full(1 << self.bits, -1, np.int64), np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = owner[slot] < 0
+            owner[slot[free]] = left[free]
+            out = owner[slot] != left
+            left, slot = left[out], (slot[out] + 1) & ((1 << self.bits) - 1)
+        used = np.flatnonzero(owner >= 0)
+        self.key[used], self.value[used] = keys[owner[used]], values[owner[used]]
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """Values of keys that are all known. Free slots hold key 0; that key itself, if known, lies before any of them."""
+        slot = self._slot(keys)
+        off = np.flatnonzero(self.key[slot] != keys)
+        while len(off):
+            slot[off] = (slot[off] + 1) & ((1 << self.bits) - 1)
+            off = off[self.key[slot[off]] != keys[off]]
+        return self.value[slot]
 
 
 class _Tree:
@@ -192,14 +285,24 @@ def _number(name: np.ndarray, j: int) -> np.ndarray:
     return (name >> np.uint64(j) << np.uint64(11) | np.uint64(j << 8) | name & np.uint64((1 << j) - 1)).astype(np.int64)
 
 
-def _rise(g: pd.DataFrame) -> pd.DataFrame:
-    """Counts and summed log Pw of a part's nodes at depth 2."""
-    keys, n = summed(g["key"].to_numpy().astype(np.uint64), g["n"].to_numpy())
-    tree, out = _Tree(keys, n, 2), []
-    for j in range(8):
-        _, _, zeros, ones, name, _, child = tree.weigh(j)[2]
-        out.append(pd.DataFrame({"node": _number(name, j), "zeros": zeros, "ones": ones, "child": child}))
-    return pd.concat(out)
+_NODE = "node long, zeros long, ones long, child double"
+
+
+def _rise(parts: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Counts and summed log Pw of a part's nodes at depth 2; of words, their number and kinds at node -1."""
+        _, keys, n = _part_sums(table)
+        if table.column("part")[0].as_py() >= parts:
+            out = [pd.DataFrame({"node": [-1], "zeros": [n.sum()], "ones": [(n > 0).sum()], "child": [0.0]})]
+        else:
+            tree, out = _Tree(keys, n, 2), []
+            for j in range(8):
+                _, _, zeros, ones, name, _, child = tree.weigh(j)[2]
+                out.append(pd.DataFrame({"node": _number(name, j), "zeros": zeros, "ones": ones, "child": child}))
+        both = pd.concat(out)
+        return pa.table({c: pa.array(both[c].to_numpy(), t) for c, t in zip(both.columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64()))})
+
+    return run
 
 
 def _step(zeros, ones, kt, child, share, rest, above):
@@ -233,9 +336,8 @@ def _from_root(level: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": level["node"], "share": share, "rest": rest, "ends": ends})
 
 
-def _fall(g: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
+def _values(keys: np.ndarray, n: np.ndarray, above: pd.DataFrame) -> np.ndarray:
     """log10 probability of each n-gram of a part, given its depth 2 nodes."""
-    keys, n = summed(g["key"].to_numpy().astype(np.uint64), g["n"].to_numpy())
     above = above.sort_values("node")
     names, given = above["node"].to_numpy(), [above[c].to_numpy() for c in ("share", "rest", "ends")]
     tree, total = _Tree(keys, n, 2), np.zeros(len(keys))
@@ -250,22 +352,32 @@ def _fall(g: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
         p = ends[levels[DEPTH][0]]
         bit = (keys >> np.uint64(7 - j) & np.uint64(1)).astype(bool)
         total += np.log10(np.maximum(np.where(bit, p, 1 - p), 1e-300))
-    return pd.DataFrame({"key": keys.view(np.int64), "value": total})
-
-
-def _part(key, parts: int):
-    """Part of an n-gram: by its two nearest bytes and a few bits of the third."""
-    return F.pmod(F.xxhash64(F.shiftright(key, 8 * (DEPTH - 1)), F.pmod(F.shiftright(key, 8 * (DEPTH - 2)), F.lit(SALT))), F.lit(parts)).cast("int")
-
-
-def weighted(counts: DataFrame) -> DataFrame:
-    """(key, log10 probability) of n-grams (key, train count): distinct keys, counts of 0 included."""
-    parts = max(1, counts.count() // PART)
-    dealt = counts.withColumn("part", _part(F.col("key"), parts))
-    schema = "node long, zeros long, ones long, child double"
-    level2 = stored(dealt.groupBy("part").applyInPandas(_rise, schema).groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "child")]).withColumn("nearest", F.shiftright("node", 19)), "level2")
+    return total
+
+
+def _fall(parts: int):
+    def run(table: pa.Table, above: pa.Table) -> pa.Table:
+        """(bucket, word, keys, values): for n-grams log10 probabilities, for words their counts, in the order of the keys."""
+        names, kinds = ("bucket", "word", "keys", "values"), (pa.int64(), pa.bool_(), pa.binary(), pa.binary())
+        if not table.num_rows:
+            return pa.table({n: pa.array([], k) for n, k in zip(names, kinds)})
+        each, keys, n = _part_sums(table)
+        word = table.column("part")[0].as_py() >= parts
+        value = n if word else _values(keys, n, above.to_pandas()).astype(np.float32)
+        own = [pack(value[np.searchsorted(keys, k)]) for k in each]
+        return pa.table(dict(zip(names, (table.column("bucket"), pa.array([word] * len(own), pa.bool_()), table.column("keys"), pa.array(own, pa.binary())))))
+
+    return run
+
+
+def weighted(items: DataFrame, parts: int) -> tuple[DataFrame, int, int]:
+    """(bucket, word, keys, values) for the lists of items, the training tokens and their kinds."""
+    rows = items.groupBy("part").applyInArrow(_rise(parts), _NODE)
+    sums = stored(rows.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "child")]), "sums")
+    total, kinds = sums.filter("node = -1").agg(F.coalesce(F.sum("zeros"), F.lit(0)), F.coalesce(F.sum("ones"), F.lit(0))).first()
+    level2 = sums.filter("node >= 0").withColumn("nearest", F.shiftright("node", 19))
     # at most 256 contexts of one byte with 255 binary nodes each
-    level1 = _from_root(level2.groupBy("nearest").applyInPandas(_merge, schema).toPandas())
+    level1 = _from_root(level2.groupBy("nearest").applyInPandas(_merge, _NODE).toPandas())
 
     def down(g: pd.DataFrame) -> pd.DataFrame:
         low = g["node"].to_numpy()
@@ -276,8 +388,11 @@ def weighted(counts: DataFrame) -> DataFrame:
 
     given = level2.groupBy("nearest").applyInPandas(down, "node long, share double, rest double, ends double")
     salted = given.withColumn("salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALT)])))
-    above = stored(salted.withColumn("part", F.pmod(F.xxhash64(F.shiftright("node", 11), "salt"), F.lit(parts)).cast("int")).drop("salt").distinct(), "above")
-    return dealt.groupBy("part").cogroup(above.groupBy("part")).applyInPandas(lambda a, b: _fall(a, b) if len(a) else pd.DataFrame({"key": [], "value": []}), "key long, value double")
+    near = F.shiftright("node", 11) * SALT + F.col("salt")
+    part = ((near * 2654435761).bitwiseAND(F.lit(0xFFFFFFFF)) % parts).cast("int")
+    above = stored(salted.withColumn("part", part).drop("salt").distinct(), "above")
+    out = items.groupBy("part").cogroup(above.groupBy("part")).applyInArrow(_fall(parts), "bucket long, word boolean, keys binary, values binary")
+    return out, total, kinds
 
 
 def bucketed(df: DataFrame, text: str) -> DataFrame:
@@ -295,36 +410,33 @@ def scores(df: DataFrame, train, key: str = "doc_id", text: str = "text") -> Dat
     train: a boolean column that tells the rows to learn from.
     """
     docs = bucketed(df, text).select("bucket", F.col(key).alias("id"), F.coalesce(train, F.lit(True)).alias("train"), F.col(text).cast("binary").alias("text"))
-    items = stored(docs.select("bucket", "train", "text").mapInArrow(_count, "bucket long, key long, n long"), "items")
-    counts = stored(items.groupBy("key").agg(F.sum("n").alias("n")), "counts")
-    total, kinds = counts.filter("key < 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    values = stored(weighted(counts.filter("key >= 0")).unionByName(counts.filter("key < 0").select("key", F.col("n").cast("double").alias("value"))), "values")
-    known = items.select("bucket", "key").join(values, "key")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = max(8, size // PART)
+    items = stored(_count(docs.select("bucket", "train", "text"), parts), "items")
+    values, total, kinds = weighted(items, parts)
     floor = total + 0.1 * (kinds + 1)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys, value = right.column("key").to_numpy().view(np.uint64), right.column("value").to_numpy()
-        order = np.argsort(keys)
-        keys, value = keys[order], value[order]
-        texts, cols, at = left.column("text").to_pylist(), [[] for _ in range(5)], 0
-        while at < len(texts):
-            stop, size = at, 0
-            while stop < len(texts) and (stop == at or size + len(texts[stop] or b"") <= CHUNK):
-                size += len(texts[stop] or b"")
-                stop += 1
-            own = [words(t) for t in texts[at:stop]]
+        texts, train = left.column("text").to_pylist(), left.column("train").to_pylist()
+        keys = np.concatenate([unpack_keys(k) for k in right.column("keys").to_pylist()])
+        value = np.concatenate([unpack(v, np.int64 if w else np.float32).astype(np.float64) for v, w in zip(right.column("values").to_pylist(), right.column("word").to_pylist())])
+        keys, first = np.unique(keys, return_index=True)
+        of = Lookup(keys, value[first])
+        del keys, value, first
+        cols: list[list] = [[] for _ in range(5)]
+        for at in chunks(texts):
+            own = [words(t) for t in texts[at]]
             streams = [b" ".join(w) + END for w in own]
-            c = value[np.searchsorted(keys, np.concatenate([word_keys(w) for w in own]))]
-            p = value[np.searchsorted(keys, ngram_keys(streams))]
+            c = of(np.concatenate([word_keys(w) for w in own]))
+            p = of(ngram_keys(streams))
             n, lengths = np.array([len(w) + 1 for w in own]), np.array([len(s) for s in streams])
             first, begin = np.cumsum(n) - n, np.cumsum(lengths) - lengths
             score = np.add.reduceat(p, begin)
             for col, v in zip(cols, (n, np.add.reduceat((c > 0).astype(np.int64), first), np.add.reduceat(np.log10((c + 0.1) / floor), first), score, -score / np.log10(2) / lengths)):
                 col.append(v)
-            at = stop
         n, seen, base, score, bits = (np.concatenate(c) if c else np.empty(0) for c in cols)
-        held = pa.array([not t for t in left.column("train").to_pylist()], pa.bool_())
+        held = pa.array([not t for t in train], pa.bool_())
         return pa.table({key: left.column("id"), "held_out": held, "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(seen, pa.int64()), "train_tokens": pa.array(np.full(len(n), total), pa.int64()), "base_score": base, "score": score, "bits_per_byte": bits})
 
     kind = df.schema[key].dataType.simpleString()
-    return docs.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(run, f"{key} {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+    return docs.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(run, f"{key} {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")

@@ -226,12 +226,16 @@ def _open_pairs(placed: DataFrame) -> DataFrame:
     rows = stored(placed.join(several.select("band", "head"), "band"), "open")
     if not rows.limit(1).count():
         return rows.select(F.lit(0).alias("group"), F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(0).alias("side"), F.col("rep").alias("id"), "component").limit(0)
-    whole = smallest_reachable(rows.select(F.col("head").alias("a"), F.col("rep").alias("b")).filter("a <> b").distinct()).withColumnRenamed("component", "whole")
-    tagged = rows.join(whole.withColumnRenamed("id", "rep"), "rep")
+    # buckets are named by their smallest member; a member links the names of its buckets
+    names = stored(rows.groupBy("rep").agg(F.collect_set("head").alias("heads")), "names")
+    pairs = names.select(F.array_min("heads").alias("a"), F.explode("heads").alias("b")).filter("a <> b").distinct()
+    whole = smallest_reachable(pairs).select(F.col("id").alias("first"), F.col("component").alias("whole"))
+    of_member = names.select("rep", F.array_min("heads").alias("first")).join(whole, "first", "left").select("rep", F.coalesce("whole", "first").alias("whole"))
+    tagged = stored(rows.join(of_member, "rep"), "tagged")
     cost = lambda n: n * F.ceil(n / BLOCK)
     apart = tagged.groupBy("whole", "band").agg(F.count("*").alias("m")).groupBy("whole").agg(F.sum(cost(F.col("m"))).alias("apart"))
     sizes = tagged.select("whole", "rep").distinct().groupBy("whole").agg(F.count("*").alias("m"))
-    joint = apart.join(sizes, "whole").select("whole", (cost(F.col("m")) <= F.col("apart")).alias("joint"))
+    joint = stored(apart.join(sizes, "whole").select("whole", (cost(F.col("m")) <= F.col("apart")).alias("joint")), "joint")
     members = stored(tagged.join(joint, "whole").select(F.when(F.col("joint"), F.col("whole")).otherwise(F.col("band")).alias("group"), "joint", "rep", "component").distinct(), "groups")
     keys = ["group", "joint"]
     per = members.groupBy(*keys, "component").agg(F.count("*").alias("m"))

@@ -242,8 +242,9 @@ def test_features():
 
 def test_pipeline_stages(spark):
     docs = table(spark, SF, "documents")
-    kept = corpus_pipeline.drop_toxic(spark, docs, SF)
-    assert kept.columns == docs.columns
+    clashing = docs.withColumns({"score": F.lit(1), "pii_kinds": F.lit("x"), "component_id": F.lit(2)})
+    kept = corpus_pipeline.drop_toxic(spark, clashing, SF)
+    assert kept.columns == clashing.columns
     labels = {r["doc_id"]: r["toxic"] for r in table(spark, SF, "labels").collect()}
     left = {r["doc_id"] for r in kept.select("doc_id").collect()}
     clean = [i for i, y in labels.items() if y == 0]
@@ -251,11 +252,11 @@ def test_pipeline_stages(spark):
 
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     want = brute_components(rows, 5)
-    apart = corpus_pipeline.drop_near_copies(spark, docs, SF)
-    assert {r["doc_id"] for r in apart.collect()} == {i for i, (_, c) in want.items() if c == i} and apart.columns == docs.columns
+    apart = corpus_pipeline.drop_near_copies(spark, clashing, SF)
+    assert {r["doc_id"] for r in apart.collect()} == {i for i, (_, c) in want.items() if c == i} and apart.columns == clashing.columns
 
-    clean = corpus_pipeline.replace_personal_data(spark, docs, SF)
-    assert clean.columns == docs.columns
+    clean = corpus_pipeline.replace_personal_data(spark, clashing, SF)
+    assert clean.columns == clashing.columns
     before = {r["doc_id"]: r["text"] for r in docs.collect()}
     for r in clean.collect():
         spans = pii.find(before[r["doc_id"]])
