@@ -35,7 +35,7 @@ from .common import stored
 
 DEPTH = 6
 #: Rows of a bucket; bytes that are worked on at a time; bytes of text for each part of the tree.
-BUCKET, CHUNK, PART = 8192, 2 << 20, 4 << 20
+BUCKET, CHUNK, PART = 6144, 2 << 20, 4 << 20
 #: Ways in which the contexts that share their two nearest bytes are dealt over parts.
 SALT = 8
 END = b"\n"
@@ -225,7 +225,7 @@ class Lookup:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.bits = max(4, int(len(keys) * 3 // 2).bit_length())
         self.key, self.value = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits)
-        owner, left, slot = np.full(1 << self.bits, -1, np.int64), np.arange(len(keys)), self._slot(keys)
+        owner, left, slot = np.full(1 << self.bits, -1, np.int32), np.arange(len(keys), dtype=np.int32), self._slot(keys)
         while len(left):
             free = owner[slot] < 0
             owner[slot[free]] = left[free]
