@@ -42,7 +42,8 @@ SYLLABLES = {
     "greek": "βαρ γαλ δελ ζαν θερ καλ λεν μαρ νικ παλ ρον σαρ ταλ φαν".split(),
 }
 _GIVEN = {n: gs for gs, names in GIVEN.items() for n in names}
-_NAME_WORDS = frozenset([*_GIVEN, *TITLES, *(f"{t}." for t in TITLES)])
+_NAME_WORDS = frozenset([*_GIVEN, *TITLES])
+_WORD = re.compile(r"\w+")
 _CAP = r"[A-ZÀ-ÖØ-ÞΑ-ΩΆ-ΏА-ЯЁ][\w’'-]*[a-zß-öø-ÿα-ωά-ώа-яё]"
 _TITLED = re.compile(rf"\b({'|'.join(TITLES)})\.? ((?:{_CAP} )?{_CAP})")
 _NAMED = re.compile(rf"\b({'|'.join(_GIVEN)}) ({_CAP})")
@@ -105,7 +106,7 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
         flat = m[0].replace(" ", "")
         if 15 <= len(flat) <= 34 and _iban_ok(flat):
             found.append((2, *m.span(), "iban", flat))
-    if not _NAME_WORDS.isdisjoint(text.split()):
+    if not _NAME_WORDS.isdisjoint(_WORD.findall(text)):  # both patterns begin with such a whole word
         for m in _TITLED.finditer(text):
             at = m.start(2)
             for k, word in enumerate(words := m[2].split(" ")):

@@ -185,6 +185,12 @@ def test_pii_consistent():
     assert pii.rewrite("x 9.8.7.6 y", b"other", {}) != pii.rewrite("x 9.8.7.6 y", KEY, {})
 
 
+@pytest.mark.parametrize("text,found", [("see (Mr. Smith)", ["smith"]), ('"Frau Keller" said', ["keller"]), ("by Jean-Pierre Dupont", ["Pierre", "dupont"]), ("—Anna Weber", ["Anna", "weber"]), ("[Dr Anna Weber]", ["Anna", "weber"])])
+def test_pii_names_behind_marks(text, found):
+    assert [s[3] for s in pii.find(text)] == found
+    assert not any(n.capitalize() in pii.rewrite(text, KEY, {})[0] for n in found)
+
+
 def test_pii_collisions(spark):
     df = spark.createDataFrame([(i, f"call {i % 40 + 100}-{i % 40 + 10}-{i + 1000}") for i in range(80)] + [(80, None), (81, "")], "doc_id long, text string")
     out = {r["doc_id"]: r for r in pii.surrogates(df, KEY).collect()}
