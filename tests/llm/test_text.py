@@ -191,6 +191,23 @@ def test_pii_names_behind_marks(text, found):
     assert not any(n.capitalize() in pii.rewrite(text, KEY, {})[0] for n in found)
 
 
+@pytest.mark.parametrize("text", ["4111 1111 1111 1111 12/27 123", "4111 1111 1111 1111 123", "no 2024 4111 1111 1111 1111", "4111-1111-1111-1111 12 27", "4111111111111111 123", "3782 822463 10005 12/27 1234"])
+def test_pii_card_among_numbers(text):
+    card = "378282246310005" if text[0] == "3" else "4111111111111111"
+    assert [s[2:] for s in pii.find(text)] == [("card", card)]
+    new, _ = pii.rewrite(text, KEY, {})
+    assert [s[2] for s in pii.find(new)] == ["card"] and card not in new.replace(" ", "").replace("-", "")
+
+
+def test_pii_long_cards():
+    for body in ("6212345678901234", "62123456789012345", "621234567890123456", "400000000000000000"):
+        card = next(body + str(d) for d in range(10) if pii.luhn(body + str(d)))
+        assert [s[2:] for s in pii.find(f"card {card}.")] == [("card", card)]
+        new = pii.surrogate("card", card, KEY)
+        assert len(new) == len(card) and pii.luhn(new) and new[0] == card[0]
+    assert pii.find("4111 1111 1111 1112 12/27 123") == []
+
+
 def test_pii_collisions(spark):
     df = spark.createDataFrame([(i, f"call {i % 40 + 100}-{i % 40 + 10}-{i + 1000}") for i in range(80)] + [(80, None), (81, "")], "doc_id long, text string")
     out = {r["doc_id"]: r for r in pii.surrogates(df, KEY).collect()}
