@@ -103,31 +103,45 @@ def stateful_changes(df: DataFrame, station: str = "station_id", ts: str = "time
     return df.groupBy(station).applyInPandasWithState(run, out_schema, state_schema, "append", limit)
 
 
-def hazard_alerts(df: DataFrame, threshold: float, hours: int, value: str = "pm2_5", station: str = "station_id", ts: str = "timestamp") -> DataFrame:
+def hazard_alerts(df: DataFrame, threshold: float, hours: int, value: str = "pm2_5", station: str = "station_id", ts: str = "timestamp", late_hours: int = 24) -> DataFrame:
     """A row per hour of a station in which `value` has been at or above the threshold for `hours` hours or more in a row.
 
-    An hour without rows ends a run. The state is the last hour, the run's length and whether that hour is in it.
+    An hour without rows ends a run. An alert is given with the micro-batch that reaches it; where later rows of the hour
+    raise its peak, or a late hour lengthens its run, the hour is given again, so that its last row (the one of the
+    largest hours_in_row and peak) counts. The state is the peaks of the last late_hours hours, which later batches may
+    still change, and the hour before them with its run's length; rows of hours up to that one are dropped.
     """
     out = T.StructType([T.StructField(station, df.schema[station].dataType), T.StructField("hour_ts", T.TimestampType()), T.StructField("hours_in_row", T.LongType()), T.StructField("peak", T.DoubleType())])
+    state_schema = T.StructType([T.StructField("last", T.LongType()), T.StructField("length", T.LongType()), T.StructField("hours", T.ArrayType(T.LongType())), T.StructField("peaks", T.ArrayType(T.DoubleType()))])
+
+    def lengths(peaks: dict[int, float], last: int | None, length: int) -> dict[int, int]:
+        found = {}
+        for at in sorted(peaks):
+            length = (length + 1 if last is not None and at == last + 1 else 1) if peaks[at] >= threshold else 0
+            found[at], last = length, at
+        return found
 
     def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(frames), ignore_index=True)
         new = new[new[value].notna()]
-        last, length = state.get if state.exists else (None, 0)
-        rows = []
-        for hour, peak in new.groupby(new[ts].dt.floor("h"))[value].max().sort_index().items():
+        last, length, kept, tops = state.get if state.exists else (None, 0, [], [])
+        before = dict(zip(kept, tops))
+        now = dict(before)
+        for hour, peak in new.groupby(new[ts].dt.floor("h"))[value].max().items():
             at = int(hour.timestamp()) // 3600
-            if last is not None and at <= last:
-                continue
-            length = (length + 1 if last is not None and at == last + 1 else 1) if peak >= threshold else 0
-            last = at
-            if length >= hours:
-                rows.append((key[0], hour, length, float(peak)))
-        if last is not None:
-            state.update((last, length))
+            if last is None or at > last:
+                now[at] = max(float(peak), now.get(at, float(peak)))
+        given, runs = lengths(before, last, length), lengths(now, last, length)
+        rows = [(key[0], pd.Timestamp(at * 3600, unit="s"), n, now[at]) for at, n in runs.items() if n >= hours and (n, now[at]) != (given.get(at), before.get(at))]
+        if now:
+            over = [at for at in now if at <= max(now) - late_hours]
+            if over:
+                last, length = max(over), runs[max(over)]
+            left = sorted(at for at in now if last is None or at > last)
+            state.update((last, length, left, [now[at] for at in left]))
         yield pd.DataFrame(rows, columns=[f.name for f in out.fields]).astype({"hours_in_row": np.int64, "hour_ts": "datetime64[ns]"})
 
-    return df.select(station, ts, F.col(value).cast("double").alias(value)).groupBy(station).applyInPandasWithState(run, out, T.StructType([T.StructField("last", T.LongType()), T.StructField("length", T.LongType())]), "append", GroupStateTimeout.NoTimeout)
+    return df.select(station, ts, F.col(value).cast("double").alias(value)).groupBy(station).applyInPandasWithState(run, out, state_schema, "append", GroupStateTimeout.NoTimeout)
 
 
 def sliding_averages(df: DataFrame, length: str = "1 hour", slide: str | None = "15 minutes", values: tuple[str, ...] = ("us_aqi", "pm2_5"), keys: tuple[str, ...] = ("station_id",), ts: str = "timestamp") -> DataFrame:

@@ -50,6 +50,19 @@ def test_hazard(spark, tmp_path):
     assert [(r["hour_ts"].hour, r["hours_in_row"], r["peak"]) for r in out] == [(2, 3, 40.0), (9, 3, 60.0)]
 
 
+@pytest.mark.parametrize("late_hours", [24, 2])
+def test_hazard_of_split_and_late_hours(spark, tmp_path, late_hours):
+    """(file, hour, minute, value): hours 2 and 5 go on in a later file, hour 4 comes after hour 5."""
+    made = [(0, 0, 5, 40.0), (0, 1, 5, 40.0), (0, 2, 5, 10.0), (1, 2, 30, 50.0), (1, 3, 5, 60.0), (2, 5, 5, 40.0), (3, 4, 5, 45.0), (3, 5, 50, 70.0), (4, 6, 5, 10.0)]
+    path = str(tmp_path / "in")
+    for f in range(5):
+        rows = [("a", T0 + dt.timedelta(hours=h, minutes=m), v) for i, h, m, v in made if i == f]
+        spark.createDataFrame(rows, "station_id string, timestamp timestamp, pm2_5 double").coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema("station_id string, timestamp timestamp, pm2_5 double").option("maxFilesPerTrigger", 1).parquet(path)
+    out = run(S.hazard_alerts(stream, 35.0, 3, late_hours=late_hours), "hazard").groupBy("hour_ts").agg({"hours_in_row": "max", "peak": "max"}).orderBy("hour_ts").collect()
+    assert [(r[0].hour, r["max(hours_in_row)"], r["max(peak)"]) for r in out] == [(2, 3, 50.0), (3, 4, 60.0), (4, 5, 45.0), (5, 6, 70.0)]
+
+
 def test_only_newer(spark, tmp_path):
     df = spark.createDataFrame([(i, "a", T0 + dt.timedelta(minutes=m)) for i, m in enumerate([1, 3, 3, 2, 5])], "event_id int, city string, event_time timestamp")
     out = run(S.only_newer(stream_of(spark, df, tmp_path, 5, "event_id")), "newer")
