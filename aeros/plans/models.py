@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from ..ml import regression as L
@@ -11,7 +13,8 @@ from ..schemas import UNIFIED
 from ..streaming import operators as S
 from .base import AIR_TOPIC, TRAIN_END, VAL_END, WEATHER_TOPIC, features, over, register, scratch, sensor, sensors, table
 
-_SMALL = {"maxIter": 5, "maxDepth": 3, "numTrees": 5}
+#: Models that are fitted side by side, and models between two checkpoints of the scored table.
+_JOBS, _CUT = 8, 6
 _NUMERIC = L.FEATURES["pm25"]
 _TARGET = "target_pm25_1h"
 
@@ -21,7 +24,7 @@ def _frame(spark, d):
 
 
 def _trained(spark, d, kind="gbt"):
-    return L.train(_frame(spark, d), _TARGET, _NUMERIC, TRAIN_END, VAL_END, kind=kind, params=_SMALL)
+    return L.train(_frame(spark, d), _TARGET, _NUMERIC, TRAIN_END, VAL_END, kind=kind, params=L.GBT)
 
 
 @register("ml1")
@@ -63,11 +66,28 @@ def ml9(spark, d):
     return L.score(_frame(spark, d).select("station_id", "timestamp", *L.CATEGORICAL, *_NUMERIC), model, _NUMERIC, 1, "models:/pm25_h1/1", "1", "b").select("station_id", "timestamp", "prediction", "horizon", "model_name")
 
 
+def _all_models(spark, d):
+    """The models of job_matrix() by target and horizon, with their numeric features."""
+    frame = add_targets(features(sensor(spark, d))).persist()
+
+    def one(job):
+        target, hours, numeric = job
+        model, _ = L.train(frame, f"target_{target}_{hours}h", numeric, TRAIN_END, VAL_END, params=L.GBT)
+        return (target, f"h{hours}"), (model, numeric)
+
+    try:
+        with ThreadPoolExecutor(_JOBS) as pool:  # fits are many short jobs, so they run side by side
+            return dict(pool.map(one, L.job_matrix()))
+    finally:
+        frame.unpersist()
+
+
 @register("ml10")
 def ml10(spark, d):
-    model, _ = _trained(spark, d)
-    out = L.score_many(features(sensor(spark, d)), {"pm25_h1": (model, _NUMERIC), "pm25_h2": (model, _NUMERIC), "pm25_h3": (None, [])})
-    return L.long_predictions(out, {"pm25_h1": ("pm25", "h1"), "pm25_h2": ("pm25", "h2"), "pm25_h3": ("pm25", "h3")})
+    models = _all_models(spark, d)
+    scratch(spark, "ml10")  # sets the checkpoint folder
+    out = L.score_many(features(sensor(spark, d)), {f"{t}_{h}": m for (t, h), m in models.items()}, cut_every=_CUT)
+    return L.long_predictions(out, {f"{t}_{h}": (t, h) for t, h in models})
 
 
 @register("ml12")

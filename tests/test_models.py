@@ -53,3 +53,30 @@ def test_errors(frame):
     with pytest.raises(ValueError, match="no rows"):
         L.train(frame, TARGET, NUMERIC, "2030-01-01", "2031-01-01")
     assert len(L.job_matrix()) == 36
+
+
+def test_registered_models_have_the_settings(spark, monkeypatch):
+    """Each query that trains does so with the 36 jobs' settings."""
+    from aeros.plans.registry import QUERIES
+
+    class Seen(Exception):
+        pass
+
+    def train(*args, params=None, **kwargs):
+        assert params == L.GBT == {"maxDepth": 6, "maxIter": 100, "stepSize": 0.05, "subsamplingRate": 0.85}
+        raise Seen
+
+    monkeypatch.setattr(L, "train", train)
+    for name in ("ml1", "ml2", "ml4", "ml5", "ml7", "ml9", "ml10", "ml12"):
+        with pytest.raises(Seen):
+            QUERIES[name](spark, SF)
+
+
+def test_all_jobs_are_scored(spark, monkeypatch):
+    from aeros.plans.registry import QUERIES
+
+    monkeypatch.setattr(L, "GBT", {"maxDepth": 1, "maxIter": 1})
+    out = QUERIES["ml10"](spark, SF)
+    rows = features(sensor(spark, SF)).count()
+    counts = {(r["target_feature"], r["forecast_horizon"]): r["count"] for r in out.groupBy("target_feature", "forecast_horizon").count().collect()}
+    assert counts == {(t, f"h{h}"): rows for t, h, _ in L.job_matrix()}
