@@ -163,6 +163,10 @@ def _characters(form: str, stream: _Stream) -> str:
     return "".join(out)
 
 
+def _letters(n: int, stream: _Stream) -> str:
+    return "".join(chr(97 + stream.below(6)) for _ in range(n))
+
+
 def _surname(form: str, script: str, stream: _Stream, attempt: int) -> str:
     parts = SYLLABLES[script]
     return "".join(parts[stream.below(len(parts))] for _ in range(3 + attempt))
@@ -180,8 +184,9 @@ def surrogate(kind: str, form: str, key: bytes, attempt: int = 0) -> str:
     if kind == "email":
         local, _, domain = form.partition("@")
         labels = domain.split(".")
+        # one surrogate of a domain for all its addresses; later attempts lengthen the local part
         place = _Stream(key, "domain", domain, 0)
-        return f"{_characters(local, stream)}@{'.'.join(_characters(x, place) for x in labels[:-1])}.{labels[-1]}"
+        return f"{_characters(local, stream)}{_letters(attempt, stream)}@{'.'.join(_characters(x, place) for x in labels[:-1])}.{labels[-1]}"
     if kind == "card":
         body = form[0] + "".join(str(stream.below(10)) for _ in form[1:-1])
         return next(body + str(d) for d in range(10) if luhn(body + str(d)))
@@ -195,7 +200,7 @@ def surrogate(kind: str, form: str, key: bytes, attempt: int = 0) -> str:
         head = max(0, len(form) - 10)
         tail = "".join(str(stream.below(8) + 2) if i in (0, 3) else str(stream.below(10)) for i in range(len(form) - head))
         return form[:head] + tail
-    return _characters(form, stream)
+    return _characters(form, stream) + (_letters(attempt, stream) if kind == "secret" else "")
 
 
 def dress(kind: str, new: str, original: str) -> str:
@@ -247,19 +252,25 @@ def _tried(entities: DataFrame, secret: bytes) -> DataFrame:
 
 
 def collisions(entities: DataFrame, secret: bytes, most: int = 50) -> DataFrame | None:
-    """(kind, form, attempt) of the entities whose first surrogates are taken; None if all first ones stand."""
+    """(kind, form, attempt) of the entities whose first surrogates are taken; None if all first ones stand.
+
+    Names, e-mail addresses and secrets grow with the attempts, so they always come apart. Numbers keep their format; should
+    it leave too few, that is an error after `most` rounds without progress.
+    """
     entities = stored(entities.filter("kind <> 'given'").distinct(), "entities")
     settled = stored(_tried(entities.withColumn("attempt", F.lit(0)), secret), "tried")
     real = entities.select("kind", F.col("form").alias("new"))
-    changed = False
-    for _ in range(most):
+    changed, fewest, idle = False, None, 0
+    while idle < most:
         owners = settled.groupBy("kind", "new").agg(F.count("*").alias("n"), F.min(F.struct("attempt", "form")).alias("first")).filter("n > 1").select("kind", "new", F.col("first.form").alias("owner"))
         clash = settled.join(owners, ["kind", "new"]).filter("form <> owner").select("kind", "form", "attempt")
         taken = settled.join(real, ["kind", "new"], "left_semi").select("kind", "form", "attempt")
         again = stored(clash.union(taken).distinct(), "collisions")
-        if not again.limit(1).count():
+        n = again.count()
+        if not n:
             return stored(settled.filter("attempt > 0").select("kind", "form", "attempt"), "attempts") if changed else None
-        changed = True
+        changed, idle = True, 0 if fewest is None or n < fewest else idle + 1
+        fewest = n if fewest is None else min(n, fewest)
         nxt = _tried(again.withColumn("attempt", F.col("attempt") + 1), secret)
         settled = stored(settled.join(again.select("kind", "form"), ["kind", "form"], "left_anti").unionByName(nxt), "tried")
     raise ValueError("surrogates keep colliding; the key or the formats leave too few")

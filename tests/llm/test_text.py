@@ -228,6 +228,20 @@ def test_pii_retries(spark):
     assert len(set(new)) == 3000
 
 
+def test_pii_small_spaces(spark):
+    """All one-letter addresses of domains that share a surrogate, and a secret without letters or digits."""
+    place = lambda c: pii.surrogate("email", f"a@{c}.com", KEY).partition("@")[2]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    shared = max((tuple(c for c in letters if place(c) == p) for p in map(place, letters)), key=len)
+    assert len(shared) > 1
+    forms = [("email", f"{x}@{c}.com") for c in shared for x in letters] + [("secret", "--------"), ("secret", "a-------")]
+    tries = pii.collisions(spark.createDataFrame(forms, "kind string, form string"), KEY)
+    got = {(r["kind"], r["form"]): r["attempt"] for r in tries.collect()}
+    new = {pii.surrogate(k, f, KEY, got.get((k, f), 0)) for k, f in forms}
+    assert len(new) == len(forms) and new.isdisjoint(f for _, f in forms)
+    assert {n.partition("@")[2] for n in new if "@" in n} == {place(shared[0])}
+
+
 def _cheapest(roles):
     """By trying everything: labels, and merge, keep or insert for each turn."""
     best = 10**9
