@@ -55,7 +55,7 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
-    return scored.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

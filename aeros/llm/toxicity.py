@@ -31,6 +31,8 @@ from .common import stored
 SAMPLE, WORDS = 20_000, 500
 #: Parts of the sample; each is scored by trees learned from the others.
 FOLDS = 3
+#: Least score at which a document is toxic.
+TOXIC = 0.3
 #: Insults and curses, fixed values.
 INSULTS = """idiot idiots moron morons stupid dumb loser losers scum trash garbage worthless pathetic disgusting clown clowns
 fool fools jerk liar pig vermin filth coward hate kill die shut ugly bastard bitch shit fuck fucking asshole crap

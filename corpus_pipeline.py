@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from aeros.llm import neardup, packing, pii, toxicity
 from aeros.llm.common import stored, table
 
-#: Least calibrated probability of label 1 at which a document is rejected.
-REJECT = 0.5
+#: Least calibrated probability of label 1 at which a document is rejected, as in op9_toxicity.
+REJECT = toxicity.TOXIC
 #: Names the surrogates; a deployment passes its own secret.
 PII_KEY = b"surrogate-key-of-the-corpus-pipeline"
 

@@ -264,6 +264,16 @@ def test_pipeline_stages(spark):
         assert all(before[r["doc_id"]][s:e] not in r["text"] for s, e, _, _ in spans)
 
 
+def test_pipeline_rejects_what_is_toxic(spark, monkeypatch):
+    docs = table(spark, SF, "documents")
+    toxic = {r["doc_id"] for r in table(spark, SF, "labels").filter("toxic = 1").collect()}
+    left = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, SF).select("doc_id").collect()}
+    assert toxic and len(toxic - left) / len(toxic) > 0.7
+    monkeypatch.setattr(toxicity, "score", lambda df, model, keep, name: df.withColumn(name, F.col("doc_id") % 10 / 10))
+    left = {r["doc_id"] % 10 for r in corpus_pipeline.drop_toxic(spark, docs, SF).select("doc_id").collect()}
+    assert left == {0, 1, 2}
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF)
     sizes = out.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
