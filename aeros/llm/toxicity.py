@@ -75,7 +75,8 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
         hidden += bare in lexicon or _REPEAT.sub(r"\1", bare) in lexicon
     raw = np.frombuffer(text.encode(), np.uint8)
     upper, lower = int(((raw >= 65) & (raw <= 90)).sum()), int(((raw >= 97) & (raw <= 122)).sum())
-    shouted = sum(map(str.isupper, _WORD.findall(text))) if upper > 0.1 * (upper + lower) else 0
+    caps = np.array([i for i, w in enumerate(_WORD.findall(text)) if w.isupper()])
+    shouted = int((np.searchsorted(caps, caps + WINDOW) - np.arange(len(caps))).max()) if len(caps) else 0
     size = len(raw)
     bangs, asks = text.count("!"), text.count("?")
     marks = int((((raw > 32) & (raw < 48)) | ((raw > 57) & (raw < 65)) | ((raw > 90) & (raw < 97)) | ((raw > 122) & (raw < 127))).sum())
@@ -83,7 +84,7 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
     digits = int(((raw >= 48) & (raw <= 57)).sum())
     return [
         float(len(at)), weight, float(len({words[i] for i in at})), len(at) / n, weight / n, float(dense), near / max(1, len(at)), len(you) / n,
-        upper / max(1, upper + lower), shouted / n, bangs / size, asks / size, marks / size, masks / size, len(mixed) / n, float(hidden), digits / size, math.log1p(len(words)),
+        upper / max(1, upper + lower), shouted / min(n, WINDOW), bangs / size, asks / size, marks / size, masks / size, len(mixed) / n, float(hidden), digits / size, math.log1p(len(words)),
     ]
 
 

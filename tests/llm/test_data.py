@@ -240,6 +240,14 @@ def test_features():
     assert toxicity.features(None, {}) == toxicity.features("", {}) == [0.0] * len(toxicity.FEATURES)
 
 
+def test_shouts_in_long_texts():
+    at = toxicity.FEATURES.index("shouted_words")
+    plain = "an ordinary word " * 700
+    assert toxicity.features(plain, {})[at] == 0
+    assert toxicity.features(plain + "you IDIOT " + plain, {})[at] == 1 / toxicity.WINDOW
+    assert toxicity.features("you IDIOT", {})[at] == 1 / 2
+
+
 def test_pipeline_stages(spark):
     docs = table(spark, SF, "documents")
     clashing = docs.withColumns({"score": F.lit(1), "pii_kinds": F.lit("x"), "component_id": F.lit(2)})
