@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, ctw, flac, neardup, packing, pii, topk, toxicity, warc
-from .common import table
+from .common import stored, table
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +15,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flac.digests(flac.encode_column(table(spark, sf_dir, "documents")))
+    return flac.digests(stored(flac.encode_column(table(spark, sf_dir, "documents")), "streams"))
 
 
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

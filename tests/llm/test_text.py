@@ -156,6 +156,15 @@ def test_flac_frames(spark):
     assert [b["sample_offset"] for b in blocks] == [0, 12288]
 
 
+def test_flac_streams_are_stored(spark, monkeypatch):
+    from aeros.llm import common, queries
+
+    kept = []
+    monkeypatch.setattr(queries, "stored", lambda df, name: kept.append(common.stored(df, name)) or kept[-1])
+    rows = queries.op2_flac(spark, "/root/testdata/sf0.001").collect()
+    assert len(kept) == 1 and kept[0].inputFiles() and kept[0].filter("media IS NOT NULL").count() == len(rows) > 0
+
+
 KEY = b"k"
 
 
