@@ -71,9 +71,10 @@ QUERIES = {f.__name__: f for f in (op1_bpe, op2_flac, op3_topk, op4_warc, op5_pi
 ORACLES = {
     "op3_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+            SELECT vec_id, min(list_transform(embedding, lambda x: floor(1024 * x::DOUBLE))) AS x FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
               AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+            GROUP BY vec_id
         ), s AS (
             SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
             FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0

@@ -83,17 +83,25 @@ def test_posterior_bounds():
     assert len(neardup.likely(hits.astype(np.uint32), np.ones_like(hits, np.uint32), 0.8)) == 2000
 
 
-@pytest.mark.parametrize("n,dims,spread", [(400, 8, 1000), (900, 16, 3), (60, 4, 2), (1, 3, 5)])
+@pytest.mark.parametrize("n,dims,spread", [(400, 8, 1000), (900, 16, 3), (60, 4, 2), (15, 3, 0), (1, 3, 5)])
 def test_index_is_exact(n, dims, spread):
     rng = np.random.default_rng(n)
     x, ids = rng.integers(-spread, spread + 1, (n, dims)), rng.permutation(n * 3)[:n]
-    index = topk.Index(ids, x)
-    for row in range(min(n, 30)):
-        scores = x @ x[row]
-        others = [i for i in range(n) if i != row]
-        want = sorted(((-int(scores[i]), int(ids[i])) for i in others))[:10]
-        got = list(zip(*index.search(x[row], int(ids[row]), 10)))
-        assert [(-int(s), int(i)) for i, s in got] == want
+    index, m = topk.Index(ids, x), min(n, 130)
+    place, found, scores = index.search(x[:m], ids[:m], 10)
+    for row in range(m):
+        every = x @ x[row]
+        want = sorted((-int(every[i]), int(ids[i])) for i in range(n) if i != row)[:10]
+        assert [(-int(s), int(i)) for p, i, s in zip(place, found, scores) if p == row] == want
+
+
+def test_queries_stop_on_proof():
+    """Vectors of few large components: the first strata prove the rest out."""
+    rng = np.random.default_rng(2)
+    x = np.where(rng.random((3000, 24)) < 0.1, rng.integers(800, 1000, (3000, 24)), rng.integers(-3, 4, (3000, 24)))
+    index = topk.Index(np.arange(3000), x)
+    index.search(x[:50], np.arange(50), 10)
+    assert index.taken <= 50 * sum(index.postings[:1]) and sum(index.postings) < 3000 * 24 * 0.2
 
 
 def test_search_frames(spark, monkeypatch):
@@ -102,7 +110,8 @@ def test_search_frames(spark, monkeypatch):
     rng = np.random.default_rng(5)
     rows = [(i, [float(v) for v in rng.normal(0, 0.3, 6).round(3)]) for i in range(300)]
     bad = [(1000, None), (1100, [0.1, None, 0.0, 0.0, 0.0, 0.0]), (1200, [float("nan")] + [0.0] * 5), (1300, [float("inf")] + [0.0] * 5), (None, [0.5] * 6)]
-    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>")
+    twice = [rows[100], rows[100], rows[7], (9, [9.0] * 6)]  # of the last, the smaller vector counts
+    df = spark.createDataFrame([(*r, "s") for r in rows + bad + twice], "vec_id long, embedding array<double>, score string")
     out = topk.search(df, F.col("vec_id") % 100 == 0).collect()
     whole = {i: [math.floor(1024 * v) for v in e] for i, e in rows}
     want = []
@@ -277,7 +286,7 @@ def test_pipeline_rejects_what_is_toxic(spark, monkeypatch):
     toxic = {r["doc_id"] for r in table(spark, SF, "labels").filter("toxic = 1").collect()}
     left = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, SF).select("doc_id").collect()}
     assert toxic and len(toxic - left) / len(toxic) > 0.7
-    monkeypatch.setattr(toxicity, "score", lambda df, model, keep, name: df.withColumn(name, F.col("doc_id") % 10 / 10))
+    monkeypatch.setattr(toxicity, "scored", lambda df, model, keep: df.select(F.struct(*keep).alias("row"), (F.col("doc_id") % 10 / 10).alias("score")))
     left = {r["doc_id"] % 10 for r in corpus_pipeline.drop_toxic(spark, docs, SF).select("doc_id").collect()}
     assert left == {0, 1, 2}
 
