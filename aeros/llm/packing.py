@@ -7,7 +7,8 @@ gap) ** 2 becomes smallest. Shards keep the work parallel; a shard wastes only i
 
 A piece opens a new sequence only where it fits into no open one: among the open ones the sums of squares decide.
 
-Null and empty texts are a document of the end token alone. Repeated rows are packed once each.
+Null and empty texts are a document of the end token alone. Repeated rows are packed once each, rows without an id like
+any other; the result has the key and the columns above, whatever other columns there are.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,12 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import BYTE_CHARS
-from .common import stored
+from .common import slices, stored, tidy
 
 #: Pieces that one shard packs, on average.
 SHARD = 20_000
-#: Chunks whose ids a Python worker remembers before it starts anew.
-CACHE = 400_000
+#: Chunks whose ids a task remembers before it starts anew; with at most 100 characters each they take 30 MB at most.
+CACHE = 100_000
 #: How byte-level files cut a text before merging (fixed value of that format).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -62,16 +63,26 @@ class ByteCodec:
     """
 
     def __init__(self, path: str):
+        self.path = path
+        with open(path, encoding="utf-8") as f:
+            self.ranks = self._by_rank(json.load(f))
+        self.known = _Known(self._chunk)
+
+    @cached_property
+    def tokenizer(self):
+        """The file's own tokenizer, loaded when a text needs it."""
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.ranks = self._by_rank(spec)
-        self.known = _Known(self._chunk)
+        own = Tokenizer.from_file(self.path)
+        own.no_truncation()
+        own.no_padding()
+        return own
+
+    def forget(self) -> None:
+        """Drop what a task has remembered and the tokenizer, which few texts need."""
+        self.known.clear()
+        self.__dict__.pop("tokenizer", None)
 
     @staticmethod
     def _by_rank(spec: dict):
@@ -104,7 +115,7 @@ class ByteCodec:
             return self._exact(text)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def codec(path: str) -> ByteCodec:
     """One per Python worker and file."""
     return ByteCodec(path)
@@ -117,8 +128,7 @@ def pieces(df: DataFrame, path: str, capacity: int = 2048, key: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use, last = codec(path), end.to_bytes(4, "little")
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
+            for part in slices(b, 1, 2 << 20):
                 cols: list[list] = [[] for _ in names]
                 for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     ids = use.encode(t) + last
@@ -134,7 +144,7 @@ def pieces(df: DataFrame, path: str, capacity: int = 2048, key: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInArrow(run, f"{key} {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    return df.select(key, text).mapInArrow(tidy(run, lambda: codec(path).forget()), f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

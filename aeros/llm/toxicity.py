@@ -5,8 +5,15 @@ one pass without a shuffle. Features are rates and densities of the whole text:
 and words that the labelled sample shows to be telling), their closeness to second-person words, capitals,
 punctuation and obfuscated words. Ids, sources and languages are no features.
 
-Null and empty texts have all features 0 and get the score of such a text. Labelled rows without a text or without a
-label teach nothing. Without any labelled row, or with one class alone, the score is the share of label 1 (0 if none).
+The sample is cut into FOLDS parts by text. A row's lexicon features come from the lexicon of the other parts, for the
+trees as for the calibration, so no row is judged by words that its own label has put there; the calibration is fitted
+to scores by trees that have not seen the row either. Texts to score meet the lexicon and the trees of all parts.
+
+Null and empty texts have all features 0 and get the score of such a text; equal texts get equal scores, also in repeated
+rows, and rows without an id are scored like any other. Of labelled rows with equal texts, or of labels of one id, the
+larger label counts. Labelled rows without a text or without a label teach nothing. Without any labelled row, or with one
+class alone, the score is the share of label 1 (0 if none). Whole texts are read, however long, one at a time. Columns to
+keep travel in one struct, so their names are free.
 """
 
 from __future__ import annotations
@@ -14,18 +21,19 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from .common import stored
+from .common import slices, stored, tidy
 
 #: Labelled rows that the model is learned from at most (in expectation), and learned lexicon words at most.
 SAMPLE, WORDS = 20_000, 500
@@ -96,72 +104,101 @@ class Model:
     share: float
 
 
-def _featured(df: DataFrame, columns: list[str], text: str, lexicon: dict[str, float]) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [features(t, lexicon) for t in b.column(b.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, pa.list_(pa.float64()))], names=[*columns, "_features"])
+def _featured(df: DataFrame, lexicons: list[dict[str, float]]) -> DataFrame:
+    """(row, features) of (row, text, part): the features of each text by the lexicon of its part. Without a text column, the text is the field of row that the second column numbers."""
+    names, kind = ["row", "features"], df.schema["row"].dataType
+    inside = "text" not in df.columns
 
-    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
-    source = df.select(*columns, F.col(text).alias("_text"))
-    return source.mapInArrow(run, f"{kinds}, _features array<double>").withColumn("_features", array_to_vector("_features"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            if inside:  # the text is a field of the row, named by its place in the last column
+                place = whole.column(1)[0].as_py() if whole.num_rows else 0
+                parts = (whole.slice(i, 500) for i in range(0, whole.num_rows, 500))
+                texts = ((b, pc.struct_field(b.column(0), [place]).to_pylist(), [0] * b.num_rows) for b in parts)
+            else:
+                texts = ((b, b.column(1).to_pylist(), b.column(2).to_pylist()) for b in slices(whole, 1))
+            for b, own, part in texts:
+                found = [features(t, lexicons[i]) for t, i in zip(own, part)]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.float64()))], names=names)
+
+    schema = StructType([StructField("row", kind), StructField("features", ArrayType(DoubleType()))])
+    return df.mapInArrow(tidy(run), schema).select("row", array_to_vector("features").alias("features"))
+
+
+def _lexicon(counts: DataFrame, without: int | None, words: int) -> dict[str, float]:
+    """The fixed insults and the words that mark label 1 in the sample, one part left out."""
+    parts = [f for f in range(FOLDS) if f != without]
+    n, ones = (sum(F.coalesce(F.col(f"{c}{f}"), F.lit(0)) for f in parts) for c in ("n", "y"))
+    own = counts.select("word", n.alias("df"), ones.alias("hits"))
+    whole = own.filter("word = ''").first()  # every text counts once for the empty word
+    lexicon = dict.fromkeys(INSULTS, 1.0)
+    if whole is None or not 0 < whole["hits"] < whole["df"]:
+        return lexicon
+    share = whole["hits"] / whole["df"]
+    lift = F.log((F.col("hits") + share) / ((F.col("df") + 1) * share))
+    z = (F.col("hits") - F.col("df") * share) / F.sqrt(F.col("df") * share * (1 - share))
+    telling = own.filter((F.col("word") != "") & (F.col("df") >= max(4, 0.002 * whole["df"]))).filter((z > 5) & (lift > math.log(2)))
+    return lexicon | {r["word"]: float(r["lift"]) for r in telling.orderBy(F.desc(z), "word").limit(words).select("word", lift.alias("lift")).collect()}
 
 
 def learn(labelled: DataFrame, documents: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE, words: int = WORDS) -> Model:
     """Learn from labelled (key, label) and the texts of documents (key, text).
 
-    At most about `sample` labelled keys are taken, by a hash of the key; only their texts are read further. All
-    teach the trees; the calibration is learned from scores of rows that the trees giving them have not seen.
+    At most about `sample` labelled keys are taken, by a hash of the key; only their texts are read further.
     """
-    known = labelled.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("label"))
+    known = labelled.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).cast("int").alias("label"))
     total = known.count()
-    spread = F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1_000_000))
+    spread = F.pmod(F.xxhash64(F.col("id"), F.lit("sample")), F.lit(1_000_000))
     chosen = known.filter(spread < F.lit(math.ceil(1e6 * min(1.0, sample / max(1, total)))))
-    texts = documents.select(key, F.col(text).alias("text")).filter("text is not null")
-    # the sample is bounded, so its (key, label) pairs can go to every task
-    rows = stored(texts.join(F.broadcast(chosen), key).groupBy("text").agg(F.max("label").alias("label"), F.min(key).alias(key)), "labelled")
+    texts = documents.select(F.col(key).alias("id"), F.col(text).alias("text")).filter("text is not null")
+    # the sample is bounded, so its (id, label) pairs can go to every task
+    part = F.pmod(F.xxhash64("text", F.lit("part")), F.lit(FOLDS)).cast("int")
+    rows = stored(texts.join(F.broadcast(chosen), "id").groupBy("text").agg(F.max("label").alias("label")).withColumn("part", part), "labelled")
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    lexicon = dict.fromkeys(INSULTS, 1.0)
     if not 0 < ones < n:
-        return Model(lexicon, None, None, ones / n if n else 0.0)
+        return Model(dict.fromkeys(INSULTS, 1.0), None, None, ones / n if n else 0.0)
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = list(set(_WORD.findall(t.lower())))
-                yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([y] * len(own), pa.int32())], names=["word", "label"])
+            for t, y, f in zip(*(c.to_pylist() for c in b.columns)):
+                own = ["", *set(_WORD.findall(t.lower()))]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([y] * len(own), pa.int32()), pa.array([f] * len(own), pa.int32())], names=["word", "label", "part"])
 
-    share = ones / n
-    counts = rows.select("text", "label").mapInArrow(bags, "word string, label int").groupBy("word").agg(F.count("*").alias("df"), F.sum("label").alias("hits"))
-    lift = F.log((F.col("hits") + share) / ((F.col("df") + 1) * share))
-    z = (F.col("hits") - F.col("df") * share) / F.sqrt(F.col("df") * share * (1 - share))
-    telling = counts.filter(F.col("df") >= max(4, 0.002 * n)).filter((z > 5) & (lift > math.log(2))).orderBy(F.desc(z), "word").limit(words).select("word", lift.alias("lift")).collect()
-    lexicon |= {r["word"]: float(r["lift"]) for r in telling}
+    by_part = [a for f in range(FOLDS) for a in (F.count_if(F.col("part") == f).alias(f"n{f}"), F.sum(F.when(F.col("part") == f, F.col("label"))).alias(f"y{f}"))]
+    counts = stored(rows.select("text", "label", "part").mapInArrow(tidy(bags), "word string, label int, part int").groupBy("word").agg(*by_part), "words")
+    lexicons = [_lexicon(counts, f, words) for f in range(FOLDS)]
 
-    table = stored(_featured(rows.select(key, "label", "text"), [key, "label"], "text", lexicon), "features")
-    gbt = GBTClassifier(labelCol="label", featuresCol="_features", maxIter=16, maxDepth=3, stepSize=0.35, maxBins=64, minInstancesPerNode=5, subsamplingRate=0.8, seed=11)
-    fold = F.pmod(F.xxhash64(F.col(key), F.lit("fold")), F.lit(FOLDS))
+    table = stored(_featured(rows.select(F.struct("label", "part").alias("row"), "text", "part"), lexicons).select("row.*", "features"), "features")
+    gbt = GBTClassifier(labelCol="label", featuresCol="features", maxIter=16, maxDepth=3, stepSize=0.35, maxBins=64, minInstancesPerNode=5, subsamplingRate=0.8, seed=11)
+    share = ones / n
     # a row at each end with the share of label 1 keeps the calibration of small samples from the extremes
-    judged = table.sparkSession.createDataFrame([(0.0, share), (1.0, share)], "_raw double, label double")
-    jobs = [table, *[table.filter(fold != f) for f in range(FOLDS)]]
-    with ThreadPoolExecutor(len(jobs)) as pool:  # fits are many short jobs, so they run side by side
-        trees, *apart = pool.map(lambda rows: gbt.fit(rows.coalesce(8)) if rows.select("label").distinct().count() == 2 else None, jobs)
-    for f, own in enumerate(apart):
-        if own is not None:
-            unseen = own.transform(table.filter(fold == f))
-            judged = judged.unionByName(unseen.select(vector_to_array("probability")[1].alias("_raw"), F.col("label").cast("double").alias("label")))
-    scale = IsotonicRegression(featuresCol="_raw", labelCol="label").fit(judged.coalesce(1))
-    return Model(lexicon, trees, scale, share)
+    judged = table.sparkSession.createDataFrame([(0.0, share), (1.0, share)], "raw double, label double")
+    for f in range(FOLDS):
+        others = table.filter(F.col("part") != f)
+        if others.select("label").distinct().count() == 2:
+            unseen = gbt.fit(others.coalesce(4)).transform(table.filter(F.col("part") == f))
+            judged = judged.unionByName(unseen.select(vector_to_array("probability")[1].alias("raw"), F.col("label").cast("double").alias("label")))
+    scale = IsotonicRegression(featuresCol="raw", labelCol="label").fit(judged.coalesce(1))
+    return Model(_lexicon(counts, None, words), gbt.fit(table.coalesce(4)), scale, share)
 
 
-def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: list[str] | None = None, name: str = "score") -> DataFrame:
-    """The columns to keep (the key, if not named) and the score (0 to 1), as `name`, of each row.
+def scored(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
+    """(row, score): the columns to keep as one struct, and the score (0 to 1) of each row.
 
     A thousandth of the score is the uncalibrated probability, which orders documents within a calibration step.
     """
-    keep = keep or [key]
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
     if model.trees is None:
-        return df.select(*keep, F.lit(float(model.share)).alias(name))
-    raw = model.trees.transform(_featured(df, keep, text, model.lexicon)).select(*keep, vector_to_array("probability")[1].alias("_raw"))
-    judged = model.scale.setFeaturesCol("_raw").setPredictionCol("_calibrated").transform(raw)
-    return judged.select(*keep, F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.999 * F.col("_calibrated") + 0.001 * F.col("_raw"))).alias(name))
+        return df.select(row, F.lit(float(model.share)).alias("score"))
+    if text in keep:
+        source = df.select(row, F.lit(keep.index(text)).alias("place"))
+    else:
+        source = df.select(row, F.col(text).alias("text"), F.lit(0).alias("part"))
+    raw = model.trees.transform(_featured(source, [model.lexicon])).select("row", vector_to_array("probability")[1].alias("raw"))
+    judged = model.scale.setFeaturesCol("raw").setPredictionCol("calibrated").transform(raw)
+    return judged.select("row", F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.999 * F.col("calibrated") + 0.001 * F.col("raw"))).alias("score"))
+
+
+def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text", name: str = "score") -> DataFrame:
+    """The key and the score, as `name`, of each row."""
+    return scored(df, model, [key], text).select("row.*", F.col("score").alias(name))
