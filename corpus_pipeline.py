@@ -22,7 +22,7 @@ PII_KEY = b"surrogate-key-of-the-corpus-pipeline"
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     model = toxicity.learn(table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out), docs)
-    return toxicity.score(docs, model, keep=docs.columns, name="_toxicity").filter(F.col("_toxicity") < REJECT).select(*docs.columns)
+    return toxicity.scored(docs, model, docs.columns).filter(F.col("score") < REJECT).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
