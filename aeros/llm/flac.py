@@ -1,11 +1,12 @@
 """Media columns in FLAC: mono streams of 192-sample frames, written and read for many documents at a time.
 
-Writing takes, for each frame, the cheapest of a constant, a verbatim or a fixed linear predictor (order 0 to 4) with Rice
-coded residuals. Reading finds the frames by their checked headers, verifies each frame's CRC-16, decodes Rice residuals
+Writing takes, for each frame, the cheapest of a constant, a verbatim, a fixed linear predictor (order 0 to 4) or one fitted to the
+frame (order LPC, by the autocorrelation of its samples), the predictors with Rice coded residuals. Reading finds the frames by their checked headers, verifies each frame's CRC-16, decodes Rice residuals
 (any partition order, escapes included) and fixed or general linear predictors, and gives PCM blocks with their sample
 offsets. All frames of a batch of documents are worked on together: sample by sample, across frames.
 
-Null payloads count as empty. A stream that is damaged gets an error and no samples; it stops nothing else. Read are
+Null and empty texts are one frame of padding. Equal texts give equal streams, also in repeated rows; rows without an id
+are kept. Long texts are worked on in batches of their own; columns besides the key and the text play no part. A stream that is damaged gets an error and no samples; it stops nothing else. Read are
 mono streams of up to 24 bits without wasted bits; others get an error.
 """
 
@@ -20,7 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 FRAME, RATE = 192, 8000
+#: Order of the predictors fitted to a frame, the bits of their weights, and what stands for such a predictor among fixed orders.
+LPC, WEIGHT, FIT = 4, 8, 9
 #: Frames between seek points, and payload bytes that are worked on at a time.
 SEEK, CHUNK = 64, 1 << 20
 _BLOCK_SIZES = {1: 192} | {i: 576 << (i - 2) for i in range(2, 6)} | {i: 256 << (i - 8) for i in range(8, 16)}
@@ -71,20 +76,46 @@ def _coded_number(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, size
 
 
+def _fitted(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Integer weights (nearest sample first), shifts and residuals of the predictors that fit the rows of x (Levinson and Durbin)."""
+    y = x.astype(np.float64)
+    r = np.stack([(y[:, lag:] * y[:, : FRAME - lag]).sum(axis=1) for lag in range(LPC + 1)])
+    error, a = np.maximum(r[0], 1e-9), np.zeros((LPC, len(x)))
+    for i in range(LPC):
+        k = (r[i + 1] - (a[:i] * r[i:0:-1]).sum(axis=0)) / error
+        a[:i] -= k * a[:i][::-1].copy()
+        a[i] = k
+        error = np.maximum(error * (1 - k * k), 1e-9)
+    most = (1 << (WEIGHT - 1)) - 1
+    shift = np.clip(np.floor(np.log2(most / np.maximum(np.abs(a).max(axis=0), 1e-9))), 0, 15).astype(np.int32)
+    weights = np.clip(np.rint(a * np.exp2(shift)), -most - 1, most).astype(np.int32)
+    guess = np.zeros((len(x), FRAME - LPC), np.int32)
+    for j in range(LPC):
+        guess += weights[j][:, None] * x[:, LPC - 1 - j : FRAME - 1 - j]
+    return weights.T, shift, x[:, LPC:] - (guess >> shift[:, None])
+
+
 def _frames(x: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the frames that hold the rows of x (signed 8-bit), and each frame's size."""
     x = x.astype(np.int32)
     n = len(x)
     best, order, rice = np.full(n, 8 * FRAME, np.int64), np.full(n, -1), np.zeros(n, np.int64)  # order -1: verbatim
+    weights, shift, fitted = _fitted(x)
     residual = x
-    for o in range(5):
-        if o:
+    for o in (*range(5), FIT):
+        if o == FIT:
+            residual = fitted
+        elif o:
             residual = residual[:, 1:] - residual[:, :-1]
         zig = (residual << 1) ^ (residual >> 31)
-        for k in range(9):
-            cost = 10 + 8 * o + (FRAME - o) * (k + 1) + (zig >> k).sum(axis=1)
+        head = 10 + 8 * (FRAME - residual.shape[1]) + (9 + WEIGHT * LPC) * (o == FIT)
+        # the best parameter is near the logarithm of the mean
+        mean = np.maximum(zig.mean(axis=1), 0.5)
+        near = np.clip(np.floor(np.log2(mean)), 0, 8).astype(np.int32)
+        for k in (near, np.maximum(near - 1, 0)):
+            cost = head + residual.shape[1] * (k + 1) + (zig >> k[:, None]).sum(axis=1)
             better = cost < best
-            best[better], order[better], rice[better] = cost[better], o, k
+            best[better], order[better], rice[better] = cost[better], o, k[better]
     flat = (x == x[:, :1]).all(axis=1)
     best[flat], order[flat] = 8, -2
     coded, number_size = _coded_number(numbers)
@@ -98,7 +129,7 @@ def _frames(x: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         for j in range(width):
             bits[at + (width - 1 - j)] = (value >> j) & 1
 
-    put(body, np.where(order == -2, 0, np.where(order == -1, 2, (8 + order) << 1)), 8)
+    put(body, np.where(order == -2, 0, np.where(order == -1, 2, np.where(order == FIT, (31 + LPC) << 1, (8 + order) << 1))), 8)
     rows = np.flatnonzero(order == -2)
     put(body[rows] + 8, x[rows, 0] & 0xFF, 8)
     rows = np.flatnonzero(order == -1)
@@ -107,11 +138,18 @@ def _frames(x: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     for o, k in {(int(o), int(k)) for o, k in zip(order, rice) if o >= 0}:
         rows = np.flatnonzero((order == o) & (rice == k))
         at = body[rows] + 8
-        for j in range(o):
+        warm = LPC if o == FIT else o
+        for j in range(warm):
             put(at + 8 * j, x[rows, j] & 0xFF, 8)
-        at = at + 8 * o
+        at = at + 8 * warm
+        if o == FIT:
+            put(at, WEIGHT - 1, 4)
+            put(at + 4, shift[rows], 5)
+            for j in range(LPC):
+                put(at + 9 + WEIGHT * j, weights[rows, j] & ((1 << WEIGHT) - 1), WEIGHT)
+            at = at + 9 + WEIGHT * LPC
         put(at + 6, k, 4)  # method 0 and partition order 0 are six zero bits
-        r = np.diff(x[rows], n=o, axis=1)
+        r = fitted[rows] if o == FIT else np.diff(x[rows], n=o, axis=1)
         zig = (r << 1) ^ (r >> 31)
         stop = at[:, None] + 10 + np.cumsum((zig >> k) + 1 + k, axis=1)
         bits[stop - 1 - k] = 1
@@ -382,7 +420,13 @@ def encode_column(df: DataFrame, key: str = "doc_id", text: str = "text", media:
             for s in _chunks([len(r) + FRAME for r in raw]):
                 yield pa.RecordBatch.from_arrays([b.column(0)[s], pa.array([len(r) for r in raw[s]], pa.int64()), pa.array(encode([padded(r) for r in raw[s]]), pa.binary())], names=[key, "n_bytes", media])
 
-    return df.select(key, text).mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, n_bytes long, {media} binary")
+    return df.select(key, text).mapInArrow(tidy(run), f"{key} {df.schema[key].dataType.simpleString()}, n_bytes long, {media} binary")
+
+
+def pcm_blocks(pcm: np.ndarray, offsets: np.ndarray, frames: int = SEEK) -> list[tuple[int, int, np.ndarray]]:
+    """(sample offset, byte offset in the stream, samples) of each run of `frames` frames; all but the last frame are equally long."""
+    per = len(pcm) // len(offsets) if len(pcm) % len(offsets) == 0 else int(np.ceil(len(pcm) / len(offsets)))
+    return [(i * per, int(offsets[i]), pcm[i * per : (i + frames) * per]) for i in range(0, len(offsets), frames)]
 
 
 def decode_blocks(df: DataFrame, key: str = "doc_id", media: str = "media", frames: int = SEEK) -> DataFrame:
@@ -397,31 +441,31 @@ def decode_blocks(df: DataFrame, key: str = "doc_id", media: str = "media", fram
                     if error:
                         rows.append((k, None, None, None, error))
                         continue
-                    per = len(pcm) // len(offsets) if len(pcm) % len(offsets) == 0 else int(np.ceil(len(pcm) / len(offsets)))
-                    for i in range(0, len(offsets), frames):
-                        rows.append((k, i * per, int(offsets[i]), pcm[i * per : (i + frames) * per].astype("<i4").tobytes(), None))
+                    rows += [(k, sample, byte, own.astype("<i4").tobytes(), None) for sample, byte, own in pcm_blocks(pcm, offsets, frames)]
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (b.schema.field(0).type, pa.int64(), pa.int64(), pa.binary(), pa.string()))], names=[key, "sample_offset", "byte_offset", "pcm", "error"])
 
-    return df.select(key, media).mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, sample_offset long, byte_offset long, pcm binary, error string")
+    return df.select(key, media).mapInArrow(tidy(run), f"{key} {df.schema[key].dataType.simpleString()}, sample_offset long, byte_offset long, pcm binary, error string")
 
 
 def digests(df: DataFrame, key: str = "doc_id", media: str = "media") -> DataFrame:
-    """What reading an 8-bit stream back gives: sizes, checksums and a feature string of the payload and the stream."""
+    """What reading an 8-bit stream back gives, from its PCM blocks: sizes, checksums, a feature string, and where each block begins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw = b.column(2).to_pylist()
             for s in _chunks([len(r) for r in raw]):
-                cols = [[] for _ in range(6)]
-                for stream, (pcm, _, error) in zip(raw[s], decode(raw[s])):
+                cols = [[] for _ in range(7)]
+                for stream, (pcm, offsets, error) in zip(raw[s], decode(raw[s])):
                     if error:
                         raise ValueError(f"a stream just written can't be read: {error}")
-                    payload = (pcm + 128).astype(np.uint8).tobytes()
-                    for c, v in zip(cols, (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(stream), hashlib.sha256(stream).hexdigest(), summary(pcm))):
+                    blocks = pcm_blocks(pcm, offsets)
+                    payload = b"".join([(own + 128).astype(np.uint8).tobytes() for _, _, own in blocks])
+                    seek = [{"sample_offset": sample, "byte_offset": byte} for sample, byte, _ in blocks]
+                    for c, v in zip(cols, (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(stream), hashlib.sha256(stream).hexdigest(), summary(pcm), seek)):
                         c.append(v)
-                kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-                yield pa.RecordBatch.from_arrays([b.column(0)[s], b.column(1)[s], *(pa.array(c, t) for c, t in zip(cols, kinds))], names=[key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+                kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.struct([("sample_offset", pa.int64()), ("byte_offset", pa.int64())])))
+                yield pa.RecordBatch.from_arrays([b.column(0)[s], b.column(1)[s], *(pa.array(c, t) for c, t in zip(cols, kinds))], names=[key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "blocks"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, "n_bytes", media).mapInArrow(run, f"{key} {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return df.select(key, "n_bytes", media).mapInArrow(tidy(run), f"{key} {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, blocks array<struct<sample_offset:bigint,byte_offset:bigint>>")
