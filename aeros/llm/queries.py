@@ -15,7 +15,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flac.digests(stored(flac.encode_column(table(spark, sf_dir, "documents")), "streams"))
+    return flac.digests(stored(flac.encode_column(table(spark, sf_dir, "documents")), "streams", codec="zstd"))
 
 
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
 
 
 #: Names the surrogates; a deployment passes its own secret.
@@ -31,7 +31,7 @@ PII_KEY = b"surrogate-key-of-the-registered-query"
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pii.surrogates(table(spark, sf_dir, "documents"), PII_KEY)
+    out = pii.surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
     return out.select("doc_id", "text", F.size("pii_kinds").alias("n_entities"), "pii_kinds")
 
 
@@ -90,7 +90,7 @@ ORACLES = {
         )
         SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
                CASE WHEN n >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN n >= 100 AND page_id > first_id THEN first_id END AS refers_to
+               CASE WHEN n >= 100 AND page_id > first_id THEN first_id END AS refers_to, TRUE AS digest_ok
         FROM f
     """,
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -73,7 +74,19 @@ def test_components_edges(spark):
     rows = neardup.components(df, size=2).collect()
     assert len(rows) == 4 and sorted((str(r["doc_id"]), str(r["component_id"]), r["kept"]) for r in rows) == [("1", "1", True), ("1", "1", True), ("2", "1", False), ("None", "None", True)]
     assert neardup.components(df.limit(0)).count() == 0
-    assert neardup.keep_first(df, size=2).count() == 3
+    assert sorted(str(r["doc_id"]) for r in neardup.keep_first(df, size=2).collect()) == ["1", "None"]
+    assert neardup.keep_first(df.limit(0)).columns == df.columns
+
+
+def test_components_of_ids_with_several_texts(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 200)
+    a, b, long_ = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60)), " ".join(f"c{i}" for i in range(30_000))
+    rows = [(5, a), (5, b), (9, b + " more"), (3, a + " less"), (5, ""), (5, None), (7, long_), (8, long_ + " end"), (6, "other words"), (6, "other words")]
+    df = spark.createDataFrame([(*r, "x", 1.5) for r in rows], "doc_id long, text string, rep string, component double")
+    got = {(r["doc_id"], r["n_shingles"] > 0): r["component_id"] for r in neardup.components(df, size=2).collect()}
+    assert got == {(5, True): 3, (9, True): 3, (3, True): 3, (5, False): 5, (7, True): 7, (8, True): 7, (6, True): 6}
+    kept = neardup.keep_first(df, size=2)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 6, 7] and kept.columns == df.columns
 
 
 def test_posterior_bounds():
@@ -140,6 +153,36 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_members_and_sizes(spark, tmp_path, monkeypatch):
+    """Every member is a record; files are cut by bytes; a record of over 16 MB; repeated ids; damage."""
+    rng = random.Random(4)
+    huge = "".join(rng.choice("abcdefgh") for _ in range(1 << 20)) * 17
+    pages = [(i, f"http://{i}/", "".join(rng.choice("abcdefgh") for _ in range(60_000))) for i in range(40)] + [(40, "http://h/", huge), (1, "http://again/", "another payload"), (None, "http://none/", "n" * 120)]
+    df = spark.createDataFrame([(*p, 1, "o") for p in pages], "page_id long, url string, html string, row int, owner string").coalesce(1)
+    monkeypatch.setattr(warc, "FILE_BYTES", 200_000)
+    warc.write(df, str(tmp_path / "w"))
+    files = sorted((tmp_path / "w").rglob("part-*"))
+    assert len(files) > 3
+    seen = []
+    for f in files:
+        data = f.read_bytes()
+        while data:
+            one = zlib.decompressobj(31)
+            record = one.decompress(data)
+            assert one.eof and (not record or record.startswith(b"WARC/1.1\r\n"))
+            seen += [record.split(b"\r\n")[1]] if record else []
+            data = one.unused_data
+        assert len(f.read_bytes()) < 400_000 or any(len(h) > 1 << 24 for _, h in warc._walk(f.read_bytes()))
+    assert seen.count(b"WARC-Type: warcinfo") == len(files) and seen.count(b"WARC-Type: response") == len(pages)
+    found = warc.captures(warc.records(spark, str(tmp_path / "w"), payloads=False))
+    got = sorted((str(r["page_id"]), r["payload_bytes"], r["payload_digest"], r["digest_ok"]) for r in found.collect())
+    assert got == sorted((str(i), len(h), hashlib.sha256(h.encode()).hexdigest(), True) for i, _, h in pages)
+    record = b"".join(warc._transaction("1", 0, "t", b"payload", None, "d")).replace(b"\r\n\r\npayload", b"\r\n\r\npaylord")
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "part-0").write_bytes(record)
+    assert [r["digest_ok"] for r in warc.captures(warc.records(spark, str(tmp_path / "x"))).collect()] == [False]
+
+
 def brute_ctw(train, texts):
     """The same probabilities by recursion over dictionaries."""
     counts, children = defaultdict(lambda: [0, 0]), defaultdict(set)
