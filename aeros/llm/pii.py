@@ -1,30 +1,46 @@
 """Replace personal data by keyed surrogates of the same type.
 
 Found are e-mail addresses, telephone and card numbers (Luhn, issuer digit), IP addresses, IBANs (check digits), social
-security numbers, secrets behind a label such as `token =`, and person names after a title or a known given name.
-A surrogate depends on the key, the type and the normal form of the entity alone, so every mention of an entity in any
-document and any spelling gets the same one (coreference). It keeps the format: letter case, digit places,
-punctuation, a card's issuer digit and Luhn sum, an IBAN's country and check digits, a name's gender and script.
-
-Distinct entities get distinct surrogates, and none that occurs in the corpus itself: all entities' surrogates are
-compared in Spark; where two agree, all but the first try the next one, until none agree.
+security numbers, secrets behind a label such as `token =`, and person names: after a title or a known given name, and
+then wherever the document mentions one of these names alone, capitalised or in capitals.
 
-Null text stays null; empty text stays empty. Repeated rows are each rewritten alike.
+A surrogate depends on the key, the type and the normal form of the entity alone, so every mention of an entity in any
+document and any spelling gets the same one (coreference). It comes from a keyed cycle through all values of the
+entity's format, so distinct entities get distinct surrogates and none keeps its own value. The format is what a value
+keeps: length, places of letters, digits and marks, script, the addresses of one domain in one domain, a card's issuer
+digits and Luhn sum, an IBAN's country and check digits, a valid social security number, the kind of an IP address,
+vowels and consonants of a name. A given name that is listed stays in the list of its gender and script; another one,
+told by the title before it, keeps its last letter, which carries the gender.
+
+A collision check in Spark finds the surrogates that are themselves entities of the corpus. They move on along their
+cycle, ROUNDS times at most, to a value that is no entity and that no other entity has been offered; where a format is so
+full that none is met, the first surrogate stays, which no other entity has. Mail addresses are checked by domain.
+Listed given names are too few to be checked.
+
+Null text stays null; empty text stays empty. Repeated rows are each rewritten alike, with or without an id. Where
+findings overlap, the more certain kind wins, then the earlier one. Texts are worked on whole, however long. Other columns
+pass through unchanged, whatever their names; the column of kinds takes the place of one with its name.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-import string
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from math import prod
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from .common import stored
+from .common import small, stored, tidy
 
+#: Times that a surrogate moves on where it is an entity of the corpus.
+ROUNDS = 8
 #: Given names by gender and script, fixed values. A surrogate comes from the same list.
 GIVEN = {
     ("f", "latin"): "Mary Maria Anna Laura Julia Sarah Emma Sophie Marie Claire Elena Carmen Lucia Isabel Ingrid Petra Monika Heike Sabine Nathalie Camille".split(),
@@ -34,21 +50,21 @@ GIVEN = {
     ("f", "greek"): "Μαρία Ελένη Κατερίνα Σοφία Άννα Ιωάννα".split(),
     ("m", "greek"): "Γιώργος Δημήτρης Νίκος Γιάννης Κώστας Παύλος".split(),
 }
-TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Dr": "", "Herr": "m", "Frau": "f", "Monsieur": "m", "Madame": "f", "Mme": "f", "Señor": "m", "Señora": "f", "Sr": "m", "Sra": "f", "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f"}
-#: Syllables of made surnames by script, fixed values.
-SYLLABLES = {
-    "latin": "bar ben dor fal gan hol kel lan mar nor pel ros sten tar vel wen dal fer gor hart".split(),
-    "cyrillic": "бар вел гор дон зар кан лем мар нов пал рос сол тар фер хол вин".split(),
-    "greek": "βαρ γαλ δελ ζαν θερ καλ λεν μαρ νικ παλ ρον σαρ ταλ φαν".split(),
-}
+#: Titles before a name, fixed values.
+TITLES = "Mr Mrs Ms Miss Dr Herr Frau Monsieur Madame Mme Señor Señora Sr Sra Господин Госпожа Κύριος Κυρία".split()
+#: Letters that replace each other in names and in codes, fixed values; any other letter is replaced by those of its case
+#: among the 128 code points around it.
+NAME_LETTERS = ("aeiou", "bcdfghjklmnpqrstvwxyz", "àáâãäåæèéêëìíîïòóôõöøùúûü", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщъь", "αεηιουω", "άέήίόύώ", "βγδζθκλμνξπρστφχψ")
+CODE_LETTERS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "абвгдеёжзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω")
+HEX_LETTERS = ("0123456789", "abcdef", "ABCDEF")
 _GIVEN = {n: gs for gs, names in GIVEN.items() for n in names}
 _NAME_WORDS = frozenset([*_GIVEN, *TITLES])
 _WORD = re.compile(r"\w+")
 _CAP = r"[A-ZÀ-ÖØ-ÞΑ-ΩΆ-ΏА-ЯЁ][\w’'-]*[a-zß-öø-ÿα-ωά-ώа-яё]"
 _TITLED = re.compile(rf"\b({'|'.join(TITLES)})\.? ((?:{_CAP} )?{_CAP})")
 _NAMED = re.compile(rf"\b({'|'.join(_GIVEN)}) ({_CAP})")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
-_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+_LOCAL = re.compile(r"[\w.%+-]*\w[\w.%+-]*\Z")
+_DOMAIN = re.compile(r"[^\W_][\w-]*(?:\.[\w-]+)*\.[^\W\d_]{2,}")
 _PHONE = re.compile(r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){1,3}|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])")
 _CARD = re.compile(r"(?<![\w.-])[2-6]\d{3}(?:[ -]?\d){9,15}(?![\w-])")
 #: Lengths of an issuer's cards by their first digits; a card of one of these goes before any other reading.
@@ -70,12 +86,7 @@ def luhn(digits: str) -> bool:
 
 
 def _iban_ok(value: str) -> bool:
-    return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
-
-
-def _script(word: str) -> str:
-    c = ord(word[0])
-    return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 else "latin"
+    return 2 <= int(value[2:4]) <= 98 and int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
 
 
 def _cards(text: str) -> Iterator[tuple[int, int, str, str]]:
@@ -93,6 +104,40 @@ def _cards(text: str) -> Iterator[tuple[int, int, str, str]]:
         m = _CARD.search(text, end)
 
 
+def _name(word: str) -> tuple[str, str]:
+    """Kind and normal form of a given name."""
+    listed = word if word in _GIVEN else word.capitalize()
+    return "given", listed if listed in _GIVEN else word.casefold()
+
+
+def _names(text: str) -> Iterator[tuple[int, int, int, str, str]]:
+    """Names behind titles and listed given names, then bare mentions of the names that these show."""
+    forms: dict[str, tuple[str, str]] = {}
+
+    def known(start: int, word: str, entity: tuple[str, str], rank: int) -> tuple[int, int, int, str, str]:
+        forms.setdefault(word.casefold(), entity)
+        return rank, start, start + len(word), *entity
+
+    for m in _TITLED.finditer(text):
+        words = m[2].split(" ")
+        at = m.start(2)
+        for k, word in enumerate(words):
+            yield known(at, word, _name(word) if k == 0 and len(words) == 2 else ("surname", word.casefold()), 7)
+            at += len(word) + 1
+    for m in _NAMED.finditer(text):
+        yield known(m.start(1), m[1], _name(m[1]), 8)
+        yield known(m.start(2), m[2], ("surname", m[2].casefold()), 8)
+    if not forms:
+        return
+    for m in _WORD.finditer(text):
+        if m[0][0].isupper() and (entity := forms.get(m[0].casefold())):
+            yield 9, *m.span(), *entity
+    if marked := [f for f in forms if not f.isalnum()]:
+        for m in re.finditer(rf"(?i)(?<!\w)(?:{'|'.join(map(re.escape, sorted(marked, key=len, reverse=True)))})(?!\w)", text):
+            if m[0][0].isupper() and (entity := forms.get(m[0].casefold())):
+                yield 9, *m.span(), *entity
+
+
 def find(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, normal form) of each entity, in order and without overlap."""
     if not text:
@@ -106,7 +151,7 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
         at = text.find("@", at + 1)
     low = text.lower() if "=" in text or ":" in text else ""
     if low and any(w in low for w in ("token", "secret", "passw", "key")):
-        found += [(1, m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text)]
+        found += [(1, m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text) if any(map(str.isalnum, m[1]))]
     if _NUMERIC.search(text):
         found += [(3, *c) for c in _cards(text)]
         for m in _IP.finditer(text):
@@ -121,86 +166,162 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
         if 15 <= len(flat) <= 34 and _iban_ok(flat):
             found.append((2, *m.span(), "iban", flat))
     if not _NAME_WORDS.isdisjoint(_WORD.findall(text)):  # both patterns begin with such a whole word
-        for m in _TITLED.finditer(text):
-            at = m.start(2)
-            for k, word in enumerate(words := m[2].split(" ")):
-                given = k == 0 and len(words) == 2 and word in _GIVEN
-                found.append((7, at, at + len(word), "given" if given else "surname", word if given else word.casefold()))
-                at += len(word) + 1
-        for m in _NAMED.finditer(text):
-            found += [(8, *m.span(1), "given", m[1]), (8, *m.span(2), "surname", m[2].casefold())]
+        found += _names(text)
     found.sort()
-    out: list[tuple[int, int, str, str]] = []
+    starts: list[int] = []
+    out: dict[int, tuple[int, int, str, str]] = {}
     for _, start, end, kind, form in found:
-        if all(end <= s or start >= e for s, e, _, _ in out):
-            out.append((start, end, kind, form))
-    return sorted(out)
+        i = bisect_left(starts, start)
+        if (i == len(starts) or end <= starts[i]) and (i == 0 or out[starts[i - 1]][1] <= start):
+            starts.insert(i, start)
+            out[start] = (start, end, kind, form)
+    return [out[i] for i in starts]
+
+
+def _shuffled(value: int, bits: int, key: bytes, tweak: bytes, back: bool = False) -> int:
+    """A keyed permutation of the numbers of `bits` bits (a Feistel network of eight rounds), or its inverse."""
+    low = bits // 2
+    high = bits - low
+    a, b = value >> high, value & ((1 << high) - 1)
+    for i in reversed(range(8)) if back else range(8):
+        wide = low if i % 2 == 0 else high  # of the half that changes
+
+        def mixed(half: int, i: int = i, wide: int = wide) -> int:
+            seed = b"%d,%d,%d:" % (i, half, len(tweak)) + tweak
+            raw = hashlib.blake2b(seed, key=key[:64]).digest() if wide <= 512 else hashlib.shake_256(key + seed).digest(wide // 8 + 1)
+            return int.from_bytes(raw, "big") & ((1 << wide) - 1)
+
+        if back:
+            a, b = b ^ mixed(a), a
+        else:
+            a, b = b, a ^ mixed(b)
+    return a << high | b
+
+
+def _place(value: int, size: int, key: bytes, tweak: bytes, back: bool = False) -> int:
+    """A keyed permutation of 0 to size - 1: the network is walked until it comes back into the range."""
+    bits = max(2, (size - 1).bit_length())
+    while (value := _shuffled(value, bits, key, tweak, back)) >= size:
+        pass
+    return value
+
+
+def _along(value: int, size: int, key: bytes, tweak: bytes, step: int, good: Callable[[int], bool] = lambda _: True) -> int:
+    """The number `step` + 1 places on in the keyed cycle through those numbers below size that are good, as value is."""
+    if size < 2:
+        return value
+    at = _place(value, size, key, tweak)
+    while True:
+        at = (at + 1) % size
+        new = _place(at, size, key, tweak, back=True)
+        if good(new):
+            if not step:
+                return new
+            step -= 1
+
+
+@lru_cache(maxsize=4096)
+def _letters(c: str, alphabets: tuple[str, ...]) -> str:
+    """What may stand in the place of c."""
+    for own in alphabets:
+        if c in own:
+            return own
+    if not c.isalpha():
+        return c
+    block = map(chr, range(ord(c) & ~127, (ord(c) & ~127) + 128))
+    return "".join(x for x in block if x.isalpha() and (x.islower(), x.isupper()) == (c.islower(), c.isupper()) and not any(x in a for a in alphabets))
+
+
+def _coded(form: str, alphabets: tuple[str, ...], key: bytes, tweak: str, step: int, good: Callable[[str], bool] | None = None) -> str:
+    """form with each letter and digit replaced by one that may stand there: the value step + 1 places on in its cycle.
+
+    Long forms go by stretches of 64 characters; what goes before a stretch is part of its tweak.
+    """
+    out = []
+    for start in range(0, max(1, len(form)), 64):
+        part = form[start : start + 64]
+        ways = [_letters(c, alphabets) for c in part]
+        sizes = [len(w) for w in ways]
+
+        def text(n: int, ways=ways, sizes=sizes) -> str:
+            back = []
+            for w, s in zip(reversed(ways), reversed(sizes)):
+                n, i = divmod(n, s)
+                back.append(w[i])
+            return "".join(reversed(back))
+
+        value = 0
+        for c, w, s in zip(part, ways, sizes):
+            value = value * s + w.index(c)
+        own = hashlib.blake2b(f"{tweak}\0{form[:start]}".encode()).digest()
+        new = _along(value, prod(sizes), key, own, step, (lambda n: good(text(n))) if good and len(form) <= 64 else lambda _: True)
+        out.append(text(new))
+    return "".join(out)
 
 
-class _Stream:
-    """Numbers that depend on the key, the entity and the attempt alone."""
+def _hexadecimal(form: str) -> bool:
+    return 16 <= len(form) <= 64 and all(c in "0123456789abcdefABCDEF" for c in form)
 
-    def __init__(self, key: bytes, kind: str, form: str, attempt: int):
-        self.seed, self.key, self.n = f"{kind}\0{form}\0{attempt}".encode(), key, 0
 
-    def below(self, n: int) -> int:
-        self.n += 1
-        return int.from_bytes(hashlib.blake2b(self.seed + self.n.to_bytes(4, "big"), key=self.key, digest_size=8).digest(), "big") % n
+def _network(form: str) -> int:
+    """How many leading numbers of an address tell what kind it is of."""
+    a, b = map(int, form.split(".")[:2])
+    if a in (0, 10, 127) or a >= 224:
+        return 1
+    return 2 if (a, b) == (192, 168) or (a == 172 and 16 <= b < 32) else 0
 
 
-def _characters(form: str, stream: _Stream) -> str:
-    hexadecimal = len(form) >= 16 and all(c in string.hexdigits for c in form)
-    out = []
-    for c in form:
-        if c.isdigit():
-            out.append(str(stream.below(10)))
-        elif "a" <= c <= "z":
-            out.append(chr(97 + stream.below(6 if hexadecimal else 26)))
-        elif "A" <= c <= "Z":
-            out.append(chr(65 + stream.below(6 if hexadecimal else 26)))
-        else:
-            out.append(c)
-    return "".join(out)
+def _ssn_ok(form: str) -> bool:
+    area, group, serial = form.split("-")
+    return area not in ("000", "666") and area[0] != "9" and group != "00" and serial != "0000"
 
 
-def _letters(n: int, stream: _Stream) -> str:
-    return "".join(chr(97 + stream.below(6)) for _ in range(n))
-
-
-def _surname(form: str, script: str, stream: _Stream, attempt: int) -> str:
-    parts = SYLLABLES[script]
-    return "".join(parts[stream.below(len(parts))] for _ in range(3 + attempt))
+def _issuer(number: str) -> int:
+    return next((i for i, (first, _) in enumerate(_ISSUED) if first.match(number)), -1)
 
 
+@lru_cache(maxsize=20_000)
 def surrogate(kind: str, form: str, key: bytes, attempt: int = 0) -> str:
-    """The normal form that replaces a normal form."""
-    stream = _Stream(key, kind, form, attempt)
-    if kind == "given":  # a keyed rotation of the entity's own list: distinct by itself
-        names = GIVEN[_GIVEN[form]]
-        order = sorted(names, key=lambda n: hashlib.blake2b(n.encode(), key=key).digest())
-        return order[(order.index(form) + 1) % len(order)]
+    """The normal form that replaces a normal form (of e-mail addresses: by the attempt of their domain)."""
+    if kind == "given" and form in _GIVEN:  # a keyed rotation of the name's own list
+        names = sorted(GIVEN[_GIVEN[form]], key=lambda n: hashlib.blake2b(n.encode(), key=key[:64]).digest())
+        return names[(names.index(form) + 1) % len(names)]
+    if kind == "given":
+        return _coded(form[:-1], NAME_LETTERS, key, f"given {form[-1]}", attempt, lambda y: (y + form[-1]).capitalize() not in _GIVEN) + form[-1]
     if kind == "surname":
-        return _surname(form, _script(form), stream, attempt)
+        return _coded(form, NAME_LETTERS, key, kind, attempt)
+    if kind == "domain":
+        *labels, top = form.split(".")
+        return f"{_coded('.'.join(labels), CODE_LETTERS, key, kind, attempt)}.{top}"
     if kind == "email":
         local, _, domain = form.partition("@")
-        labels = domain.split(".")
-        # one surrogate of a domain for all its addresses; later attempts lengthen the local part
-        place = _Stream(key, "domain", domain, 0)
-        return f"{_characters(local, stream)}{_letters(attempt, stream)}@{'.'.join(_characters(x, place) for x in labels[:-1])}.{labels[-1]}"
+        return f"{_coded(local, CODE_LETTERS, key, f'local {domain}', 0)}@{surrogate('domain', domain, key, attempt)}"
     if kind == "card":
-        body = form[0] + "".join(str(stream.below(10)) for _ in form[1:-1])
-        return next(body + str(d) for d in range(10) if luhn(body + str(d)))
+        body, size = form[1:-1], 10 ** (len(form) - 2)
+        closed = lambda n: next(b + str(d) for b in [f"{form[0]}{n:0{len(body)}d}"] for d in range(10) if luhn(b + str(d)))
+        return closed(_along(int(body), size, key, f"card {form[0]}{len(form)}".encode(), attempt, lambda n: _issuer(closed(n)) == _issuer(form)))
     if kind == "ip":
-        return ".".join(str(stream.below(n) + 1) for n in (222, 254, 254, 254))
+        numbers = [int(x) for x in form.split(".")]
+        fixed = _network(form)
+        address = lambda n: ".".join(map(str, [*numbers[:fixed], *(n >> 8 * i & 255 for i in reversed(range(4 - fixed)))]))
+        value = int.from_bytes(bytes(numbers[fixed:]), "big")
+        return address(_along(value, 256 ** (4 - fixed), key, f"ip {numbers[:fixed]}".encode(), attempt, lambda n: _network(address(n)) == fixed))
+    if kind == "ip6":
+        return _coded(form, ("0123456789abcdef",), key, kind, attempt)
     if kind == "iban":
-        body = _characters(form[4:], stream)
+        body = _coded(form[4:], CODE_LETTERS, key, f"iban {form[:2]}", attempt)
         rest = int("".join(str(int(c, 36)) for c in body + form[:2] + "00")) % 97
         return f"{form[:2]}{98 - rest:02d}{body}"
     if kind == "phone":
         head = max(0, len(form) - 10)
-        tail = "".join(str(stream.below(8) + 2) if i in (0, 3) else str(stream.below(10)) for i in range(len(form) - head))
-        return form[:head] + tail
-    return _characters(form, stream) + (_letters(attempt, stream) if kind == "secret" else "")
+        # the digits that open an area and an exchange stay 2 to 9
+        opens = lambda y: [y[i] < "2" for i in (0, 3) if i < len(y)]
+        return form[:head] + _coded(form[head:], CODE_LETTERS, key, f"phone {form[:head]}", attempt, lambda y: opens(y) == opens(form[head:]))
+    if kind == "ssn":
+        return _coded(form, CODE_LETTERS, key, kind, attempt, lambda y: _ssn_ok(y) == _ssn_ok(form))
+    if _hexadecimal(form):
+        return _coded(form, HEX_LETTERS, key, "hex", attempt)
+    return _coded(form, CODE_LETTERS, key, kind, attempt, lambda y: not _hexadecimal(y))
 
 
 def dress(kind: str, new: str, original: str) -> str:
@@ -208,15 +329,22 @@ def dress(kind: str, new: str, original: str) -> str:
     if kind in ("phone", "card", "iban"):
         chars = iter(new)
         return "".join(next(chars) if c.isalnum() else c for c in original)
-    if kind in ("email", "ip6") and original != original.lower():
-        if original == original.upper():
+    if kind in ("email", "ip6", "surname", "given"):
+        if len(original) > 1 and original == original.upper() != original.lower():
             return new.upper()
-        return "".join(n.upper() if o.isupper() else n for o, n in zip(original, new)) if len(original) == len(new) else new
-    if kind == "surname":
-        return new.upper() if original.isupper() else new.capitalize()
+        if kind == "given" and new in _GIVEN:
+            return new
+        if len(original) == len(new):
+            return "".join(n.upper() if o.isupper() else n for o, n in zip(original, new))
+        return new.capitalize() if original[:1].isupper() else new
     return new
 
 
+def _unit(kind: str, form: str) -> tuple[str, str]:
+    """What the collision check looks at for an entity."""
+    return ("domain", form.partition("@")[2]) if kind == "email" else (kind, form)
+
+
 def rewrite(text: str | None, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str | None, list[str]]:
     """The text with surrogates, and the kinds replaced."""
     spans = find(text)
@@ -224,77 +352,77 @@ def rewrite(text: str | None, key: bytes, attempts: dict[tuple[str, str], int])
         return text, []
     parts, at = [], 0
     for start, end, kind, form in spans:
-        parts += [text[at:start], dress(kind, surrogate(kind, form, key, attempts.get((kind, form), 0)), text[start:end])]
+        parts += [text[at:start], dress(kind, surrogate(kind, form, key, attempts.get(_unit(kind, form), 0)), text[start:end])]
         at = end
     return "".join([*parts, text[at:]]), [s[2] for s in spans]
 
 
-def mentions(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key, kind, form of each distinct entity of each document."""
+def _forget() -> None:
+    surrogate.cache_clear()
+
+
+def mentions(df: DataFrame, text: str) -> DataFrame:
+    """digest of the text, kind and form of each distinct unit of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [(k, *e) for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for e in {s[2:] for s in find(t)}]
-            cols = list(zip(*rows)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], b.schema.field(0).type), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())], names=[key, "kind", "form"])
+        for whole in batches:
+            for b in (whole.slice(i, 500) for i in range(0, whole.num_rows, 500)):
+                rows = [(k, *e) for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for e in {_unit(*s[2:]) for s in find(t)}]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in list(zip(*rows)) or [()] * 3], names=["digest", "kind", "form"])
 
-    return df.select(key, text).mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, kind string, form string")
+    return df.select(F.md5(text).alias("digest"), F.col(text).alias("text")).mapInArrow(tidy(run), "digest string, kind string, form string")
 
 
-def _tried(entities: DataFrame, secret: bytes) -> DataFrame:
-    """(kind, form, attempt) with the surrogate of that attempt."""
+def collisions(units: DataFrame, secret: bytes) -> DataFrame | None:
+    """(kind, form, attempt) of the units whose first surrogates are units themselves; None if there are none.
+
+    A later attempt counts if its surrogate is no unit and no unit has been offered it before.
+    """
 
     @F.udf("string", useArrow=True)
     def new(kind, form, attempt):
         return surrogate(kind, form, secret, attempt)
 
-    return entities.withColumn("new", new("kind", "form", "attempt"))
-
-
-def collisions(entities: DataFrame, secret: bytes, most: int = 50) -> DataFrame | None:
-    """(kind, form, attempt) of the entities whose first surrogates are taken; None if all first ones stand.
-
-    Names, e-mail addresses and secrets grow with the attempts, so they always come apart. Numbers keep their format; should
-    it leave too few, that is an error after `most` rounds without progress.
-    """
-    entities = stored(entities.filter("kind <> 'given'").distinct(), "entities")
-    settled = stored(_tried(entities.withColumn("attempt", F.lit(0)), secret), "tried")
-    real = entities.select("kind", F.col("form").alias("new"))
-    changed, fewest, idle = False, None, 0
-    while idle < most:
-        owners = settled.groupBy("kind", "new").agg(F.count("*").alias("n"), F.min(F.struct("attempt", "form")).alias("first")).filter("n > 1").select("kind", "new", F.col("first.form").alias("owner"))
-        clash = settled.join(owners, ["kind", "new"]).filter("form <> owner").select("kind", "form", "attempt")
-        taken = settled.join(real, ["kind", "new"], "left_semi").select("kind", "form", "attempt")
-        again = stored(clash.union(taken).distinct(), "collisions")
-        n = again.count()
-        if not n:
-            return stored(settled.filter("attempt > 0").select("kind", "form", "attempt"), "attempts") if changed else None
-        changed, idle = True, 0 if fewest is None or n < fewest else idle + 1
-        fewest = n if fewest is None else min(n, fewest)
-        nxt = _tried(again.withColumn("attempt", F.col("attempt") + 1), secret)
-        settled = stored(settled.join(again.select("kind", "form"), ["kind", "form"], "left_anti").unionByName(nxt), "tried")
-    raise ValueError("surrogates keep colliding; the key or the formats leave too few")
-
-
-def surrogates(df: DataFrame, secret: bytes, key: str = "doc_id", text: str = "text", kinds: str = "pii_kinds") -> DataFrame:
-    """df with the text rewritten, and the kinds replaced (in order of place) added."""
-    found = stored(mentions(df, key, text), "mentions")
-    retried = collisions(found.select("kind", "form"), secret)
-    columns = df.columns
-    if retried is None:
-        source = df.withColumn("_tries", F.lit(None).cast("array<struct<kind:string,form:string,attempt:int>>"))
+    listed = (F.col("kind") == "given") & F.col("form").isin([*_GIVEN])
+    units = stored(units.filter(~listed).select("kind", "form").distinct(), "units")
+    real = units.select("kind", F.col("form").alias("new"))
+    offered = stored(units.withColumn("attempt", F.lit(0)).withColumn("new", new("kind", "form", "attempt")), "offered")
+    again, taken, moved = stored(offered.join(real, ["kind", "new"], "left_semi").select("kind", "form"), "again"), real.union(offered.select("kind", "new")), None
+    if not again.limit(1).count():
+        return None
+    for attempt in range(1, ROUNDS + 1):
+        offer = stored(again.withColumn("attempt", F.lit(attempt)).withColumn("new", new("kind", "form", "attempt")), "offer")
+        free = stored(offer.join(taken, ["kind", "new"], "left_anti").select("kind", "form", "attempt"), "free")
+        moved = free if moved is None else moved.union(free)
+        again = stored(again.join(free, ["kind", "form"], "left_anti"), "again")
+        taken = taken.union(offer.select("kind", "new"))
+        if not again.limit(1).count():
+            break
+    return stored(moved, "moved")
+
+
+def surrogates(df: DataFrame, secret: bytes, text: str = "text", kinds: str | None = "pii_kinds") -> DataFrame:
+    """df with the text rewritten and, if `kinds` names a column, the kinds replaced (in order of place)."""
+    found = stored(mentions(df, text), "mentions")
+    moved = collisions(found, secret)
+    columns = [c for c in df.columns if c != kinds]
+    source = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.md5(text).alias("digest"))
+    if moved is None:
+        source = source.select("row", F.lit(None).cast("array<struct<kind:string,form:string,attempt:int>>").alias("tries"))
     else:
-        tries = found.join(retried, ["kind", "form"]).groupBy(key).agg(F.collect_set(F.struct("kind", "form", "attempt")).alias("_tries"))
-        source = df.join(stored(tries, "tries"), key, "left").select(*columns, "_tries")
-
-    at = columns.index(text)
+        tries = found.join(small(moved), ["kind", "form"]).groupBy("digest").agg(F.collect_set(F.struct("kind", "form", "attempt")).alias("tries"))
+        source = source.join(small(stored(tries, "tries")), "digest", "left").select("row", "tries")
+    at, row = columns.index(text), source.schema["row"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            tries = [{(x["kind"], x["form"]): x["attempt"] for x in t or ()} for t in b.column(len(columns)).to_pylist()]
-            new, names = zip(*[rewrite(t, secret, a) for t, a in zip(b.column(at).to_pylist(), tries)]) if b.num_rows else ((), ())
-            cols = [pa.array(new, pa.string()) if i == at else b.column(i) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(names, pa.list_(pa.string()))], names=[*columns, kinds])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return source.mapInArrow(run, f"{fields}, `{kinds}` array<string>")
+        for whole in batches:
+            for b in (whole.slice(i, 500) for i in range(0, whole.num_rows, 500)):
+                fields = [pc.struct_field(b.column(0), [i]) for i in range(len(columns))]
+                tries = [{(x["kind"], x["form"]): x["attempt"] for x in t or ()} for t in b.column(1).to_pylist()]
+                new, names = zip(*[rewrite(t, secret, a) for t, a in zip(fields[at].to_pylist(), tries)])
+                fields[at] = pa.array(new, fields[at].type)
+                rows = pa.StructArray.from_arrays(fields, fields=list(b.schema.field(0).type))
+                yield pa.RecordBatch.from_arrays([rows, pa.array(names, pa.list_(pa.string()))], names=["row", "kinds"])
+
+    out = source.mapInArrow(tidy(run, _forget), StructType([StructField("row", row), StructField("kinds", ArrayType(StringType()))]))
+    return out.select("row.*", F.col("kinds").alias(kinds)) if kinds else out.select("row.*")
