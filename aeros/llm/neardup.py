@@ -1,18 +1,21 @@
 """Near-duplicate components by MinHash bands and sequential Bayesian verification.
 
 1. One pass over the texts gives each its distinct word shingles (as 64-bit hashes), a 128-bit digest of that
-   set and MinHash band keys. Equal sets become one node, named by their smallest id.
+   set and MinHash band keys. Equal sets become one node; nodes that share an id are linked.
 2. Nodes that share a band key are candidates. In each bucket all are compared with its most central member
    (the one that shares most buckets with others), which costs one pair a member.
 3. A pair's signatures are compared batch by batch. It is dropped once the posterior probability that its
    similarity reaches the threshold falls below MISS; survivors are checked on their full sets.
 4. Buckets whose members are not yet all in one component are searched whole, block against block, by the same
-   test; buckets that share members are searched together. A block gives only links that join two components.
+   test; buckets that share members are searched together. A block gives only links that join two components, and is
+   bounded both in members and in shingles.
 
 A pair at the threshold shares no band with probability (1 - 0.8**6)**40 = 5e-6, less above it.
 
 Null and empty texts, and texts of white space, have an empty set and are linked with nothing. Rows with a null
-id are nodes of no component: component_id is null and they are kept. Repeated rows with one id are one node.
+id are nodes of no component: component_id is null and they are kept. Repeated rows are one node; rows of one id with
+different texts are one document, in one component (but for those with an empty set, each its own). Of such rows
+keep_first keeps one, with the smallest text. Columns besides the id and the text play no part.
 """
 
 from __future__ import annotations
@@ -27,14 +30,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import small, slices, stored, tidy
 
 BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
 #: Signature positions compared at a time, and the chance of losing a true pair that each stop may take.
 BATCH, MISS = 40, 1e-7
-#: Members of a block of one bucket, and members up to which a bucket is one block.
-BLOCK = 256
+#: Members and shingles of a block of one bucket; members up to which a bucket's join goes by the bucket alone.
+BLOCK, BLOCK_SHINGLES, SALT = 256, 1 << 18, 4096
 _RNG = np.random.default_rng(7)
 _A = _RNG.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _B = _RNG.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -127,7 +130,7 @@ def describe(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """key, n_shingles, digest of the set (null if empty), band keys (null if empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 1)):
             n, digest, bands = [], [], []
             for t in b.column(1).cast(pa.binary()).to_pylist():
                 s = shingles(t, size)
@@ -136,20 +139,18 @@ def describe(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
                 bands.append(band_keys(signature(s)) if len(s) else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "n_shingles", "digest", "bands"])
 
-    return df.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(run, "id long, n_shingles long, digest binary, bands array<long>")
+    return df.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(tidy(run), "id long, n_shingles long, digest binary, bands array<long>")
 
 
 def sets(df: DataFrame, size: int) -> DataFrame:
-    """id, signature and shingles of each row of (id, text)."""
+    """digest, signature and shingles of each row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                found = [shingles(t, size) for t in part.column(1).cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([signature(s).tobytes() for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "signature", "items"])
+        for b in (part for whole in batches for part in slices(whole, 0, 1 << 20)):
+            found = [s for t in b.column(0).cast(pa.binary()).to_pylist() if len(s := shingles(t, size))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in ([xxhash.xxh3_128_digest(s.tobytes()) for s in found], [signature(s).tobytes() for s in found], [s.tobytes() for s in found])], names=["digest", "signature", "items"])
 
-    return df.select("id", "text").mapInArrow(run, "id long, signature binary, items binary")
+    return df.select("text").mapInArrow(tidy(run), "digest binary, signature binary, items binary")
 
 
 def verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
@@ -168,7 +169,7 @@ def verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
                         keep.append(int(i))
             yield pa.RecordBatch.from_arrays([b.column("a").take(pa.array(keep, pa.int64())), b.column("b").take(pa.array(keep, pa.int64()))], names=["a", "b"])
 
-    return joined.select("a", "b", "a_sig", "b_sig", "a_items", "b_items").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "a_sig", "b_sig", "a_items", "b_items").mapInArrow(tidy(run), "a long, b long")
 
 
 def _root(up: list[int], i: int) -> int:
@@ -219,11 +220,11 @@ def smallest_reachable(links: DataFrame) -> DataFrame:
 def _open_pairs(placed: DataFrame) -> DataFrame:
     """Rows (group, x, y, side, id, component) for the block search of buckets (band, n, rep, component) still open.
 
-    Buckets that share members are one group, searched as a whole where that takes fewer rows than bucket by bucket.
+    Rows of placed: band, rep, component and size (its shingles). Buckets that share members are one group, searched as a whole where that takes fewer rows than bucket by bucket.
     In a group, members of its largest component are never compared with each other: they meet only the rest.
     """
     several = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("rep").alias("head")).filter("low <> high")
-    rows = stored(placed.join(several.select("band", "head"), "band"), "open")
+    rows = stored(placed.join(small(stored(several.select("band", "head"), "several")), "band"), "open")
     if not rows.limit(1).count():
         return rows.select(F.lit(0).alias("group"), F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(0).alias("side"), F.col("rep").alias("id"), "component").limit(0)
     # buckets are named by their smallest member; a member links the names of its buckets
@@ -236,10 +237,12 @@ def _open_pairs(placed: DataFrame) -> DataFrame:
     apart = tagged.groupBy("whole", "band").agg(F.count("*").alias("m")).groupBy("whole").agg(F.sum(cost(F.col("m"))).alias("apart"))
     sizes = tagged.select("whole", "rep").distinct().groupBy("whole").agg(F.count("*").alias("m"))
     joint = stored(apart.join(sizes, "whole").select("whole", (cost(F.col("m")) <= F.col("apart")).alias("joint")), "joint")
-    members = stored(tagged.join(joint, "whole").select(F.when(F.col("joint"), F.col("whole")).otherwise(F.col("band")).alias("group"), "joint", "rep", "component").distinct(), "groups")
+    members = stored(tagged.join(joint, "whole").select(F.when(F.col("joint"), F.col("whole")).otherwise(F.col("band")).alias("group"), "joint", "rep", "component", "size").distinct(), "groups")
     keys = ["group", "joint"]
-    per = members.groupBy(*keys, "component").agg(F.count("*").alias("m"))
-    largest = stored(per.groupBy(*keys).agg(F.sum("m").alias("all"), F.max(F.struct("m", "component")).alias("top")).select(*keys, F.col("top.component").alias("main"), F.ceil(F.col("top.m") / BLOCK).cast("int").alias("mains"), F.ceil((F.col("all") - F.col("top.m")) / BLOCK).cast("int").alias("rests")), "largest")
+    per = members.groupBy(*keys, "component").agg(F.count("*").alias("m"), F.sum("size").alias("size"))
+    blocks = lambda m, size: F.ceil(F.greatest(m / BLOCK, size / BLOCK_SHINGLES)).cast("int")
+    whole_group = per.groupBy(*keys).agg(F.sum("m").alias("all"), F.sum("size").alias("sizes"), F.max(F.struct("m", "component", "size")).alias("top"))
+    largest = stored(whole_group.select(*keys, F.col("top.component").alias("main"), blocks(F.col("top.m"), F.col("top.size")).alias("mains"), blocks(F.col("all") - F.col("top.m"), F.col("sizes") - F.col("top.size")).alias("rests")), "largest")
     is_main = F.col("component") == F.col("main")
     own = F.pmod(F.xxhash64("rep"), F.when(is_main, F.col("mains")).otherwise(F.col("rests"))).cast("int")
     to = lambda n: F.sequence(F.lit(0), n - 1)
@@ -259,35 +262,67 @@ def components(df: DataFrame, key: str = "doc_id", text: str = "text", size: int
     """
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     rows = stored(describe(docs, "id", "text", size), "shingles")
-    nodes = stored(rows.filter("digest is not null and id is not null").groupBy("digest").agg(F.min(F.struct("id", "bands")).alias("m")).select("digest", F.col("m.id").alias("rep"), F.col("m.bands").alias("bands")), "nodes")
+    named = rows.filter("digest is not null and id is not null")
+    nodes = named.groupBy("digest").agg(F.min(F.struct("id", "n_shingles", "bands")).alias("m"))
+    # numbers stay as they are, since the table is written
+    nodes = stored(nodes.select("digest", F.monotonically_increasing_id().alias("rep"), F.col("m.id").alias("id"), F.col("m.n_shingles").alias("size"), F.col("m.bands").alias("bands")), "nodes")
 
-    keys = nodes.select("rep", F.explode("bands").alias("band"))
+    keys = nodes.select("rep", "size", F.explode("bands").alias("band"))
     shared = stored(keys.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
-    members = stored(keys.join(shared, "band"), "members")
+    members = stored(keys.join(small(shared), "band"), "members")
     weight = stored(members.groupBy("rep").agg(F.sum("n").alias("weight")), "weights")
-    ranked = members.select("rep", "band").join(weight, "rep")
-    pivots = stored(ranked.groupBy("band").agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("m")).select("band", (-F.col("m.rep")).alias("pivot")), "pivots")
-    pairs = stored(members.join(pivots, "band").filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-
-    found = stored(sets(docs.join(weight.select(F.col("rep").alias("id")), "id").dropDuplicates(["id"]), size), "sets")
-    links = stored(verify(pairs, found, percent), "verified")
+    ranked = members.select("rep", "band", "n").join(weight, "rep")
+    pivots = stored(ranked.groupBy("band").agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("m"), F.first("n").alias("n")).select("band", "n", (-F.col("m.rep")).alias("pivot")), "pivots")
+    # the members of a large bucket are dealt over several copies of its pivot
+    copies = F.ceil(F.col("n") / SALT).cast("int")
+    salted = members.select("rep", "band", F.pmod(F.xxhash64("rep"), copies).cast("int").alias("salt"))
+    asked = small(stored(pivots.select("band", "pivot", F.explode(F.sequence(F.lit(0), copies - 1)).alias("salt")), "asked"))
+    pairs = stored(salted.join(asked, ["band", "salt"]).filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+
+    candidates = nodes.join(weight, "rep").select("digest", "rep", "id")
+    texts = docs.join(candidates.select("id").distinct(), "id")
+    found = stored(sets(texts, size).dropDuplicates(["digest"]).join(candidates.select("digest", F.col("rep").alias("id")), "digest").select("id", "signature", "items"), "sets")
+    links = stored(verify(pairs, found, percent).union(_same_id(named, nodes)), "verified")
     labels = smallest_reachable(links)
 
     # of a bucket of two, the pair has been checked
-    placed = members.filter("n > 2").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("component"))
+    placed = members.filter("n > 2").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("band", "rep", "size", F.coalesce("component", "rep").alias("component"))
     to_search = _open_pairs(stored(placed, "placed"))
     more = to_search.join(found, "id").select("group", "x", "y", "side", "id", "component", "signature", "items").groupBy("group", "x", "y").applyInPandas(lambda g: block_links(g, percent), "a long, b long")
     more = stored(more.distinct(), "links")
     if more.limit(1).count():
         labels = smallest_reachable(links.union(more))
 
-    named = stored(nodes.select("digest", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id")), "named")
-    out = rows.select("id", "n_shingles", "digest").join(named, "digest", "left")
+    # a component is named by its smallest id
+    in_component = nodes.select("digest", "rep", "id").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("digest", "id", F.coalesce("component", "rep").alias("component"))
+    in_component = stored(in_component, "placed")
+    names = in_component.groupBy("component").agg(F.min("id").alias("component_id"), F.count("*").alias("m"))
+    several = stored(names.filter("m > 1").select("component", "component_id"), "several")
+    named_digests = in_component.join(small(several), "component", "left").select("digest", F.coalesce("component_id", "id").alias("component_id"))
+    out = rows.select("id", "n_shingles", "digest").join(stored(named_digests, "named"), "digest", "left")
     place = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(key), "n_shingles", place.alias("component_id")).withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
 
 
+def _same_id(named: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) between the nodes of each id that has several texts."""
+    several = named.groupBy("id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low <> high")
+    several = stored(several.select("id", "low"), "several")
+    if not several.limit(1).count():
+        return several.select(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).limit(0)
+    others = named.join(several, "id").filter("digest <> low").select("low", "digest").distinct()
+    number = nodes.select("digest", "rep")
+    return others.join(number.withColumnRenamed("rep", "a").withColumnRenamed("digest", "low"), "low").join(number.withColumnRenamed("rep", "b"), "digest").select("a", "b")
+
+
 def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of df without those that have a smaller id in their component."""
-    dropped = stored(components(df, key, text, size, percent).filter("not kept").select(key).distinct(), "dropped")
-    return df.join(dropped, key, "left_anti")
+    """The rows of df without those that have a smaller id in their component, one row for each id that repeats."""
+    found = components(df, key, text, size, percent).select(F.col(key).alias("id"), "kept")
+    state = found.filter("id is not null").groupBy("id").agg(F.count("*").alias("m"), F.bool_and("kept").alias("kept")).filter("m > 1 or not kept")
+    state = stored(state.select("id", "kept"), "dropped")
+    own = df.select(F.col(key).cast("long").alias("id"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    once = own.join(state, "id", "left_anti").select("row")
+    if state.filter("kept").limit(1).count():
+        repeated = own.join(state.filter("kept"), "id", "left_semi").groupBy("id").agg(F.min_by("row", F.struct(F.col("row")[text].isNull(), F.col("row")[text], F.to_json("row"))).alias("row"))
+        once = once.union(repeated.select("row"))
+    return once.select("row.*")
