@@ -30,7 +30,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pii.surrogates(docs, PII_KEY, kinds="_pii_kinds").withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    new = pii.surrogates(docs, PII_KEY, kinds=None)
+    return new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
