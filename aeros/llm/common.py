@@ -5,6 +5,8 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
+import re
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -22,13 +24,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: what spark.checkpoint.dir (or setCheckpointDir) names."""
+    """The folder that driver and executors share: what spark.checkpoint.dir (or setCheckpointDir) names.
+
+    Where nothing is set, one machine (as in tests) gets a temporary folder; a cluster gets an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     own = spark.sparkContext._jsc.sc().getCheckpointDir()
     if not folder and own.isDefined():
         folder = own.get()
     if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="aeros-shared-")
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
