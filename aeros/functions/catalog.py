@@ -103,10 +103,10 @@ def select_locations(catalog: DataFrame, wanted: list[str], city: str = "city",
 def place(df: DataFrame, catalog: DataFrame, city: str = "city", lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """region, city, latitude and longitude of each record: from the catalog, else from the latitude, else the default.
 
-    The catalog has some dozens of rows by nature, so it goes to every task.
+    Spark sends the catalog to every task if its size is below spark.sql.autoBroadcastJoinThreshold.
     """
     known = by_name(catalog).select("name_key", F.col("city").alias("_city"), F.col("region").alias("_region"), F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"))
-    joined = df.withColumn("name_key", F.lower(F.trim(city))).join(F.broadcast(known), "name_key", "left")
+    joined = df.withColumn("name_key", F.lower(F.trim(city))).join(known, "name_key", "left")
     here = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     anchor = F.when(F.col(lat) >= 18, "Hanoi").when(F.col(lat) >= 14, "Da Nang").otherwise("HCMC")
     named = F.nullif(F.col(city), F.lit(""))
@@ -123,5 +123,5 @@ def match_provider(df: DataFrame, catalog: DataFrame, default: str = "Hanoi", ci
     """Each location's city in another provider's catalog, by name or alias of either side; `default` when none."""
     mine = by_name(df.withColumn("_row", F.struct(city, alias)), city, alias)
     theirs = by_name(catalog, "city", "alias").select("name_key", F.col("city").alias("provider_city"))
-    first = mine.join(F.broadcast(theirs), "name_key", "left").groupBy("_row").agg(F.min("provider_city").alias("provider_city"))
+    first = mine.join(theirs, "name_key", "left").groupBy("_row").agg(F.min("provider_city").alias("provider_city"))
     return first.select("_row.*", F.coalesce("provider_city", F.lit(default)).alias("provider_city"))

@@ -79,11 +79,13 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
     return df.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), r2.alias("r2"), F.coalesce(mape, F.lit(0.0)).alias("mape"), F.coalesce(F.avg(F.when(y >= high, F.abs(e))), F.lit(0.0)).alias("mae_high"), F.count("*").alias("n"))
 
 
-def drift(expected: DataFrame, actual: DataFrame, features: list[str], bins: int = 10, exact: bool = True) -> DataFrame:
+def drift(expected: DataFrame, actual: DataFrame, features: list[str], bins: int = 10, exact: bool = False) -> DataFrame:
     """Per feature: psi, means and deviations on both sides, status.
 
     Bins are cut at the quantiles of the expected side; a value's bin is the number of inner cuts at or below it. The cuts
-    (features x bins numbers) are the only thing that goes to all tasks. exact=False takes quantiles from a sketch.
+    (features x bins numbers) are the only thing that goes to all tasks. They come from a sketch; exact=True keeps every
+    distinct value of a feature in one task. Sums are taken of the distance to the middle cut, so that large means with
+    a small spread lose no digits.
     """
     features = [f for f in features if f in expected.columns and f in actual.columns]
     side = lambda df, name: unpivot(df, features, "feature_name", "value").filter("value IS NOT NULL").withColumn("side", F.lit(name))
@@ -92,10 +94,11 @@ def drift(expected: DataFrame, actual: DataFrame, features: list[str], bins: int
     cuts = e.groupBy("feature_name").agg((F.percentile("value", at) if exact else F.percentile_approx("value", at, F.lit(100_000))).alias("cuts"))
     binned = e.unionByName(a).join(F.broadcast(cuts), "feature_name")
     bin_ = F.aggregate("cuts", F.lit(0), lambda n, c: n + (c <= F.col("value")).cast("int"))
+    center = F.col("cuts")[bins // 2 - 1] if bins > 1 else F.lit(0.0)
     mass = lambda s: F.sum((F.col("side") == s).cast("long"))
-    sums = [mass("e").alias("ne"), mass("a").alias("na")]
+    sums = [mass("e").alias("ne"), mass("a").alias("na"), F.first(center).alias("center")]
     for s in "ea":
-        v = F.when(F.col("side") == s, F.col("value"))
+        v = F.when(F.col("side") == s, F.col("value") - center)
         sums += [F.sum(v).alias(f"s{s}"), F.sum(v * v).alias(f"q{s}")]
     per_bin = binned.groupBy("feature_name", bin_.alias("bin")).agg(*sums)
     totals = per_bin.groupBy("feature_name").agg(F.sum("ne").alias("te"), F.sum("na").alias("ta"))
@@ -106,16 +109,16 @@ def drift(expected: DataFrame, actual: DataFrame, features: list[str], bins: int
     both = per_bin.join(F.broadcast(totals), "feature_name").filter("te > 0 AND ta > 0")
     out = both.groupBy("feature_name").agg(
         F.sum((pa_ - pe) * F.ln(pa_ / pe)).alias("psi"),
-        (F.sum("se") / F.first("te")).alias("mean_train"),
-        (F.sum("sa") / F.first("ta")).alias("mean_serving"),
+        (F.first("center") + F.sum("se") / F.first("te")).alias("mean_train"),
+        (F.first("center") + F.sum("sa") / F.first("ta")).alias("mean_serving"),
         spread("e", "te").alias("std_train"),
         spread("a", "ta").alias("std_serving"),
     )
     return out.withColumn("status", psi_status(F.col("psi")))
 
 
-def psi(expected: DataFrame, actual: DataFrame, feature: str, bins: int = 10) -> DataFrame:
-    return drift(expected, actual, [feature], bins).select("feature_name", "psi")
+def psi(expected: DataFrame, actual: DataFrame, feature: str, bins: int = 10, exact: bool = False) -> DataFrame:
+    return drift(expected, actual, [feature], bins, exact).select("feature_name", "psi")
 
 
 def rows_per_split(df: DataFrame, split: str = "split") -> DataFrame:

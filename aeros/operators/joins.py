@@ -25,9 +25,9 @@ def merge_latest(weather: DataFrame, air: DataFrame, key: str = "city", ts: str
     return w.join(a, key).withColumn(ts, F.greatest(ts, "_air_ts")).drop("_air_ts")
 
 
-def lookup(df: DataFrame, dimension: DataFrame, on: str, small: bool = True) -> DataFrame:
-    """Left lookup. small: the dimension is a catalog of bounded size and goes to every task."""
-    return df.join(F.broadcast(dimension) if small else dimension, on, "left")
+def lookup(df: DataFrame, dimension: DataFrame, on: str) -> DataFrame:
+    """Left lookup. Spark sends the dimension to every task if its size is below spark.sql.autoBroadcastJoinThreshold."""
+    return df.join(dimension, on, "left")
 
 
 def first_valid_source(df: DataFrame, keys: list[str], priority: list[str], valid, source: str = "source", tie: str = "event_id") -> DataFrame:

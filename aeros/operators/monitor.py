@@ -19,14 +19,15 @@ def metric(df: DataFrame, as_of: Column, category: str, name: Column | str, valu
     return df.select(as_of.alias("metric_time"), F.to_date(as_of).alias("metric_date"), F.lit(category).alias("category"), name.alias("metric_name"), F.col(value).cast("double").alias("metric_value"), severity(F.col(value), warning, critical).alias("severity"))
 
 
-def quality_metrics(df: DataFrame, as_of: Column, columns: list[str], keys: list[str], station: str = "station_id", event: str = "event_time", ingestion: str = "ingestion_time") -> DataFrame:
+def quality_metrics(df: DataFrame, as_of: Column, columns: list[str], keys: list[str], station: str = "station_id", event: str = "event_time", ingestion: str = "ingestion_time", exact: bool = False) -> DataFrame:
+    """exact: take the delay's percentile from all values and not from a sketch."""
     parts = [
         metric(missing_rate(df, columns), as_of, "data_quality", F.concat(F.lit("missing_rate_"), "column_name"), "missing_rate", "missing_rate"),
         metric(duplicate_rate(df, keys), as_of, "data_quality", "duplicate_rate", "duplicate_rate", "duplicate_rate"),
         metric(max_silence(df, as_of, station, event), as_of, "freshness", "max_station_silence_minutes", "max_silence_minutes", "station_silence_minutes"),
     ]
     if ingestion in df.columns:
-        delays = delay_stats(df, event, ingestion, exact=True)
+        delays = delay_stats(df, event, ingestion, exact=exact)
         parts.append(metric(delays, as_of, "freshness", "ingestion_delay_p95_seconds", "p95_delay_seconds", "delay_p95_seconds"))
     out = parts[0]
     for p in parts[1:]:

@@ -38,10 +38,24 @@ def split_repeats(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return df.withColumn("error_type", F.when(n > 1, "duplicate_event"))
 
 
-def forward_fill(df: DataFrame, columns: list[str] = SENSORS, station: str = "station_id", ts: str = "timestamp", drop_empty: bool = True) -> DataFrame:
-    w = Window.partitionBy(station).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+def forward_fill(df: DataFrame, columns: list[str] = SENSORS, station: str = "station_id", ts: str = "timestamp", drop_empty: bool = True, bucket: str | None = None) -> DataFrame:
+    """Each null takes the station's last value before it.
+
+    bucket (a unit of date_trunc, such as 'month') fills within a station's buckets and carries each bucket's last values
+    into the next ones, so that no task sorts a station's whole history; only one row a bucket is ordered by station.
+    """
     columns = [c for c in columns if c in df.columns]
-    out = df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+    last = lambda w: {c: F.last(c, ignorenulls=True).over(w) for c in columns}
+    if bucket is None:
+        out = df.withColumns(last(Window.partitionBy(station).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)))
+        return any_sensor(out, columns) if drop_empty else out
+    cut = df.withColumn("_bucket", F.date_trunc(bucket, ts))
+    ends = cut.groupBy(station, "_bucket").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(c) for c in columns])
+    carried = ends.withColumns(last(Window.partitionBy(station).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)))
+    carried = carried.select(F.col(station).alias("_station"), F.col("_bucket").alias("_from"), *[F.col(c).alias(f"_carried_{c}") for c in columns])
+    inside = cut.withColumns(last(Window.partitionBy(station, "_bucket").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)))
+    joined = inside.join(carried, F.col(station).eqNullSafe(F.col("_station")) & F.col("_bucket").eqNullSafe(F.col("_from")), "left")
+    out = joined.withColumns({c: F.coalesce(c, f"_carried_{c}") for c in columns}).select(*df.columns)
     return any_sensor(out, columns) if drop_empty else out
 
 

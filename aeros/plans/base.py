@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -50,8 +51,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Stations that the users of the events are dealt over; the SQL has 10.
+STATIONS = 10
+
+
 def sensors(events: DataFrame) -> DataFrame:
-    return events.selectExpr(*[f"{e} AS {n}" for e, n in SENSOR])
+    own = {n: e.replace("user_id % 10", f"user_id % {STATIONS}") if n in ("station_id", "city") else e for e, n in SENSOR}
+    return events.selectExpr(*[f"{e} AS {n}" for n, e in own.items()])
 
 
 def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +161,9 @@ def scratch(spark: SparkSession, name: str) -> str:
         own = spark.sparkContext._jsc.sc().getCheckpointDir()
         if own.isDefined():
             root = own.get()
-        else:
+        elif not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        else:  # one machine, as in tests
             root = tempfile.mkdtemp(prefix="aeros-plans-")
             spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():

@@ -174,12 +174,12 @@ def _sides(spark, d):
 
 @register("agg15", over("s", f"SELECT feature_name, psi FROM ({_drift_sql()}) WHERE feature_name = 'pm25'"), "psi")
 def agg15(spark, d):
-    return G.psi(*_sides(spark, d), "pm25")
+    return G.psi(*_sides(spark, d), "pm25", exact=True)
 
 
 @register("agg16", over("s", f"SELECT * FROM ({_drift_sql()})"), "psi mean_train mean_serving std_train std_serving")
 def agg16(spark, d):
-    return G.drift(*_sides(spark, d), _DRIFT_COLUMNS)
+    return G.drift(*_sides(spark, d), _DRIFT_COLUMNS, exact=True)
 
 
 _SPLIT = f"CASE WHEN event_time <= TIMESTAMP '{TRAIN_END}' THEN 'train' WHEN event_time <= TIMESTAMP '{VAL_END}' THEN 'val' ELSE 'test' END"
@@ -381,10 +381,16 @@ _MON = " UNION ALL ".join(
 )
 
 
-@register("mon1", over("s", _MON), "metric_value")
+_GROWTH = "(mae - previous) / nullif(previous, 0)"
+_PERFORMANCE = f"""SELECT 'performance' AS category, 'mae_vs_previous' AS metric_name, mae AS metric_value,
+ CASE WHEN previous IS NULL OR previous <= 0 THEN 'unknown' WHEN {_GROWTH} > 0.20 THEN 'critical' WHEN {_GROWTH} > 0.10 THEN 'warning' ELSE 'stable' END AS severity
+ FROM (SELECT mae, lead(mae) OVER w AS previous, row_number() OVER w AS n FROM ({_RUNS}) WINDOW w AS (PARTITION BY task, model_name, horizon ORDER BY recorded_at DESC, run_id DESC)) WHERE n = 1"""
+
+
+@register("mon1", over("s", f"{_MON} UNION ALL {_PERFORMANCE}"), "metric_value")
 def mon1(spark, d):
     s = sensor(spark, d).withColumn("hour_ts", F.date_trunc("hour", "event_time"))
-    return M.daily(s, _as_of(), _MISSING, ["station_id", "hour_ts"]).select("category", "metric_name", "metric_value", "severity")
+    return M.daily(s, _as_of(), _MISSING, ["station_id", "hour_ts"], _snapshots(spark, d), exact=True).select("category", "metric_name", "metric_value", "severity")
 
 
 @register("ml6", over("s", f"SELECT task, model_name, horizon, run_id, mae, mae_high FROM ({_RUNS}) WHERE mae > 0 AND mae_high <= mae * 2.5"), "mae mae_high")
@@ -476,7 +482,7 @@ def snk12(spark, d):
 @register("snk13", over("s", f"SELECT metric_name, metric_value, severity FROM ({_MON})"), "metric_value")
 def snk13(spark, d):
     s = sensor(spark, d).withColumn("hour_ts", F.date_trunc("hour", "event_time"))
-    rows = M.daily(s, _as_of(), _MISSING, ["station_id", "hour_ts"])
+    rows = M.daily(s, _as_of(), _MISSING, ["station_id", "hour_ts"], exact=True)
     return _written(spark, rows, "snk13", sinks.append_metrics).select("metric_name", "metric_value", "severity")
 
 

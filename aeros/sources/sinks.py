@@ -13,8 +13,8 @@ KEY, FALLBACK_KEY = ["station_id", "timestamp", "model_name", "horizon"], ["stat
 
 
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", by: list[str] = ()) -> None:
-    """Rows of one partition value are brought together first, so a partition has few files; AQE splits large ones."""
-    out = df.repartition(*by) if by else df
+    """Rows of one partition value are brought together first, so a partition has few files; AQE splits large ones over tasks."""
+    out = df.hint("rebalance", *by) if by else df
     writer = out.write.format(fmt).mode(mode)
     (writer.partitionBy(*by) if by else writer).save(path)
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,3 +193,21 @@ def test_stamp_and_alert(spark):
     out = add_alert_target(df)
     assert [r["target_alert_1h"] for r in out.collect()] == [0, 1, 0] and add_alert_target(out) is out
     assert stamp(df, 1, "models:/name/3", "3", "b").first()["model_name"] == "name"
+
+
+@pytest.mark.parametrize("bucket", ["day", "hour", "month"])
+def test_forward_fill_by_buckets(spark, bucket):
+    rng = random.Random(7)
+    rows = [(rng.choice(["a", "b", None]), T0 + dt.timedelta(hours=7 * i), rng.choice([None, None, float(i)]), rng.choice([None, 2.0 * i])) for i in range(200)]
+    df = spark.createDataFrame(rows, "station_id string, timestamp timestamp, humidity double, pressure double")
+    whole = windows.forward_fill(df, ["humidity", "pressure"])
+    parts = windows.forward_fill(df, ["humidity", "pressure"], bucket=bucket)
+    assert parts.columns == whole.columns and sorted(map(str, parts.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_drift_keeps_digits(spark):
+    """A large mean with a small spread."""
+    rows = [(1e9 + i % 7,) for i in range(2000)]
+    df = spark.createDataFrame(rows, "pressure double")
+    row = aggregates.drift(df, df, ["pressure"]).first()
+    assert row["std_train"] == pytest.approx(float(np.std([r[0] for r in rows])), rel=1e-9) and row["mean_serving"] == pytest.approx(1e9 + 3, abs=0.01)
