@@ -280,7 +280,7 @@ def components(df: DataFrame, key: str = "doc_id", text: str = "text", size: int
     pairs = stored(salted.join(asked, ["band", "salt"]).filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
 
     candidates = nodes.join(weight, "rep").select("digest", "rep", "id")
-    texts = docs.join(candidates.select("id").distinct(), "id")
+    texts = docs.join(small(stored(candidates.select("id").distinct(), "candidates")), "id")
     found = stored(sets(texts, size).dropDuplicates(["digest"]).join(candidates.select("digest", F.col("rep").alias("id")), "digest").select("id", "signature", "items"), "sets")
     links = stored(verify(pairs, found, percent).union(_same_id(named, nodes)), "verified")
     labels = smallest_reachable(links)
