@@ -286,6 +286,58 @@ def test_toxicity_learns(spark):
     assert toxicity.score(df.limit(0), model).count() == 0
 
 
+def _tree_value(text, x):
+    """Prediction of one tree from its printed form: nested tests of a feature against a threshold."""
+    lines = [x_.strip() for x_ in text.splitlines() if x_.strip().startswith(("If", "Else", "Predict"))]
+
+    def walk(i):
+        if lines[i].startswith("Predict"):
+            return float(lines[i].split(":")[1]), i + 1
+        _, feature, sign, bound = lines[i].strip("If ()").split(" ")
+        left, i = walk(i + 1)
+        right, i = walk(i + 1)
+        return (left if (x[int(feature)] <= float(bound)) == (sign == "<=") else right), i
+
+    return walk(0)[0]
+
+
+def test_scores_match_printed_trees(spark):
+    """Scores recomputed from the trees' printed form and the steps of the calibration, with extra columns and ties."""
+    rng = random.Random(3)
+    docs = [(i, " ".join(rng.choice(["you", "idiot", "Fine", "day", "GO", "m0ron!", "zork"][: 4 + i % 4]) for _ in range(rng.randint(1, 30))), 1.0) for i in range(150)]
+    docs += [docs[5], (None, docs[5][1], 2.0), (900, None, 0.0)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, prediction double").withColumns({"probability": F.lit(1), "features": F.lit("f"), "row": F.lit("r"), "raw": F.lit(2)})
+    labels = spark.createDataFrame([(i, int("zork" in t or "idiot" in t)) for i, t, _ in docs[:150]], "doc_id long, toxic int")
+    model = toxicity.learn(labels, df)
+    printed = [t.toDebugString for t in model.trees.trees]
+    weights, at, levels = model.trees.treeWeights, np.array(model.scale.boundaries.toArray()), np.array(model.scale.predictions.toArray())
+    out = toxicity.scored(df, model, df.columns).select("row.*", "score").collect()
+    assert len(out) == len(docs) and out[0].asDict().keys() == {*df.columns, "score"}
+    for r in out:
+        x = toxicity.features(r["text"], model.lexicon)
+        raw = 1 / (1 + math.exp(-2 * sum(w * _tree_value(t, x) for w, t in zip(weights, printed))))
+        assert r["score"] == pytest.approx(0.999 * float(np.interp(raw, at, levels)) + 0.001 * raw, abs=1e-6)
+    assert len({r["score"] for r in out if r["text"] == docs[5][1]}) == 1
+
+
+def test_pipeline_stages_with_odd_rows(spark):
+    """Null ids, null and empty texts, repeated rows, empty tables, and columns with the names that stages use."""
+    docs = table(spark, SF, "documents").limit(40)
+    odd = spark.createDataFrame([(None, "same text of some words here", "en", "s", 28), (None, None, "en", "s", None), (7001, "", "en", "s", 0), (7002, "write to ann.19@mail5.example.com", "en", "s", 33), (7002, "write to ann.19@mail5.example.com", "en", "s", 33)], "doc_id long, text string, lang string, source string, n_chars long")
+    every = docs.select(*odd.columns).union(odd).withColumns({c: F.lit(1) for c in ("prediction", "probability", "_tries", "_toxicity", "row", "id", "digest", "kept", "label")})
+    for docs in (every, every.limit(0)):
+        n = docs.count()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, SF)
+            assert out.columns == docs.columns, name
+            rows = out.select("doc_id", "text").collect()
+            if n:
+                assert sum(r["doc_id"] is None for r in rows) == 2 and sum(r["doc_id"] == 7002 for r in rows) == (1 if name == "near_dedup" else 2), name
+            else:
+                assert rows == []
+        assert (corpus_pipeline.pack(spark, docs, SF).count() >= n) and {"sequence_id", "offset"} <= {*corpus_pipeline.pack(spark, docs, SF).columns}
+
+
 def test_features():
     f = dict(zip(toxicity.FEATURES, toxicity.features("YOU id10t!! i.d.i.o.t, you are an idiot", dict.fromkeys(["idiot"], 1.0))))
     assert f["hits"] == 1 and f["near_you"] == 1 and f["hidden_hits"] >= 1 and f["capitals"] > 0 and f["exclaims"] > 0
