@@ -1,4 +1,4 @@
-"""Queries of training, scoring and streams. They have no SQL; tests compare them with batch results."""
+"""Queries of training, scoring and streams. Tests compare those without SQL with batch results."""
 
 from __future__ import annotations
 
@@ -6,9 +6,10 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
+from ..ml import jobs
 from ..ml import regression as L
 from ..operators import projections as J
-from ..operators.windows import add_targets
+from ..operators.windows import add_targets, first_per_key
 from ..schemas import UNIFIED
 from ..streaming import operators as S
 from .base import AIR_TOPIC, TRAIN_END, VAL_END, WEATHER_TOPIC, features, over, register, scratch, sensor, sensors, table
@@ -56,14 +57,20 @@ def ml5(spark, d):
 
 @register("ml7")
 def ml7(spark, d):
-    _, scored = _trained(spark, d)
-    return L.snapshot(scored, _TARGET)
+    data, root = scratch(spark, "ml7-curated"), scratch(spark, "ml7")
+    _frame(spark, d).write.parquet(data)
+    jobs.train_job(spark, data, root, "pm25_h1", _TARGET, _NUMERIC, 1, TRAIN_END, VAL_END, params=L.GBT)
+    return jobs.evaluations(spark, root).select("split", "metric_name", "metric_value")
 
 
 @register("ml9")
 def ml9(spark, d):
     model, _ = _trained(spark, d)
-    return L.score(_frame(spark, d).select("station_id", "timestamp", *L.CATEGORICAL, *_NUMERIC), model, _NUMERIC, 1, "models:/pm25_h1/1", "1", "b").select("station_id", "timestamp", "prediction", "horizon", "model_name")
+    data, root, out = scratch(spark, "ml9-curated"), scratch(spark, "ml9"), scratch(spark, "ml9-predictions")
+    L.save_version(spark, model, root, "pm25_h1", "r1")
+    features(sensor(spark, d)).select("station_id", "timestamp", *L.CATEGORICAL, *_NUMERIC).write.parquet(data)
+    jobs.batch_score(spark, data, root, out, "pm25_h1", _NUMERIC, 1)
+    return spark.read.parquet(out).select("station_id", "timestamp", "prediction", "horizon", "model_name")
 
 
 def _all_models(spark, d):
@@ -154,11 +161,21 @@ def _sides(spark, d):
 
 @register("jon4")
 def jon4(spark, d):
+    """The join as a stream run to its end: unmatched rows that the watermark has not passed by then are not given."""
     joined = S.interval_join(*_sides(spark, d))
     return run_to_end(joined.select("station_id", "event_time", "a_station_id", "a_event_time", "temp_c", "pm2_5"), "jon4")
 
 
-@register("str3")
+_CHANGED = "pressure_delta_3h wind_shear_U wind_shear_V temp_mean_6h pm25_acc_12h"
+_STATE = """SELECT station_id, timestamp, coalesce(pressure - lag(pressure, 3) OVER o, 0) AS pressure_delta_3h, coalesce(u - lag(u) OVER o, 0) AS wind_shear_U, coalesce(v - lag(v) OVER o, 0) AS wind_shear_V,
+ coalesce(avg(temp_c) OVER (o ROWS BETWEEN 5 PRECEDING AND CURRENT ROW), 0) AS temp_mean_6h, coalesce(sum(pm2_5) OVER (o ROWS BETWEEN 11 PRECEDING AND CURRENT ROW), 0) AS pm25_acc_12h
+ FROM (SELECT station_id, event_time AS timestamp, pressure_hpa AS pressure, -wind_speed_mps * sin(radians(wind_direction_deg)) AS u, -wind_speed_mps * cos(radians(wind_direction_deg)) AS v,
+  last_value(temperature_c IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS temp_c,
+  last_value(pm25 IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS pm2_5 FROM s)
+ WINDOW o AS (PARTITION BY station_id ORDER BY timestamp)"""
+
+
+@register("str3", over("s", _STATE), _CHANGED)
 def str3(spark, d):
     e = sensors(_events(spark, d)).withColumn("timestamp", F.col("event_time"))
     rows = J.canonical_weather(e, ["station_id", "timestamp", "pm25"]).withColumnRenamed("pm25", "pm2_5")
@@ -166,26 +183,46 @@ def str3(spark, d):
     return run_to_end(S.stateful_changes(rows), "str3").select("station_id", "timestamp", *S.CHANGES)
 
 
+def _scorer(spark, d):
+    """A registered model as a job loads it; scores rows of any frame that has its features."""
+    root = scratch(spark, "registry")
+    L.save_version(spark, _trained(spark, d, "linear")[0], root, "pm25_h1", "r1")
+    model = L.load_models(spark, root, ["pm25_h1"])["pm25_h1"]
+    return lambda df: L.score(df, model, _NUMERIC, 1, "models:/pm25_h1/1", "1", "stream")
+
+
+def _flow(spark, d):
+    """Paths of the observations and the alerts of the joined stream."""
+    score, path, alerts = _scorer(spark, d), scratch(spark, "str5"), scratch(spark, "str5-alerts")
+    unified = S.unify(S.interval_join(*_sides(spark, d), how="inner"))
+    job = S.feature_batch(path, lambda df: L.long_predictions(score(df), {"prediction": ("pm25", "h1")}), alerts)
+    S.start(S.stateful_changes(unified), scratch(spark, "str5-checkpoint"), "available-now", batch=job).awaitTermination()
+    return path, alerts
+
+
 @register("str5")
 def str5(spark, d):
-    unified = S.unify(S.interval_join(*_sides(spark, d), how="inner"))
-    path = scratch(spark, "str5")
-    S.start(S.stateful_changes(unified), scratch(spark, "str5-checkpoint"), "available-now", batch=S.feature_batch(path)).awaitTermination()
-    return spark.read.parquet(path)
+    return spark.read.parquet(_flow(spark, d)[0])
+
+
+@register("str5_alerts")
+def str5_alerts(spark, d):
+    return spark.read.parquet(_flow(spark, d)[1])
 
 
 @register("str7")
 def str7(spark, d):
     path = scratch(spark, "str7")
-    job = S.scoring_batch(lambda df: df.withColumn("prediction", F.col("pm2_5")), path, WEATHER_TOPIC, AIR_TOPIC, UNIFIED, "station_id")
+    job = S.scoring_batch(_scorer(spark, d), path, WEATHER_TOPIC, AIR_TOPIC, UNIFIED)
     S.start(_messages(sensors(_events(spark, d))), scratch(spark, "str7-checkpoint"), "available-now", batch=job).awaitTermination()
-    return spark.read.parquet(path).select("station_id", "timestamp", "prediction")
+    return spark.read.parquet(path).select("station_id", "timestamp", "prediction", "model_name")
 
 
-@register("str9", over("s", "SELECT city, max(event_time) AS last_event_time FROM s GROUP BY 1"))
+@register("str9", over("s", "SELECT DISTINCT city, date_trunc('hour', event_time) AS event_time FROM s"))
 def str9(spark, d):
-    e = sensors(_events(spark, d)).select("event_id", "city", "event_time")
-    return run_to_end(S.only_newer(e), "str9").groupBy("city").agg(F.max("event_time").alias("last_event_time"))
+    """Many rows of a city share an hour: one a city and hour is newer than those before it."""
+    e = sensors(_events(spark, d)).select("event_id", "city", F.date_trunc("hour", "event_time").alias("event_time"))
+    return run_to_end(S.only_newer(e), "str9").select("city", "event_time")
 
 
 @register("str10", over("s", "SELECT CASE WHEN humidity + 40 > 100 THEN 'dead_letter' ELSE 'accepted' END AS outcome, count(*) AS n FROM s GROUP BY 1"))
@@ -202,17 +239,28 @@ def str10(spark, d):
 
 @register("str11", over("s", """SELECT station_id, w AS window_start, w + INTERVAL 1 HOUR AS window_end, avg(aqi) AS avg_aqi, avg(pm25) AS avg_pm25, count(*) AS n FROM (SELECT *, unnest([time_bucket(INTERVAL 15 MINUTE, event_time) - INTERVAL 45 MINUTE, time_bucket(INTERVAL 15 MINUTE, event_time) - INTERVAL 30 MINUTE, time_bucket(INTERVAL 15 MINUTE, event_time) - INTERVAL 15 MINUTE, time_bucket(INTERVAL 15 MINUTE, event_time)]) AS w FROM s) GROUP BY 1, 2"""), "avg_aqi avg_pm25")
 def str11(spark, d):
-    """The sliding windows over the whole table as a batch: a stream gives the same windows once they close."""
-    return S.sliding_averages(sensor(spark, d), values=("aqi", "pm25"), ts="event_time")
+    """The windows as the stream updates them; of a window that several micro-batches give, the last row counts."""
+    path = scratch(spark, "str11")
+    e = sensors(_events(spark, d)).withWatermark("event_time", S.LATE)
+    job = lambda df, i: df.withColumn("_batch", F.lit(i)).write.mode("append").parquet(path)
+    S.start(S.sliding_averages(e, values=("aqi", "pm25"), ts="event_time"), scratch(spark, "str11-checkpoint"), "available-now", mode="update", batch=job).awaitTermination()
+    return first_per_key(spark.read.parquet(path), ["station_id", "window_start"], [F.desc("_batch")]).drop("_batch")
+
+
+_RUNS = """SELECT station_id, hour_ts, row_number() OVER (PARTITION BY station_id, island ORDER BY hour_ts) AS hours_in_row, peak
+ FROM (SELECT *, hour_ts - to_hours(row_number() OVER (PARTITION BY station_id ORDER BY hour_ts)) AS island
+  FROM (SELECT station_id, date_trunc('hour', event_time) AS hour_ts, max(pm25) AS peak FROM s WHERE pm25 IS NOT NULL GROUP BY 1, 2) WHERE peak >= 35)
+ QUALIFY hours_in_row >= 3"""
 
 
-@register("str12")
+@register("str12", over("s", _RUNS), "peak")
 def str12(spark, d):
     e = sensors(_events(spark, d)).filter("pm25 IS NOT NULL").select("station_id", F.col("event_time").alias("timestamp"), F.col("pm25").alias("pm2_5"))
-    return run_to_end(S.hazard_alerts(e, 35.0, 3), "str12")
+    alerts = run_to_end(S.hazard_alerts(e, 35.0, 3), "str12")
+    return alerts.groupBy("station_id", "hour_ts").agg(F.max("hours_in_row").alias("hours_in_row"), F.max("peak").alias("peak"))
 
 
-@register("str6")
+@register("str6", over("s", "SELECT station_id, event_time AS timestamp, latitude, longitude FROM s"))
 def str6(spark, d):
     """Two runs from fresh checkpoints: the second overwrites what the first wrote."""
     path = scratch(spark, "str6")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from aeros.ml import jobs
 from aeros.ml import regression as L
 from aeros.operators.windows import add_targets
 from aeros.plans.base import TRAIN_END, VAL_END, features, sensor
@@ -47,6 +48,24 @@ def test_score_many_and_versions(spark, frame, trained, tmp_path):
     assert set(frame.drop(TARGET).columns) < set(out.columns)
 
 
+def test_train_and_score_jobs(spark, frame, tmp_path):
+    """A run is noted in any case and registered if it passes; scoring takes the latest version and appends."""
+    data, root, out = (str(tmp_path / n) for n in ("data", "root", "out"))
+    frame.write.parquet(data)
+    run = lambda ratio, **kw: jobs.train_job(spark, data, root, "m", TARGET, NUMERIC, 1, TRAIN_END, VAL_END, kind="linear", ratio=ratio, **kw)[1]
+    assert run(0.0, run_id="refused") is None
+    with pytest.raises(ValueError, match="no version"):
+        jobs.batch_score(spark, data, root, out, "m", NUMERIC, 1)
+    assert [run(1000.0, run_id="a"), run(1000.0, register=False), run(1000.0, run_id="b")] == [1, None, 2]
+    noted = jobs.evaluations(spark, root)
+    assert noted.count() == 4 * 2 * len(L.METRICS) and noted.filter("run_id = 'refused' AND split = 'val' AND metric_name = 'mae' AND metric_value > 0").count() == 1
+    want = L.evaluate(L.train(frame, TARGET, NUMERIC, TRAIN_END, VAL_END, kind="linear")[1].filter("split = 'test'"), TARGET).first()["mae"]
+    assert noted.filter("run_id = 'a' AND split = 'test' AND metric_name = 'mae'").first()["metric_value"] == pytest.approx(want)
+    ids = [jobs.batch_score(spark, data, root, out, "m", NUMERIC, 1) for _ in range(2)]
+    rows = spark.read.parquet(out).groupBy("batch_id", "model_name", "model_version").count().collect()
+    assert sorted((r[0], r[1], str(r[2]), r[3]) for r in rows) == sorted((i, "m", "2", frame.count()) for i in ids)
+
+
 def test_errors(frame):
     with pytest.raises(ValueError, match="no regressor"):
         L.regressor("forest", "y")
