@@ -9,13 +9,15 @@ context of 0 to DEPTH bytes before it, a Krichevsky-Trofimov estimate. Weighted
 they give the probability of a bit given the training documents. A context that training has not seen is no node: the tree
 ends above it. The score sums log10 over the document; the code length per byte follows from it.
 
-On Spark: documents are dealt into buckets of BUCKET neighbouring rows. A bucket's distinct n-grams and words are counted
-once and dealt into parts, each as one compressed sorted list; a part sums its lists over all buckets, weighs its
-contexts, and sends each bucket's list back with its values. N-grams are dealt by their nearest bytes; the levels
-above are merged by their nearest byte, and the topmost two (65,535 binary nodes at most, by their form) on the
-driver. Values travel as 32-bit floats; words are told apart by 63-bit hashes.
-
-Null and empty texts are the end token alone. With no training documents every bit has probability 1/2.
+On Spark: documents are dealt into buckets of at most BUCKET neighbouring rows and about BUCKET_BYTES; a text over LONG
+bytes is a bucket of its own. A bucket's distinct n-grams and words are counted once and dealt into parts, each as one
+compressed sorted list; a part sums its lists over all buckets, weighs its contexts, and sends each bucket's list back
+with its values. N-grams are dealt by their TOP nearest bytes; the levels above are sums by Spark, one level from the
+other, and the topmost two (65,535 binary nodes at most, by their form) are merged on the driver. Values travel as
+32-bit floats; words are told apart by 63-bit hashes.
+
+Null and empty texts are the end token alone. With no training documents every bit has probability 1/2. Repeated rows
+and rows of one id are scored each by itself, and count as often as they occur. No column but the id and the text plays a part.
 """
 
 from __future__ import annotations
@@ -28,16 +30,18 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import release, small, stored, tidy
 
 DEPTH = 6
 #: Rows of a bucket; bytes that are worked on at a time; bytes of text for each part of the tree.
 BUCKET, CHUNK, PART = 6144, 2 << 20, 4 << 20
-#: Ways in which the contexts that share their two nearest bytes are dealt over parts.
-SALT = 8
+#: Bytes of text that a bucket holds, about; bytes beyond which a text is a bucket of its own.
+BUCKET_BYTES, LONG = 20 << 20, 1 << 20
+#: Nearest bytes of the context by which n-grams are dealt over parts; parts in a task.
+TOP, TOGETHER = 4, 4
 END = b"\n"
 _WORD_BIT = np.uint64(1 << 63)
 _END_KEY = np.uint64(xxhash.xxh3_64_intdigest(END)) | _WORD_BIT
@@ -144,9 +148,9 @@ def unpack_keys(data: bytes) -> np.ndarray:
 
 
 def parts_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    """N-grams: 0 to parts - 1, by their two nearest bytes and three bits of the third; words: the same number after."""
-    near = keys >> np.uint64(8 * (DEPTH - 1)) << np.uint64(3) | keys >> np.uint64(8 * (DEPTH - 2)) & np.uint64(SALT - 1)
-    gram = (near * np.uint64(2654435761) & np.uint64(0xFFFFFFFF)) % np.uint64(parts)
+    """N-grams: 0 to parts - 1, by their TOP nearest bytes; words: the same number after."""
+    near = keys >> np.uint64(8 * (DEPTH - TOP + 1))
+    gram = (near * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(parts)
     word = np.uint64(parts) + (keys >> np.uint64(20)) % np.uint64(parts)
     return np.where(keys >= _WORD_BIT, word, gram).astype(np.int64)
 
@@ -209,7 +213,7 @@ def _count(bucket_rows: DataFrame, parts: int) -> DataFrame:
                     texts, train, size = [], [], 0
         yield from flush()
 
-    return bucket_rows.mapInArrow(run, "bucket long, part int, keys binary, counts binary, wide int")
+    return bucket_rows.mapInArrow(tidy(run), "bucket long, part int, keys binary, counts binary, wide int")
 
 
 def _part_sums(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -286,21 +290,25 @@ def _number(name: np.ndarray, j: int) -> np.ndarray:
 
 
 _NODE = "node long, zeros long, ones long, child double"
+_GIVEN = "node long, share double, rest double, ends double"
 
 
 def _rise(parts: int):
     def run(table: pa.Table) -> pa.Table:
-        """Counts and summed log Pw of a part's nodes at depth 2; of words, their number and kinds at node -1."""
+        """Counts and summed log Pw of a part's nodes at depth TOP; of words, their number and kinds at node -1."""
+        part = table.column("part")[0].as_py()
         _, keys, n = _part_sums(table)
-        if table.column("part")[0].as_py() >= parts:
+        if part >= parts:
             out = [pd.DataFrame({"node": [-1], "zeros": [n.sum()], "ones": [(n > 0).sum()], "child": [0.0]})]
         else:
-            tree, out = _Tree(keys, n, 2), []
+            tree, out = _Tree(keys, n, TOP), []
             for j in range(8):
-                _, _, zeros, ones, name, _, child = tree.weigh(j)[2]
+                _, _, zeros, ones, name, _, child = tree.weigh(j)[TOP]
                 out.append(pd.DataFrame({"node": _number(name, j), "zeros": zeros, "ones": ones, "child": child}))
         both = pd.concat(out)
-        return pa.table({c: pa.array(both[c].to_numpy(), t) for c, t in zip(both.columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64()))})
+        release()
+        kinds = dict(zip(both.columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64())))
+        return pa.table({"part": pa.array(np.full(len(both), part), pa.int32())} | {c: pa.array(both[c].to_numpy(), t) for c, t in kinds.items()})
 
     return run
 
@@ -313,13 +321,36 @@ def _step(zeros, ones, kt, child, share, rest, above):
     return share + rest * weight * own, rest * (1 - weight), ends
 
 
-def _merge(g: pd.DataFrame) -> pd.DataFrame:
-    """Depth 2 nodes of one nearest byte, summed to depth 1."""
-    z, o = g["zeros"].to_numpy(), g["ones"].to_numpy()
-    pw = np.logaddexp(log_kt(z, o), g["child"].to_numpy()) - _LN2
-    low = g["node"].to_numpy()
-    up = low >> 19 << 11 | low & 2047
-    return pd.DataFrame({"node": up, "zeros": z, "ones": o, "child": pw}).groupby("node", as_index=False).sum()
+def _up(node: np.ndarray) -> np.ndarray:
+    """The number of the node that lacks the farthest byte of this one's context."""
+    return node >> 19 << 11 | node & 2047
+
+
+def _raised(level: DataFrame) -> DataFrame:
+    """The nodes of one depth, summed to the depth above."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in batches:
+            z, o = g["zeros"].to_numpy(), g["ones"].to_numpy()
+            pw = np.logaddexp(log_kt(z, o), g["child"].to_numpy()) - _LN2
+            yield pd.DataFrame({"node": _up(g["node"].to_numpy()), "zeros": z, "ones": o, "child": pw})
+
+    rows = level.select("node", "zeros", "ones", "child").mapInPandas(run, _NODE)
+    return rows.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "child")])
+
+
+def _lowered(level: DataFrame, above: DataFrame) -> DataFrame:
+    """(part, node, share, rest, ends) of the nodes of one depth, given those of the depth above."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in batches:
+            z, o, *given = (g[c].to_numpy() for c in ("zeros", "ones", "share", "rest", "ends"))
+            share, rest, ends = _step(z, o, log_kt(z, o), g["child"].to_numpy(), *given)
+            yield pd.DataFrame({"part": g["part"], "node": g["node"], "share": share, "rest": rest, "ends": ends})
+
+    number = F.shiftright("node", 19) * 2048 + F.col("node").bitwiseAND(2047)
+    joined = level.withColumn("up", number).join(above.select(F.col("node").alias("up"), "share", "rest", "ends"), "up")
+    return joined.select("part", "node", "zeros", "ones", "child", "share", "rest", "ends").mapInPandas(run, "part int, " + _GIVEN)
 
 
 def _from_root(level: pd.DataFrame) -> pd.DataFrame:
@@ -337,15 +368,15 @@ def _from_root(level: pd.DataFrame) -> pd.DataFrame:
 
 
 def _values(keys: np.ndarray, n: np.ndarray, above: pd.DataFrame) -> np.ndarray:
-    """log10 probability of each n-gram of a part, given its depth 2 nodes."""
+    """log10 probability of each n-gram of a part, given its nodes at depth TOP."""
     above = above.sort_values("node")
     names, given = above["node"].to_numpy(), [above[c].to_numpy() for c in ("share", "rest", "ends")]
-    tree, total = _Tree(keys, n, 2), np.zeros(len(keys))
+    tree, total = _Tree(keys, n, TOP), np.zeros(len(keys))
     for j in range(8):
         levels = tree.weigh(j)
-        i = np.searchsorted(names, _number(levels[2][4], j))
+        i = np.searchsorted(names, _number(levels[TOP][4], j))
         share, rest, ends = (v[i] for v in given)
-        for d in range(3, DEPTH + 1):
+        for d in range(TOP + 1, DEPTH + 1):
             node, first, zeros, ones, _, kt, child = levels[d]
             p = levels[d - 1][0][tree.up[d][first]]
             share, rest, ends = _step(zeros, ones, kt, child, share[p], rest[p], ends[p])
@@ -365,6 +396,8 @@ def _fall(parts: int):
         word = table.column("part")[0].as_py() >= parts
         value = n if word else _values(keys, n, above.to_pandas()).astype(np.float32)
         own = [pack(value[np.searchsorted(keys, k)]) for k in each]
+        del each, keys, n, value
+        release()
         return pa.table(dict(zip(names, (table.column("bucket"), pa.array([word] * len(own), pa.bool_()), table.column("keys"), pa.array(own, pa.binary())))))
 
     return run
@@ -372,36 +405,44 @@ def _fall(parts: int):
 
 def weighted(items: DataFrame, parts: int) -> tuple[DataFrame, int, int]:
     """(bucket, word, keys, values) for the lists of items, the training tokens and their kinds."""
-    rows = items.groupBy("part").applyInArrow(_rise(parts), _NODE)
-    sums = stored(rows.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "child")]), "sums")
-    total, kinds = sums.filter("node = -1").agg(F.coalesce(F.sum("zeros"), F.lit(0)), F.coalesce(F.sum("ones"), F.lit(0))).first()
-    level2 = sums.filter("node >= 0").withColumn("nearest", F.shiftright("node", 19))
+    tasks = max(1, 2 * parts // TOGETHER)
+    dealt = items.repartition(tasks, "part")
+    rows = stored(dealt.groupBy("part").applyInArrow(_rise(parts), "part int, " + _NODE), "nodes")
+    total, kinds = rows.filter("node = -1").agg(F.coalesce(F.sum("zeros"), F.lit(0)), F.coalesce(F.sum("ones"), F.lit(0))).first()
+    levels = [rows.filter("node >= 0")]
+    for _ in range(TOP - 2):
+        levels.append(stored(_raised(levels[-1]).withColumn("part", F.lit(0)), "nodes"))
     # at most 256 contexts of one byte with 255 binary nodes each
-    level1 = _from_root(level2.groupBy("nearest").applyInPandas(_merge, _NODE).toPandas())
-
-    def down(g: pd.DataFrame) -> pd.DataFrame:
-        low = g["node"].to_numpy()
-        at = np.searchsorted(level1["node"].to_numpy(), low >> 19 << 11 | low & 2047)
-        z, o = g["zeros"].to_numpy(), g["ones"].to_numpy()
-        share, rest, ends = _step(z, o, log_kt(z, o), g["child"].to_numpy(), *(level1[c].to_numpy()[at] for c in ("share", "rest", "ends")))
-        return pd.DataFrame({"node": low, "share": share, "rest": rest, "ends": ends})
-
-    given = level2.groupBy("nearest").applyInPandas(down, "node long, share double, rest double, ends double")
-    salted = given.withColumn("salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALT)])))
-    near = F.shiftright("node", 11) * SALT + F.col("salt")
-    part = ((near * 2654435761).bitwiseAND(F.lit(0xFFFFFFFF)) % parts).cast("int")
-    above = stored(salted.withColumn("part", part).drop("salt").distinct(), "above")
-    out = items.groupBy("part").cogroup(above.groupBy("part")).applyInArrow(_fall(parts), "bucket long, word boolean, keys binary, values binary")
+    above = F.broadcast(items.sparkSession.createDataFrame(_from_root(_raised(levels[-1]).toPandas()), _GIVEN))
+    for level in reversed(levels):
+        above = _lowered(level, above)
+    given = above.repartition(tasks, "part")
+    out = dealt.groupBy("part").cogroup(given.groupBy("part")).applyInArrow(_fall(parts), "bucket long, word boolean, keys binary, values binary")
     return out, total, kinds
 
 
-def bucketed(df: DataFrame, text: str) -> DataFrame:
-    """df with a bucket for each BUCKET neighbouring rows of a file."""
-    where = lambda d: d.withColumn("bucket", F.xxhash64(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / BUCKET)))
+def bucketed(df: DataFrame, columns: list[Column]) -> tuple[DataFrame, int, int]:
+    """The columns of df, one of them named text, and each row's bucket; the bytes of all texts; how many buckets, about.
+
+    A block is BUCKET neighbouring rows of a file. It is cut into as many runs of rows as it holds BUCKET_BYTES of texts
+    that are not long; a long text is a bucket of its own.
+    """
+    row = F.col("_metadata.row_index")
+    where = lambda d: d.select(*columns, F.xxhash64(F.col("_metadata.file_path"), F.floor(row / BUCKET)).alias("block"), (row % BUCKET).alias("row"))
     try:
-        return where(df)
+        docs = where(df)
     except AnalysisException:  # not rows of a file: make them so
-        return where(stored(df, "documents"))
+        docs = where(stored(df, "documents"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    is_long = size > LONG
+    blocks = docs.groupBy("block").agg(F.sum(size).alias("size"), F.sum(F.when(~is_long, size).otherwise(0)).alias("short"), F.sum(is_long.cast("int")).alias("long"))
+    runs = F.greatest(F.ceil(F.col("short") / BUCKET_BYTES), F.lit(1))
+    blocks = stored(blocks.withColumn("runs", runs), "blocks")
+    total, count = blocks.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum(F.col("runs") + F.col("long")), F.lit(0))).first()
+    cut = small(stored(blocks.filter("runs > 1").select("block", "runs"), "cut"))
+    run = F.floor(F.col("row") * F.coalesce("runs", F.lit(1)) / BUCKET)
+    bucket = F.when(is_long, F.xxhash64("block", "row", F.lit("long"))).otherwise(F.xxhash64("block", run))
+    return docs.join(cut, "block", "left").withColumn("bucket", bucket).drop("block", "row", "runs"), total, count
 
 
 def scores(df: DataFrame, train, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -409,9 +450,9 @@ def scores(df: DataFrame, train, key: str = "doc_id", text: str = "text") -> Dat
 
     train: a boolean column that tells the rows to learn from.
     """
-    docs = bucketed(df, text).select("bucket", F.col(key).alias("id"), F.coalesce(train, F.lit(True)).alias("train"), F.col(text).cast("binary").alias("text"))
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = max(8, size // PART)
+    columns = [F.col(key).alias("id"), F.coalesce(train, F.lit(True)).alias("train"), F.col(text).cast("binary").alias("text")]
+    docs, size, buckets = bucketed(df, columns)
+    docs, parts, tasks = docs.select("bucket", "id", "train", "text"), max(8, size // PART), max(1, 2 * buckets)
     items = stored(_count(docs.select("bucket", "train", "text"), parts), "items")
     values, total, kinds = weighted(items, parts)
     floor = total + 0.1 * (kinds + 1)
@@ -435,8 +476,11 @@ def scores(df: DataFrame, train, key: str = "doc_id", text: str = "text") -> Dat
             for col, v in zip(cols, (n, np.add.reduceat((c > 0).astype(np.int64), first), np.add.reduceat(np.log10((c + 0.1) / floor), first), score, -score / np.log10(2) / lengths)):
                 col.append(v)
         n, seen, base, score, bits = (np.concatenate(c) if c else np.empty(0) for c in cols)
+        del of
+        release()
         held = pa.array([not t for t in train], pa.bool_())
         return pa.table({key: left.column("id"), "held_out": held, "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(seen, pa.int64()), "train_tokens": pa.array(np.full(len(n), total), pa.int64()), "base_score": base, "score": score, "bits_per_byte": bits})
 
     kind = df.schema[key].dataType.simpleString()
-    return docs.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(run, f"{key} {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+    left, right = docs.repartition(tasks, "bucket"), values.repartition(tasks, "bucket")
+    return left.groupBy("bucket").cogroup(right.groupBy("bucket")).applyInArrow(run, f"{key} {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")

@@ -255,6 +255,23 @@ def test_ctw_matches_recursion(spark):
     assert alone["score"] == pytest.approx(-(len(texts[0]) + 1) * 8 * math.log10(2)) and alone["train_tokens"] == 0
 
 
+def test_ctw_buckets_change_no_score(spark, tmp_path, monkeypatch):
+    """Cut blocks, texts in buckets of their own, repeated ids and names that clash give the scores of one bucket."""
+    texts = ["word%d and %s the end" % (i % 7, "some more text " * (i % 5)) for i in range(60)] + ["long text " * 3000, None, ""]
+    rows = [(i // 2, t, "x", i, True) for i, t in enumerate(texts)] + [(3, texts[0], "x", 1, True)] * 2
+    spark.createDataFrame(rows, "id long, text string, bucket string, row long, train boolean").coalesce(1).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = []
+    for bucket_bytes, long in ((20 << 20, 1 << 20), (300, 2000), (300, 40)):
+        monkeypatch.setattr(ctw, "BUCKET_BYTES", bucket_bytes)
+        monkeypatch.setattr(ctw, "LONG", long)
+        found.append(sorted(map(tuple, ctw.scores(df, F.col("id") % 5 != 0, key="id").collect())))
+    assert len(found[0]) == len(rows)
+    for other in found[1:]:
+        assert [r[:5] for r in other] == [r[:5] for r in found[0]]
+        assert np.allclose([r[5:] for r in other], [r[5:] for r in found[0]], rtol=1e-5)
+
+
 def test_kt_far():
     a, b = np.array([0, 1, 4095, 5000, 10**6]), np.array([0, 3, 4096, 20, 10**7])
     want = [math.lgamma(x + 0.5) + math.lgamma(y + 0.5) - 2 * math.lgamma(0.5) - math.lgamma(x + y + 1) for x, y in zip(a.tolist(), b.tolist())]
