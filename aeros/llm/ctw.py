@@ -41,7 +41,7 @@ BUCKET, CHUNK, PART = 6144, 2 << 20, 4 << 20
 #: Bytes of text that a bucket holds, about; bytes beyond which a text is a bucket of its own.
 BUCKET_BYTES, LONG = 20 << 20, 1 << 20
 #: Nearest bytes of the context by which n-grams are dealt over parts; parts in a task.
-TOP, TOGETHER = 4, 4
+TOP, TOGETHER = 3, 4
 END = b"\n"
 _WORD_BIT = np.uint64(1 << 63)
 _END_KEY = np.uint64(xxhash.xxh3_64_intdigest(END)) | _WORD_BIT
