@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, ctw, flac, neardup, packing, pii, topk, toxicity, warc
+from . import bpe, chat, ctw, flac, neardup, packing, pii, suffixes, topk, toxicity, warc
 from .common import stored, table
 
 
@@ -66,7 +66,11 @@ def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.scores(table(spark, sf_dir, "documents"), fold(10) != 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_flac, op3_topk, op4_warc, op5_pii, op6_packing, op7_neardup, op8_chat, op9_toxicity, op10_ctw)}
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_flac, op3_topk, op4_warc, op5_pii, op6_packing, op7_neardup, op8_chat, op9_toxicity, op10_ctw, op11_decontamination)}
 
 ORACLES = {
     "op3_topk": """
@@ -93,4 +97,26 @@ ORACLES = {
                CASE WHEN n >= 100 AND page_id > first_id THEN first_id END AS refers_to, TRUE AS digest_ok
         FROM f
     """,
+    "op11_decontamination": r"""
+        WITH b AS (
+            SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS s
+            FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)
+        ), d AS (
+            SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+        ), places AS (
+            SELECT doc_id, i, k, array_to_string(w[i : i + k - 1], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d), (SELECT DISTINCT k FROM windows) WHERE i + k - 1 <= len(w)
+        ), met AS (
+            SELECT doc_id, i, k, item FROM places JOIN windows USING (k, s)
+        ), hits AS (
+            SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM met) GROUP BY 1
+        ), items AS (
+            SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest FROM (SELECT DISTINCT doc_id, item FROM met) GROUP BY 1
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+               coalesce(digest, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
 }
