@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, ctw, flac, neardup, packing, pii, suffixes, topk, toxicity, warc
+from . import bpe, chat, ctw, flac, neardup, negatives, packing, pii, suffixes, topk, toxicity, warc, whitening
 from .common import stored, table
 
 
@@ -70,7 +70,16 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_flac, op3_topk, op4_warc, op5_pii, op6_packing, op7_neardup, op8_chat, op9_toxicity, op10_ctw, op11_decontamination)}
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=32)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_flac, op3_topk, op4_warc, op5_pii, op6_packing, op7_neardup, op8_chat, op9_toxicity, op10_ctw, op11_decontamination, op12_whitening, op13_hard_negatives)}
 
 ORACLES = {
     "op3_topk": """
@@ -119,4 +128,21 @@ ORACLES = {
                coalesce(digest, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        ), s AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.x, c.x) AS BIGINT) AS score
+            FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+        ), p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10
+    """,
 }
