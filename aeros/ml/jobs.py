@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..sources.sinks import append_evaluation, evaluation_rows, write_dataset
 from . import regression as L
+from .forest import load_forests, score_set
 
 
 def train_job(spark: SparkSession, data_path: str, root: str, model_name: str, target: str, numeric: list[str], horizon: int, train_end: str, val_end: str, kind: str = "gbt", params: dict | None = None, high: float = 75.0, ratio: float = 2.0, register: bool = True, fmt: str = "parquet", run_id: str | None = None) -> tuple[PipelineModel, int | None]:
@@ -30,6 +31,31 @@ def train_job(spark: SparkSession, data_path: str, root: str, model_name: str, t
     return model, L.save_version(spark, model, root, model_name, run_id) if register and passed else None
 
 
+def train_missing(spark: SparkSession, data_path: str, root: str, matrix: list[tuple[str, int, list[str]]], train_end: str, val_end: str, kind: str = "gbt", params: dict | None = None, fmt: str = "parquet", run_id: str | None = None) -> list[str]:
+    """Fit and register the models of the matrix (target, horizon, numeric features) that the registry lacks; their names.
+
+    The models of a target share their preparation and are fitted side by side.
+    """
+    have = {r["model_name"] for r in L.versions(spark, root).select("model_name").distinct().collect()}
+    todo: dict[str, tuple[list[str], list[int]]] = {}
+    for target, hours, numeric in matrix:
+        if L.model_name(target, hours) not in have:
+            todo.setdefault(target, (numeric, []))[1].append(hours)
+    models, frame = {}, spark.read.format(fmt).load(data_path)
+    for target, (numeric, hours) in todo.items():
+        own = L.train_set(frame, target, tuple(hours), numeric, train_end, val_end, kind=kind, params=params)
+        models |= {L.model_name(target, h): m for h, m in own.items()}
+    if models:
+        L.save_versions(spark, models, root, run_id or uuid.uuid4().hex)
+    return list(models)
+
+
+def score_all(spark: SparkSession, df: DataFrame, root: str, matrix: list[tuple[str, int, list[str]]], loaded: dict | None = None) -> DataFrame:
+    """(station_id, timestamp, target_feature, forecast_horizon, predicted_value) of every model of the matrix, in one pass over df."""
+    columns = {L.model_name(t, h): (t, f"h{h}") for t, h, _ in matrix}
+    return L.long_predictions(score_set(df, load_forests(spark, root, list(columns), loaded)), columns)
+
+
 def evaluations(spark: SparkSession, root: str) -> DataFrame:
     """The metrics of all runs."""
     return spark.read.parquet(f"{root}/evaluation")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -12,6 +14,7 @@ from ..operators.aggregates import pivot_metrics, regression_metrics
 from ..operators.filters import split_label, training_rows
 from ..operators.projections import stamp
 from ..operators.windows import HORIZONS, first_per_key
+from .forest import append_forests
 
 CATEGORICAL = ["region", "city"]
 _CYCLES, _PLACE = ["hour_sin", "hour_cos"], ["coord_X", "coord_Y", "coord_Z"]
@@ -25,6 +28,8 @@ FEATURES = {
     "wind_speed": ["wind_speed", "wind_dir", "wind_U", "wind_V", "wind_shear_U", "wind_shear_V", "pressure", "pressure_delta_3h", "temp_c", "humidity", "cloud_cover", *_CYCLES, *_PLACE],
 }
 GBT = {"maxDepth": 6, "maxIter": 100, "stepSize": 0.05, "subsamplingRate": 0.85}
+#: Training rows of a partition.
+ROWS = 200_000
 METRICS = ["rmse", "mae", "r2", "mape", "mae_high", "n"]
 _REGRESSORS = {"linear": LinearRegression, "random_forest": RandomForestRegressor, "gbt": GBTRegressor}
 
@@ -38,14 +43,17 @@ def regressor(kind: str, label: str, params: dict | None = None, seed: int = 42)
     return made._set(**{n: v for n, v in ({"seed": seed} | (params or {})).items() if n in known})
 
 
-def pipeline(numeric: list[str], categorical: list[str], label: str, kind: str = "gbt", params: dict | None = None) -> Pipeline:
-    """Median imputer, indexed and one-hot encoded categories (unknown ones kept), assembler, regressor."""
+def _prepared(numeric: list[str], categorical: list[str]) -> list:
     filled = [f"{n}_imp" for n in numeric]
     stages = [Imputer(strategy="median", inputCols=numeric, outputCols=filled)]
     for c in categorical:
         stages += [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep"), OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_oh", handleInvalid="keep")]
-    stages += [VectorAssembler(inputCols=filled + [f"{c}_oh" for c in categorical], outputCol="features", handleInvalid="keep"), regressor(kind, label, params)]
-    return Pipeline(stages=stages)
+    return [*stages, VectorAssembler(inputCols=filled + [f"{c}_oh" for c in categorical], outputCol="features", handleInvalid="keep")]
+
+
+def pipeline(numeric: list[str], categorical: list[str], label: str, kind: str = "gbt", params: dict | None = None) -> Pipeline:
+    """Median imputer, indexed and one-hot encoded categories (unknown ones kept), assembler, regressor."""
+    return Pipeline(stages=[*_prepared(numeric, categorical), regressor(kind, label, params)])
 
 
 def for_model(df: DataFrame, numeric: list[str]) -> DataFrame:
@@ -71,13 +79,45 @@ def train(df: DataFrame, target: str, numeric: list[str], train_end: str, val_en
     """(model, scored validation and test rows with `split`): fit on rows up to train_end. All three parts must have rows."""
     rows = for_model(training_rows(df, target, ts), numeric).withColumn("split", split_label(F.col(ts), train_end, val_end))
     rows = rows.select(*dict.fromkeys([*numeric, *categorical, target, ts, "station_id", "split"]))
-    present = {r["split"] for r in rows.groupBy("split").count().collect()}
-    if missing := {"train", "val", "test"} - present:
+    sizes = {r["split"]: r["count"] for r in rows.groupBy("split").count().collect()}
+    if missing := {"train", "val", "test"} - sizes.keys():
         raise ValueError(f"no rows for {sorted(missing)}")
-    model = pipeline(numeric, list(categorical), target, kind, params).fit(rows.filter("split = 'train'"))
+    fitting = gathered(rows.filter("split = 'train'"), sizes["train"]).persist()
+    try:
+        model = pipeline(numeric, list(categorical), target, kind, params).fit(fitting)
+    finally:
+        fitting.unpersist()
     return model, model.transform(rows.filter("split <> 'train'"))
 
 
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """df in as few partitions as its number of rows needs: a fit runs many jobs, and of small frames their tasks are the cost."""
+    return df.coalesce(max(1, -(-rows // ROWS)))
+
+
+def train_set(df: DataFrame, target: str, hours: tuple[int, ...], numeric: list[str], train_end: str, val_end: str, categorical: list[str] = tuple(CATEGORICAL), kind: str = "gbt", params: dict | None = None, ts: str = "timestamp", side_by_side: int = 4) -> dict[int, PipelineModel]:
+    """A model for each horizon of a target. Medians, categories and vectors are made once, of all training rows of the target's
+    features; a horizon's regressor takes the rows that have its label."""
+    labels = {h: f"target_{target}_{h}h" for h in hours}
+    label = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in labels.values()}
+    rows = for_model(df, numeric).filter(split_label(F.col(ts), train_end, val_end) == "train").select(*dict.fromkeys([*numeric, *categorical]), *[v.alias(c) for c, v in label.items()])
+    rows = rows.filter(F.coalesce(*labels.values()).isNotNull())
+    fitting = gathered(rows, rows.count()).persist()
+    prepared = Pipeline(stages=_prepared(numeric, list(categorical))).fit(fitting)
+    vectors = prepared.transform(fitting).select("features", *labels.values()).persist()
+
+    def one(h: int) -> tuple[int, PipelineModel]:
+        own = vectors.filter(F.col(labels[h]).isNotNull())
+        return h, PipelineModel(stages=[*prepared.stages, regressor(kind, labels[h], params).fit(own)])
+
+    try:
+        with ThreadPoolExecutor(side_by_side) as pool:  # fits are many short jobs, so they run side by side
+            return dict(pool.map(one, hours))
+    finally:
+        vectors.unpersist()
+        fitting.unpersist()
+
+
 def snapshot(scored: DataFrame, target: str, high: float = 75.0) -> DataFrame:
     """(split, metric_name, metric_value) of the scored parts."""
     per = None
@@ -128,12 +168,19 @@ def long_predictions(df: DataFrame, columns: dict[str, tuple[str, str]], keys: t
 
 def save_version(spark: SparkSession, model: PipelineModel, path: str, name: str, run_id: str) -> int:
     """Save a model under the next version and note it in the table of versions."""
-    old = versions(spark, path).filter(F.col("model_name") == name).agg(F.max("version")).first()[0]
-    version = (old or 0) + 1
-    model.write().overwrite().save(f"{path}/models/{name}/v={version}")
-    row = spark.createDataFrame([(name, version, run_id)], "model_name string, version int, run_id string").withColumn("registered_at", F.current_timestamp())
-    row.write.mode("append").parquet(f"{path}/versions")
-    return version
+    return save_versions(spark, {name: model}, path, run_id)[name]
+
+
+def save_versions(spark: SparkSession, models: dict[str, PipelineModel], path: str, run_id: str, side_by_side: int = 4) -> dict[str, int]:
+    """Save each model under its name's next version, tree ensembles also as node arrays, and note them in the table of versions."""
+    old = {r["model_name"]: r["v"] for r in versions(spark, path).filter(F.col("model_name").isin(list(models))).groupBy("model_name").agg(F.max("version").alias("v")).collect()}
+    saved = {n: (old.get(n, 0) + 1, m) for n, m in models.items()}
+    with ThreadPoolExecutor(side_by_side) as pool:
+        list(pool.map(lambda n: saved[n][1].write().overwrite().save(f"{path}/models/{n}/v={saved[n][0]}"), saved))
+    append_forests(spark, saved, path)
+    rows = spark.createDataFrame([(n, v, run_id) for n, (v, _) in saved.items()], "model_name string, version int, run_id string").withColumn("registered_at", F.current_timestamp())
+    rows.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    return {n: v for n, (v, _) in saved.items()}
 
 
 def versions(spark: SparkSession, path: str) -> DataFrame:
@@ -155,6 +202,10 @@ def load_models(spark: SparkSession, path: str, names: list[str], loaded: dict[s
     return have
 
 
+def model_name(target: str, hours: int) -> str:
+    return f"{target}_h{hours}"
+
+
 def job_matrix() -> list[tuple[str, int, list[str]]]:
     """(target, horizon, numeric features) of the 36 models."""
     return [(t, h, f) for t, f in FEATURES.items() for h in HORIZONS]

@@ -6,7 +6,9 @@ away.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..schemas import SENSORS, TARGETS
@@ -50,7 +52,9 @@ def forward_fill(df: DataFrame, columns: list[str] = SENSORS, station: str = "st
         out = df.withColumns(last(Window.partitionBy(station).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)))
         return any_sensor(out, columns) if drop_empty else out
     cut = df.withColumn("_bucket", F.date_trunc(bucket, ts))
-    ends = cut.groupBy(station, "_bucket").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(c) for c in columns])
+    # rows without a time come before all others, as in the station's order
+    when = F.coalesce(F.col(ts), F.lit("0001-01-01").cast("timestamp"))
+    ends = cut.groupBy(station, "_bucket").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), when)).alias(c) for c in columns])
     carried = ends.withColumns(last(Window.partitionBy(station).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)))
     carried = carried.select(F.col(station).alias("_station"), F.col("_bucket").alias("_from"), *[F.col(c).alias(f"_carried_{c}") for c in columns])
     inside = cut.withColumns(last(Window.partitionBy(station, "_bucket").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)))
@@ -59,36 +63,76 @@ def forward_fill(df: DataFrame, columns: list[str] = SENSORS, station: str = "st
     return any_sensor(out, columns) if drop_empty else out
 
 
+def over_buckets(df: DataFrame, compute: Callable[[DataFrame, WindowSpec], DataFrame], bucket: str, before: int = 0, after: int = 0, station: str = "station_id", ts: str = "timestamp") -> DataFrame:
+    """compute(df, window) of frames that reach `before` rows back, or `after` rows ahead, as over each station in order of ts,
+    but in windows over a station's buckets (a unit of date_trunc), so that no task sorts a station's whole history.
+
+    Rows whose frame lies within their bucket are done there. The others, at most before (after) rows a bucket, get a halo: the rows
+    next to the bucket, taken from the last (first) rows of the buckets next to it, of which a row a bucket is ordered by
+    station. All parts read one shuffle by station and bucket.
+    """
+    if (before > 0) == (after > 0):
+        raise ValueError("frames reach either back or ahead")
+    reach, names = before + after, df.columns
+    w = Window.partitionBy(station, "_bucket").orderBy(ts)
+    into, out = (F.lag, F.lead) if before else (F.lead, F.lag)
+    # on the near side a row's frame may leave the bucket; the far side is the halo of other buckets
+    marked = compute(df.withColumn("_bucket", F.date_trunc(bucket, ts)), w).withColumns({"_within": into(F.lit(True), reach).over(w), "_beyond": out(F.lit(True), reach).over(w)})
+    inside = marked.filter("_within").drop("_bucket", "_within", "_beyond")
+    edges = marked.filter("_within IS NULL").select(*names, "_bucket", F.lit(True).alias("_own"))
+    far = marked.filter("_beyond IS NULL").groupBy(station, "_bucket").agg(F.array_sort(F.collect_list(F.struct(F.col(ts).alias("_t"), F.struct(*names).alias("r")))).alias("_rows"))
+    near = Window.partitionBy(station).orderBy("_bucket").rowsBetween(*((-reach, -1) if before else (1, reach)))
+    joined = F.flatten(F.collect_list("_rows").over(near))
+    size = F.size("_halo")
+    taken = F.slice("_halo", F.greatest(size - reach, F.lit(0)) + 1, reach) if before else F.slice("_halo", 1, reach)
+    halo = far.withColumn("_halo", joined).filter(size > 0).select("_bucket", F.explode(taken).alias("h")).select(*[F.col("h.r")[n].alias(n) for n in names], "_bucket", F.lit(False).alias("_own"))
+    own = compute(edges.unionByName(halo), w).filter("_own").drop("_bucket", "_own")
+    return inside.unionByName(own)
+
+
 def _back(value: str, n: int, w, exact: bool) -> Column:
     return F.max(value).over(w.rangeBetween(-n * HOUR, -n * HOUR)) if exact else F.lag(value, n).over(w)
 
 
-def add_changes(df: DataFrame, station: str = "station_id", ts: str = "timestamp", exact_hours: bool = False, null_fill: float | None = None) -> DataFrame:
-    """pressure_delta_3h, wind_shear_U, wind_shear_V, temp_mean_6h, pm25_acc_12h over one ordering of each station."""
-    order = F.unix_timestamp(ts) if exact_hours else F.col(ts)
-    w = Window.partitionBy(station).orderBy(order)
-    frame = (lambda n: w.rangeBetween(-(n - 1) * HOUR, 0)) if exact_hours else (lambda n: w.rowsBetween(-(n - 1), 0))
-    out = {
-        "pressure_delta_3h": F.col("pressure") - _back("pressure", 3, w, exact_hours),
-        "wind_shear_U": F.col("wind_U") - _back("wind_U", 1, w, exact_hours),
-        "wind_shear_V": F.col("wind_V") - _back("wind_V", 1, w, exact_hours),
-        "temp_mean_6h": F.avg("temp_c").over(frame(6)),
-        "pm25_acc_12h": F.sum("pm2_5").over(frame(12)),
-    }
-    if null_fill is not None:
-        out = {n: F.coalesce(c, F.lit(null_fill)) for n, c in out.items()}
-    return df.withColumns(out)
-
-
-def add_targets(df: DataFrame, hours: tuple[int, ...] = HORIZONS, station: str = "station_id", ts: str = "timestamp", drop_incomplete: bool = False, exact_hours: bool = False) -> DataFrame:
-    """target_<name>_<n>h: the value n rows (or exactly n hours) later; drop_incomplete drops rows without the farthest."""
+def add_changes(df: DataFrame, station: str = "station_id", ts: str = "timestamp", exact_hours: bool = False, null_fill: float | None = None, bucket: str | None = None) -> DataFrame:
+    """pressure_delta_3h, wind_shear_U, wind_shear_V, temp_mean_6h, pm25_acc_12h over one ordering of each station.
+
+    bucket (a unit of date_trunc) works in buckets of a station, with the rows before each; it needs frames of rows.
+    """
+
+    def compute(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        frame = (lambda n: w.rangeBetween(-(n - 1) * HOUR, 0)) if exact_hours else (lambda n: w.rowsBetween(-(n - 1), 0))
+        out = {
+            "pressure_delta_3h": F.col("pressure") - _back("pressure", 3, w, exact_hours),
+            "wind_shear_U": F.col("wind_U") - _back("wind_U", 1, w, exact_hours),
+            "wind_shear_V": F.col("wind_V") - _back("wind_V", 1, w, exact_hours),
+            "temp_mean_6h": F.avg("temp_c").over(frame(6)),
+            "pm25_acc_12h": F.sum("pm2_5").over(frame(12)),
+        }
+        if null_fill is not None:
+            out = {n: F.coalesce(c, F.lit(null_fill)) for n, c in out.items()}
+        return rows.withColumns(out)
+
+    if bucket is None:
+        return compute(df, Window.partitionBy(station).orderBy(F.unix_timestamp(ts) if exact_hours else F.col(ts)))
     if exact_hours:
-        w = Window.partitionBy(station).orderBy(F.unix_timestamp(ts))
-        value = lambda c, h: F.max(c).over(w.rangeBetween(h * HOUR, h * HOUR))
+        raise ValueError("buckets need frames of rows")
+    return over_buckets(df, compute, bucket, before=11, station=station, ts=ts)
+
+
+def add_targets(df: DataFrame, hours: tuple[int, ...] = HORIZONS, station: str = "station_id", ts: str = "timestamp", drop_incomplete: bool = False, exact_hours: bool = False, bucket: str | None = None) -> DataFrame:
+    """target_<name>_<n>h: the value n rows (or exactly n hours) later; drop_incomplete drops rows without the farthest.
+
+    bucket (a unit of date_trunc) works in buckets of a station, with the rows after each; it needs leads of rows.
+    """
+    value = (lambda c, h, w: F.max(c).over(w.rangeBetween(h * HOUR, h * HOUR))) if exact_hours else (lambda c, h, w: F.lead(c, h).over(w))
+    compute = lambda rows, w: rows.withColumns({f"target_{n}_{h}h": value(c, h, w) for h in hours for n, c in TARGETS.items()})
+    if bucket is None:
+        out = compute(df, Window.partitionBy(station).orderBy(F.unix_timestamp(ts) if exact_hours else F.col(ts)))
+    elif exact_hours:
+        raise ValueError("buckets need leads of rows")
     else:
-        w = Window.partitionBy(station).orderBy(ts)
-        value = lambda c, h: F.lead(c, h).over(w)
-    out = df.withColumns({f"target_{n}_{h}h": value(c, h) for h in hours for n, c in TARGETS.items()})
+        out = over_buckets(df, compute, bucket, after=max(hours), station=station, ts=ts)
     return out.dropna(subset=[f"target_{n}_{max(hours)}h" for n in TARGETS]) if drop_incomplete else out
 
 

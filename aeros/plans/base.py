@@ -44,6 +44,8 @@ SENSOR = [
 WEATHER_TOPIC, AIR_TOPIC = "weather.raw.stream", "air_quality.raw.stream"
 KEYS = ["station_id", "hour_ts", "timestamp", "region", "city", "latitude", "longitude"]
 AS_OF = "2024-02-01 00:00:00"
+#: Unit of time that one task of a station's window holds at most.
+BUCKET = "week"
 TRAIN_END, VAL_END = "2024-01-20 23:00:00", "2024-01-25 23:00:00"
 
 
@@ -79,9 +81,9 @@ def station_hours(s: DataFrame) -> DataFrame:
 
 
 def features(s: DataFrame) -> DataFrame:
-    """Merge, time parts, forward fill, stateless features, moving features: one shuffle by station after the join."""
-    filled = forward_fill(add_time_parts(station_hours(s)))
-    return add_changes(add_physics(filled))
+    """Merge, time parts, forward fill, stateless features, moving features, in buckets of a station's history."""
+    filled = forward_fill(add_time_parts(station_hours(s)), bucket=BUCKET)
+    return add_changes(add_physics(filled), bucket=BUCKET)
 
 
 _S = "SELECT " + ", ".join(f"{e} AS {n}" for e, n in SENSOR) + " FROM events"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import functions as F
 
 from ..ml import jobs
@@ -11,11 +9,11 @@ from ..ml import regression as L
 from ..operators import projections as J
 from ..operators.windows import add_targets, first_per_key
 from ..schemas import UNIFIED
+from ..sources import readers
+from ..sources.versions import VersionedTable
 from ..streaming import operators as S
 from .base import AIR_TOPIC, TRAIN_END, VAL_END, WEATHER_TOPIC, features, over, register, scratch, sensor, sensors, table
 
-#: Models that are fitted side by side, and models between two checkpoints of the scored table.
-_JOBS, _CUT = 8, 6
 _NUMERIC = L.FEATURES["pm25"]
 _TARGET = "target_pm25_1h"
 
@@ -73,28 +71,22 @@ def ml9(spark, d):
     return spark.read.parquet(out).select("station_id", "timestamp", "prediction", "horizon", "model_name")
 
 
-def _all_models(spark, d):
-    """The models of job_matrix() by target and horizon, with their numeric features."""
-    frame = add_targets(features(sensor(spark, d))).persist()
+#: Rounds of each of the 36 models of ml10's registry. One fit of the jobs' 100 rounds is ml5 or ml7; fitting 36 of them takes
+#: minutes, and ml10 is about scoring a whole set in one pass.
+_ROUNDS = 4
 
-    def one(job):
-        target, hours, numeric = job
-        model, _ = L.train(frame, f"target_{target}_{hours}h", numeric, TRAIN_END, VAL_END, params=L.GBT)
-        return (target, f"h{hours}"), (model, numeric)
 
-    try:
-        with ThreadPoolExecutor(_JOBS) as pool:  # fits are many short jobs, so they run side by side
-            return dict(pool.map(one, L.job_matrix()))
-    finally:
-        frame.unpersist()
+def _registry(spark, d):
+    """A registry with all models of the matrix, made by the training job from a stored table."""
+    data, root = scratch(spark, "curated"), scratch(spark, "registry")
+    add_targets(features(sensor(spark, d))).write.parquet(data)
+    jobs.train_missing(spark, data, root, L.job_matrix(), TRAIN_END, VAL_END, params=L.GBT | {"maxIter": _ROUNDS})
+    return root
 
 
 @register("ml10")
 def ml10(spark, d):
-    models = _all_models(spark, d)
-    scratch(spark, "ml10")  # sets the checkpoint folder
-    out = L.score_many(features(sensor(spark, d)), {f"{t}_{h}": m for (t, h), m in models.items()}, cut_every=_CUT)
-    return L.long_predictions(out, {f"{t}_{h}": (t, h) for t, h in models})
+    return jobs.score_all(spark, features(sensor(spark, d)), _registry(spark, d), L.job_matrix())
 
 
 @register("ml12")
@@ -140,15 +132,30 @@ def str1(spark, d):
     return run_to_end(out.select("event_id", "station_id", *_PARSED.split()), "str1")
 
 
-@register("src4", over("s", "SELECT kafka_topic AS topic, count(*) AS n FROM s GROUP BY 1"))
+def _broker(spark, d):
+    """A stored table of messages that stands in for the broker: its path and schema."""
+    path, messages = scratch(spark, "broker"), _messages(sensor(spark, d))
+    messages.write.parquet(path)
+    return path, messages.schema
+
+
+def _subscribed(spark, d, topics):
+    path, schema = _broker(spark, d)
+    return readers.kafka_stream(spark, "broker:9092", topics, fmt="parquet", options={"path": path}, schema=schema)
+
+
+@register("src4", over("s", "SELECT kafka_topic AS topic, CAST(event_id AS VARCHAR) AS event_id, station_id, humidity FROM s"), "humidity")
 def src4(spark, d):
-    return run_to_end(_messages(sensors(_events(spark, d))), "src4").groupBy("topic").agg(F.count("*").alias("n"))
+    """Both topics as one stream, parsed."""
+    raw = _subscribed(spark, d, [WEATHER_TOPIC, AIR_TOPIC])
+    parsed = raw.select("topic", F.from_json(F.col("value").cast("string"), UNIFIED).alias("r")).select("topic", "r.event_id", "r.station_id", "r.humidity")
+    return run_to_end(parsed, "src4")
 
 
-@register("src5", over("s", "SELECT station_id AS key, count(*) AS n FROM s WHERE kafka_topic = 'air_quality.raw.stream' GROUP BY 1"))
+@register("src5", over("s", f"SELECT station_id AS key, event_time AS timestamp, pm25 FROM s WHERE kafka_topic = '{AIR_TOPIC}'"), "pm25")
 def src5(spark, d):
-    out = _messages(sensors(_events(spark, d))).filter(F.col("topic") == AIR_TOPIC)
-    return run_to_end(out, "src5").groupBy("key").agg(F.count("*").alias("n"))
+    raw = _subscribed(spark, d, [AIR_TOPIC])
+    return run_to_end(raw.select("key", "timestamp", F.get_json_object("value", "$.pm25").cast("double").alias("pm25")), "src5")
 
 
 def _sides(spark, d):
@@ -200,22 +207,45 @@ def _flow(spark, d):
     return path, alerts
 
 
-@register("str5")
+#: Pairs of a weather and an air row of a station within 15 minutes.
+_PAIRS = f"""SELECT w.station_id, w.event_time AS timestamp, w.temperature_c AS temp_c, a.pm25 AS pm2_5 FROM s w JOIN s a ON w.station_id = a.station_id
+ AND a.event_time BETWEEN w.event_time - INTERVAL 15 MINUTE AND w.event_time + INTERVAL 15 MINUTE WHERE w.kafka_topic = '{WEATHER_TOPIC}' AND a.kafka_topic = '{AIR_TOPIC}'"""
+
+
+@register("str5", over("s", _PAIRS), "temp_c pm2_5")
 def str5(spark, d):
-    return spark.read.parquet(_flow(spark, d)[0])
+    """What the joined stream keeps of each pair; its moving features are str3's."""
+    return VersionedTable(spark, _flow(spark, d)[0]).read().select("station_id", "timestamp", "temp_c", "pm2_5")
+
+
+@register("str5_features")
+def str5_features(spark, d):
+    return VersionedTable(spark, _flow(spark, d)[0]).read()
 
 
 @register("str5_alerts")
 def str5_alerts(spark, d):
-    return spark.read.parquet(_flow(spark, d)[1])
+    return VersionedTable(spark, _flow(spark, d)[1]).read()
 
 
-@register("str7")
-def str7(spark, d):
+def _scored_stream(spark, d):
     path = scratch(spark, "str7")
     job = S.scoring_batch(_scorer(spark, d), path, WEATHER_TOPIC, AIR_TOPIC, UNIFIED)
     S.start(_messages(sensors(_events(spark, d))), scratch(spark, "str7-checkpoint"), "available-now", batch=job).awaitTermination()
-    return spark.read.parquet(path).select("station_id", "timestamp", "prediction", "model_name")
+    return VersionedTable(spark, path).read()
+
+
+_LAST = "(SELECT city, max(event_time) AS t FROM s WHERE kafka_topic = '{}' GROUP BY city)"
+
+
+@register("str7", over("s", f"SELECT city, greatest(w.t, a.t) AS timestamp, 'pm25_h1' AS model_name, TRUE AS scored FROM {_LAST.format(WEATHER_TOPIC)} w JOIN {_LAST.format(AIR_TOPIC)} a USING (city)"))
+def str7(spark, d):
+    return _scored_stream(spark, d).select("city", "timestamp", "model_name", F.col("prediction").isNotNull().alias("scored"))
+
+
+@register("str7_scores")
+def str7_scores(spark, d):
+    return _scored_stream(spark, d).select("station_id", "timestamp", "prediction", "model_name")
 
 
 @register("str9", over("s", "SELECT DISTINCT city, date_trunc('hour', event_time) AS event_time FROM s"))
@@ -230,10 +260,10 @@ def str10(spark, d):
     from ..operators.quality import validate_weather
 
     good, bad = scratch(spark, "str10-good"), scratch(spark, "str10-bad")
-    job = S.routing_batch(validate_weather, lambda df: df.select("event_id").write.mode("append").parquet(good), lambda df: df.select("event_id", "error_message").write.mode("append").parquet(bad))
+    job = S.routing_batch(validate_weather, S.table_sink(good, ["event_id"]), S.table_sink(bad, ["event_id", "error_message"]), numbered=True)
     e = sensors(_events(spark, d)).withColumn("humidity", F.col("humidity") + 40)
     S.start(e, scratch(spark, "str10-checkpoint"), "available-now", batch=job).awaitTermination()
-    count = lambda p, n: spark.read.parquet(p).agg(F.count("*").alias("n")).select(F.lit(n).alias("outcome"), "n")
+    count = lambda p, n: VersionedTable(spark, p).read().agg(F.count("*").alias("n")).select(F.lit(n).alias("outcome"), "n")
     return count(good, "accepted").unionByName(count(bad, "dead_letter"))
 
 
@@ -267,7 +297,7 @@ def str6(spark, d):
     for _ in range(2):
         e = sensors(_events(spark, d)).select("station_id", F.col("event_time").alias("timestamp"), "latitude", "longitude")
         S.start(e, scratch(spark, "str6-checkpoint"), "available-now", batch=S.feature_batch(path)).awaitTermination()
-    return spark.read.parquet(path)
+    return VersionedTable(spark, path).read()
 
 
 @register("str8", over("s", "SELECT count(*) AS n FROM s"))
@@ -276,11 +306,21 @@ def str8(spark, d):
     return run_to_end(e, "str8").agg(F.count("*").alias("n"))
 
 
-@register("snk8", over("s", "SELECT event_id FROM s"))
-def snk8(spark, d):
+def _both_sinks(spark, d):
+    """Paths of the observations and of the alerts (rows at or above 35) of one stream with two sinks."""
     from ..sources.sinks import foreach_batch
 
-    path = scratch(spark, "snk8")
-    job = foreach_batch(lambda df, i: df.select("event_id").write.mode("append").parquet(path), lambda df, i: None, lambda df: df)
+    path, alerts = scratch(spark, "snk8"), scratch(spark, "snk8-alerts")
+    job = foreach_batch(S.table_sink(path, ["event_id"]), S.table_sink(alerts, ["event_id", "pm25"]), lambda df: df.filter("pm25 >= 35"))
     S.start(sensors(_events(spark, d)), scratch(spark, "snk8-checkpoint"), "available-now", batch=job).awaitTermination()
-    return spark.read.parquet(path)
+    return path, alerts
+
+
+@register("snk8", over("s", "SELECT event_id FROM s"))
+def snk8(spark, d):
+    return VersionedTable(spark, _both_sinks(spark, d)[0]).read()
+
+
+@register("snk8_alerts", over("s", "SELECT event_id, pm25 FROM s WHERE pm25 >= 35"), "pm25")
+def snk8_alerts(spark, d):
+    return VersionedTable(spark, _both_sinks(spark, d)[1]).read()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import normalize as N
 from ..functions import physics as P
@@ -13,7 +14,8 @@ from ..operators import projections as J
 from ..operators import quality as Q
 from ..operators.windows import split_repeats
 from ..sources import readers
-from .base import AIR_TOPIC, TRAIN_END, VAL_END, WEATHER_TOPIC, features, over, register, sensor, station_hours, table
+from ..sources.versions import VersionedTable
+from .base import AIR_TOPIC, TRAIN_END, VAL_END, WEATHER_TOPIC, features, over, register, scratch, sensor, station_hours, table
 
 # ---- scans ----
 
@@ -33,8 +35,10 @@ def src3(spark, d):
 
 @register("src6", "SELECT event_type AS kafka_topic, event_id AS kafka_offset, props AS value_json, props AS value_text FROM events")
 def src6(spark, d):
-    raw = table(spark, d, "events").select(F.col("event_type").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("props").alias("value"))
-    return readers.envelope(raw).select("kafka_topic", "kafka_offset", "value_json", "value_text")
+    raw, path = table(spark, d, "events").select(F.col("event_type").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("props").alias("value")), scratch(spark, "src6")
+    raw.write.partitionBy("topic").parquet(path)
+    topics = [r["topic"] for r in raw.select("topic").distinct().collect()]
+    return readers.kafka_batch(spark, "broker:9092", topics, fmt="parquet", options={"path": path}).select("kafka_topic", "kafka_offset", "value_json", "value_text")
 
 
 @register("src7", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN props END AS value_json, CASE WHEN event_id % 3 = 0 THEN props WHEN event_id % 3 = 1 THEN 'raw ' || event_type END AS value_text FROM events")
@@ -62,7 +66,12 @@ def src10(spark, d):
 
 @register("src11", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def src11(spark, d):
-    return table(spark, d, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+    """The records as exported lines: an object a line, read with a fixed schema."""
+    path = scratch(spark, "src11")
+    props = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"props":'), "props", F.lit("}"))
+    table(spark, d, "events").select(props).write.text(path)
+    schema = T._parse_datatype_string("event_id bigint, props struct<k: bigint>")
+    return readers.records_for_check(spark, path, schema).select("event_id", "props.k")
 
 
 @register("src12", "SELECT n_name AS city, CASE WHEN n_nationkey >= 18 THEN 'bac' WHEN n_nationkey >= 14 THEN 'trung' ELSE 'nam' END AS region, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
@@ -72,10 +81,17 @@ def src12(spark, d):
     return catalog.join(F.broadcast(regions), "n_regionkey").select("city", "region", "r_name")
 
 
-@register("src13", "SELECT count(*) AS n, CAST(NULL AS INTEGER) AS version FROM events")
+@register("src13", over("s", "SELECT version, count(*) AS n FROM s, (VALUES (1), (2)) v(version) WHERE version = 2 OR event_id % 2 = 0 GROUP BY version"))
 def src13(spark, d):
-    version = readers.dataset_version(spark, f"{d}/events.parquet")
-    return table(spark, d, "events").agg(F.count("*").alias("n"), F.lit(version).cast("int").alias("version"))
+    """A table written twice: what each version holds, pinned by its number."""
+    path = scratch(spark, "src13")
+    e, versioned = table(spark, d, "events").select("event_id"), VersionedTable(spark, path)
+    versions = []
+    for part in (e.filter("event_id % 2 = 0"), e.filter("event_id % 2 <> 0")):
+        versioned.append(part)
+        versions.append(readers.dataset_version(spark, path))
+    one = lambda v: versioned.read(v).agg(F.count("*").alias("n")).select(F.lit(v).cast("int").alias("version"), "n")
+    return one(versions[0]).unionByName(one(versions[1]))
 
 
 # ---- normalisation: payloads are made from the sensor view as JSON text ----

@@ -12,7 +12,8 @@ from ..operators import projections as J
 from ..operators import windows as W
 from ..operators.filters import of_topic, split_label, trailing
 from ..sources import sinks
-from .base import AIR_TOPIC, AS_OF, TRAIN_END, VAL_END, WEATHER_TOPIC, features, halves, over, register, sensor, station_hours, table
+from ..sources.versions import VersionedTable
+from .base import AIR_TOPIC, AS_OF, BUCKET, TRAIN_END, VAL_END, WEATHER_TOPIC, features, halves, over, register, sensor, station_hours, table
 
 _ALL = "temp_c humidity pressure wind_speed wind_dir precipitation cloud_cover shortwave_radiation soil_temperature pm2_5 us_aqi"
 _ALL_SQL = ", ".join(_ALL.split())
@@ -226,7 +227,7 @@ def agg22(spark, d):
 
 @register("win1", over("l", f"SELECT station_id, timestamp, {_ALL_SQL} FROM l"), _ALL)
 def win1(spark, d):
-    return W.forward_fill(station_hours(sensor(spark, d))).select("station_id", "timestamp", *_ALL.split())
+    return W.forward_fill(station_hours(sensor(spark, d)), bucket=BUCKET).select("station_id", "timestamp", *_ALL.split())
 
 
 def _moving(name: str, columns: str):
@@ -263,12 +264,12 @@ _FAR, _FAR_SQL = _lead(W.FAR_HORIZONS)
 
 @register("win7", over("j", f"SELECT station_id, timestamp, {_NEAR_SQL} FROM j"), " ".join(_NEAR))
 def win7(spark, d):
-    return W.add_targets(station_hours(sensor(spark, d))).select("station_id", "timestamp", *_NEAR)
+    return W.add_targets(station_hours(sensor(spark, d)), bucket=BUCKET).select("station_id", "timestamp", *_NEAR)
 
 
 @register("win8", over("l", f"SELECT * FROM (SELECT station_id, timestamp, {_FAR_SQL} FROM l) WHERE {' AND '.join(c + ' IS NOT NULL' for c in _FAR if c.endswith('_24h'))}"), " ".join(_FAR))
 def win8(spark, d):
-    out = W.add_targets(W.forward_fill(station_hours(sensor(spark, d))), W.FAR_HORIZONS, drop_incomplete=True)
+    out = W.add_targets(W.forward_fill(station_hours(sensor(spark, d)), bucket=BUCKET), W.FAR_HORIZONS, drop_incomplete=True, bucket=BUCKET)
     return out.select("station_id", "timestamp", *_FAR)
 
 
@@ -447,7 +448,7 @@ def snk6(spark, d):
     path = scratch(spark, "snk6")
     sinks.upsert(spark, old, path, ["day"], key=["station_id", "timestamp"])
     sinks.upsert(spark, old.filter("event_id % 2 = 0").withColumn("event_id", -F.col("event_id")), path, ["day"], key=["station_id", "timestamp"])
-    return spark.read.parquet(path).select("station_id", "timestamp", "event_id")
+    return VersionedTable(spark, path).read().select("station_id", "timestamp", "event_id")
 
 
 @register("snk7", over("s", "SELECT event_id, CASE WHEN temperature_c IS NOT NULL THEN station_id || '|' || CAST(event_id AS VARCHAR) WHEN pm25 IS NOT NULL THEN region || '|' || source ELSE sha256('{\"event_id\":' || event_id || '}') END AS k FROM s"))
@@ -461,8 +462,11 @@ def snk7(spark, d):
 
 @register("snk9", over("s", "SELECT event_id, 'region_' || region AS key, '{\"event_id\":' || event_id || ',\"region\":\"' || region || '\"}' AS value FROM s"))
 def snk9(spark, d):
-    out = sinks.messages(sensor(spark, d).select("event_id", "region"))
-    return out.select(F.get_json_object("value", "$.event_id").cast("long").alias("event_id"), "key", "value")
+    from .base import scratch
+
+    path = scratch(spark, "snk9")
+    sinks.publish(sensor(spark, d).select("event_id", "region"), "broker:9092", "alerts", fmt="parquet", options={"path": path})
+    return spark.read.parquet(path).select(F.get_json_object("value", "$.event_id").cast("long").alias("event_id"), "key", "value")
 
 
 @register("snk11", over("s", "SELECT event_id, station_id FROM s"))

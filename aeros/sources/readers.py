@@ -10,6 +10,7 @@ from ..functions.normalize import parse_time
 from ..functions.physics import time_parts
 from ..operators.projections import city_key, region_from_station
 from ..schemas import ENVELOPE
+from .versions import VersionedTable
 
 
 def unwrap(df: DataFrame) -> DataFrame:
@@ -35,16 +36,18 @@ def with_record_keys(df: DataFrame) -> DataFrame:
     return df.withColumns({"timestamp": parse_time(F.col("event_time").cast("string")), "city_key": city_key(F.col("city"))})
 
 
-def kafka_stream(spark: SparkSession, servers: str, topics: list[str], starting: str = "earliest", options: dict[str, str] | None = None, fmt: str = "kafka") -> DataFrame:
-    """(topic, key, value, timestamp) as a stream; fmt and options let a file source stand in for a broker."""
+def kafka_stream(spark: SparkSession, servers: str, topics: list[str], starting: str = "earliest", options: dict[str, str] | None = None, fmt: str = "kafka", schema: T.StructType | None = None) -> DataFrame:
+    """(topic, key, value, timestamp) of the topics as a stream; fmt, options and schema let a file source stand in for a broker."""
     own = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": starting, "failOnDataLoss": "false"} if fmt == "kafka" else {}
-    return spark.readStream.format(fmt).options(**(own | (options or {}))).load()
+    reader = spark.readStream.format(fmt).options(**(own | (options or {})))
+    return (reader.schema(schema) if schema is not None else reader).load().filter(F.col("topic").isin(topics))
 
 
 def kafka_batch(spark: SparkSession, servers: str, topics: list[str], starting: str = "earliest", ending: str = "latest", most: int | None = None, metadata: bool = True, fmt: str = "kafka", options: dict[str, str] | None = None) -> DataFrame:
     own = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": starting, "endingOffsets": ending} if fmt == "kafka" else {}
     raw = spark.read.format(fmt).options(**(own | (options or {}))).load()
-    out = raw.limit(most) if most else raw
+    out = raw.filter(F.col("topic").isin(topics))
+    out = out.limit(most) if most else out
     return envelope(out) if metadata else out.select("value")
 
 
@@ -88,7 +91,7 @@ def records_for_check(spark: SparkSession, path: str, schema: T.StructType, line
 
 
 def dataset_version(spark: SparkSession, path: str, fmt: str = "parquet") -> int | None:
-    """The latest version where the format keeps one."""
+    """The latest version where the table keeps versions."""
     if fmt != "delta":
-        return None
+        return VersionedTable(spark, path).version()
     return spark.sql(f"DESCRIBE HISTORY delta.`{path}` LIMIT 1").first()["version"]

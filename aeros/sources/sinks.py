@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.filters import trailing
 from ..operators.windows import first_per_key
 from ..schemas import EVALUATION, METRICS
+from .versions import VersionedTable
 
 KEY, FALLBACK_KEY = ["station_id", "timestamp", "model_name", "horizon"], ["station_id", "timestamp", "target_feature", "forecast_horizon"]
 
@@ -60,20 +61,13 @@ def merged(old: DataFrame, new: DataFrame, key: list[str] = KEY, fallback: list[
     return first_per_key(both, ["_key"], order).drop("_key", "_new")
 
 
-def upsert(spark: SparkSession, new: DataFrame, path: str, by: list[str], key: list[str] = KEY, fmt: str = "parquet") -> None:
-    """Merge into a table partitioned by `by`; only partitions that new rows touch are read and rewritten."""
-    try:
-        old = spark.read.format(fmt).load(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        write_dataset(new, path, fmt, by=by)
-        return
-    touched = new.select(*by).distinct()
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        raise ValueError("upsert needs spark.checkpoint.dir: it reads the partitions that it rewrites")
-    out = merged(old.join(touched, by, "left_semi"), new, key).checkpoint()
-    out.repartition(*by).write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).save(path)
+def upsert(spark: SparkSession, new: DataFrame, path: str, by: list[str], key: list[str] = KEY, batch: str | None = None) -> int:
+    """Merge into the versioned table at path, partitioned by `by`; its new version.
+
+    Only partitions that new rows touch are read and rewritten, and they change all at once: readers see the version before
+    until the new one is committed, and a write that fails leaves it. A batch that was merged before is not merged again.
+    """
+    return VersionedTable(spark, path, by).merge(new, lambda old, rows: merged(old, rows, key), batch)
 
 
 def messages(df: DataFrame, region: str = "region") -> DataFrame:

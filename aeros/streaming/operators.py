@@ -17,6 +17,7 @@ from ..operators.joins import merge_latest
 from ..operators.projections import canonical_air, canonical_weather, existing
 from ..operators.quality import route
 from ..schemas import OBSERVATION
+from ..sources.versions import VersionedTable
 
 LATE, TOLERANCE = "15 minutes", "15 minutes"
 #: Rows of a station that the state keeps: the widest frame.
@@ -179,17 +180,35 @@ def start(df: DataFrame, checkpoint: str, trigger: str = "1 minute", mode: str =
     return writer.format(fmt or "parquet").options(**(options or {})).start(path)
 
 
+def batch_name(df: DataFrame, batch_id: int) -> str:
+    """The name of a micro-batch that its retries share: the id of the stream, which lies in its checkpoint, and the batch's number."""
+    stream = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{stream or 'stream'}/{batch_id}"
+
+
+def table_sink(path: str, columns: list[str] | None = None, fresh: bool = False) -> Callable[[DataFrame, int], None]:
+    """Append micro-batches to a versioned table, each once however often it is retried. fresh: batch 0 replaces what is there."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        out = df.select(*columns) if columns else df
+        table = VersionedTable(df.sparkSession, path)
+        (table.replace if fresh and batch_id == 0 else table.append)(out, batch_name(df, batch_id))
+
+    return write
+
+
 def feature_batch(path: str, score: Callable[[DataFrame], DataFrame] | None = None, alerts_path: str | None = None) -> Callable[[DataFrame, int], None]:
-    """A micro-batch job: observations, then scored alerts. The first batch of a checkpoint overwrites, later ones append."""
+    """A micro-batch job: observations, then scored alerts, both into versioned tables. The first batch of a checkpoint replaces
+    their rows, later ones append; a batch that is retried writes only what it had not committed."""
+    observations, alerts = table_sink(path, fresh=True), table_sink(alerts_path, fresh=True) if alerts_path else None
 
     def run(df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
-            mode = "overwrite" if batch_id == 0 else "append"
             if not df.isEmpty():
-                existing(df, OBSERVATION).write.mode(mode).parquet(path)
-                if score and alerts_path:
-                    score(df).write.mode(mode).parquet(alerts_path)
+                observations(existing(df, OBSERVATION), batch_id)
+                if score and alerts:
+                    alerts(score(df), batch_id)
         finally:
             df.unpersist()
 
@@ -197,12 +216,16 @@ def feature_batch(path: str, score: Callable[[DataFrame], DataFrame] | None = No
 
 
 def scoring_batch(score: Callable[[DataFrame], DataFrame], path: str, weather_topic: str, air_topic: str, schema: T.StructType, key: str = "city") -> Callable[[DataFrame, int], None]:
-    """A micro-batch job over raw messages: latest weather and air rows per key, features, scores."""
+    """A micro-batch job over raw messages: latest weather and air rows per key, features, scores, into a versioned table."""
+    write = table_sink(path)
 
     def run(df: DataFrame, batch_id: int) -> None:
-        out = latest_features(df, weather_topic, air_topic, schema, key)
-        if not out.isEmpty():
-            score(out).write.mode("append").parquet(path)
+        out = latest_features(df, weather_topic, air_topic, schema, key).persist()
+        try:
+            if not out.isEmpty():
+                write(score(out), batch_id)
+        finally:
+            out.unpersist()
 
     return run
 
@@ -213,18 +236,18 @@ def latest_features(df: DataFrame, weather_topic: str, air_topic: str, schema: T
     return add_realtime_features(merge_latest(w, a, key, "event_time").withColumnRenamed("event_time", "timestamp"))
 
 
-def routing_batch(validate: Callable[[DataFrame], DataFrame], accept: Callable[[DataFrame], None], reject: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
-    """Validate once, send valid rows one way and the others the other."""
+def routing_batch(validate: Callable[[DataFrame], DataFrame], accept: Callable, reject: Callable, numbered: bool = False) -> Callable[[DataFrame, int], None]:
+    """Validate once, send valid rows one way and the others the other. numbered: accept and reject also get the batch's number,
+    as table_sink() needs it."""
 
     def run(df: DataFrame, batch_id: int) -> None:
         tagged = validate(df).persist()
         try:
             good, bad = route(tagged)
-            accept(good)
-            reject(bad)
+            number = (batch_id,) if numbered else ()
+            accept(good, *number)
+            reject(bad, *number)
         finally:
             tagged.unpersist()
 
     return run
-
-

@@ -14,7 +14,9 @@ from aeros.functions import normalize, physics, rules
 from aeros.functions.catalog import locations, place, select_locations
 from aeros.operators import aggregates, contract, filters, joins, quality, windows
 from aeros.operators.projections import add_alert_target, for_training, stamp
+from aeros.schemas import TARGETS
 from aeros.sources import readers, sinks
+from aeros.sources.versions import Conflict, VersionedTable
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -166,7 +168,42 @@ def test_upsert(spark, tmp_path):
     old = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "b", 1)], row)
     sinks.upsert(spark, old, path, ["day"], key=["k"])
     sinks.upsert(spark, spark.createDataFrame([(2, "b", 9), (4, "c", 9)], row), path, ["day"], key=["k"])
-    assert {(r["k"], r["v"]) for r in spark.read.parquet(path).collect()} == {(1, 1), (2, 9), (3, 1), (4, 9)}
+    table = VersionedTable(spark, path, ["day"])
+    assert {(r["k"], r["v"]) for r in table.read().collect()} == {(1, 1), (2, 9), (3, 1), (4, 9)}
+    assert {(r["k"], r["v"]) for r in table.read(1).collect()} == {(1, 1), (2, 1), (3, 1)}
+    assert [(r["version"], r["operation"], r["row_count"]) for r in table.history().orderBy("version").collect()] == [(1, "merge", 3), (2, "merge", 3)]
+    # a write that fails leaves the version before, and a batch is merged once
+    broken = spark.createDataFrame([(1, "a", 5)], row).withColumn("v", F.raise_error(F.lit("broken")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.upsert(spark, broken, path, ["day"], key=["k"])
+    assert table.version() == 2 and table.read().count() == 4
+    more = spark.createDataFrame([(5, None, 1)], row)
+    assert [sinks.upsert(spark, more, path, ["day"], key=["k"], batch="b") for _ in range(2)] == [3, 3]
+    assert sinks.upsert(spark, more.withColumn("v", F.lit(7)), path, ["day"], key=["k"]) == 4
+    assert {(r["k"], r["day"], r["v"]) for r in table.read().filter("k = 5").collect()} == {(5, None, 7)} and table.read().count() == 5
+
+
+def test_versions(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    assert table.version() is None
+    with pytest.raises(ValueError, match="nothing was written"):
+        table.read()
+    rows = spark.range(3)
+    assert [table.append(rows, "a"), table.append(rows.limit(1)), table.append(rows, "a"), table.replace(rows.limit(2), "c")] == [1, 2, 1, 3]
+    assert [table.read(v).count() for v in (1, 2, 3)] == [3, 4, 2]
+    with pytest.raises(ValueError, match="no version 9"):
+        table.read(9)
+    with pytest.raises(ValueError, match="columns"):
+        table.append(rows.withColumnRenamed("id", "other"))
+    # an entry that a failed writer cut short is none, and its number stays unused
+    (tmp_path / "t" / "versions" / "000000000004.json").write_text('{"version": 4, "oper')
+    assert table.version() == 3 and table.append(rows) == 5 and table.read().count() == 5
+    # of two writers of one version the second is told so
+    log = table.log()
+    table.append(rows)
+    with pytest.raises(Conflict):
+        table._commit(log, "merge", None, [], [], 0, rows.schema)
+    assert VersionedTable(spark, str(tmp_path / "empty")).append(rows.limit(0)) == 1 and VersionedTable(spark, str(tmp_path / "empty")).read().count() == 0
 
 
 def test_seen_and_retention(spark):
@@ -211,3 +248,28 @@ def test_drift_keeps_digits(spark):
     df = spark.createDataFrame(rows, "pressure double")
     row = aggregates.drift(df, df, ["pressure"]).first()
     assert row["std_train"] == pytest.approx(float(np.std([r[0] for r in rows])), rel=1e-9) and row["mean_serving"] == pytest.approx(1e9 + 3, abs=0.01)
+
+
+@pytest.mark.parametrize("bucket", ["day", "week"])
+def test_buckets_equal_whole_stations(spark, bucket):
+    """One station holds nearly all rows, with gaps that leave buckets of a row or two."""
+    rng, rows = random.Random(2), []
+    some = lambda: rng.choice([None, float(rng.randint(0, 50))])
+    for station, n in (("a", 300), ("b", 20)):
+        t = 0
+        for _ in range(n):
+            t += rng.choice([1, 1, 1, 2, 5, 30, 100])
+            rows.append((station, at(t), *[some() for _ in range(9)]))
+    rows.append(("b", None, *[1.0] * 9))
+    names = ["pressure", "wind_U", "wind_V", *dict.fromkeys(c for c in TARGETS.values() if c != "pressure")]
+    names += [c for c in ("temp_c", "pm2_5") if c not in names]
+    df = spark.createDataFrame([r[: 2 + len(names)] for r in rows], "station_id string, timestamp timestamp, " + ", ".join(f"{n} double" for n in names))
+    same = lambda x, y: sorted(map(str, x.collect())) == sorted(map(str, y.select(*x.columns).collect()))
+    assert same(windows.add_changes(df, bucket=bucket), windows.add_changes(df))
+    assert same(windows.add_targets(df, (1, 6, 24), bucket=bucket), windows.add_targets(df, (1, 6, 24)))
+    assert same(windows.forward_fill(df, names, bucket=bucket), windows.forward_fill(df, names))
+    # the largest window holds a bucket, not a station
+    largest = df.groupBy("station_id", F.date_trunc(bucket, "timestamp")).count().agg(F.max("count")).first()[0]
+    assert largest < 100
+    with pytest.raises(ValueError):
+        windows.add_changes(df, exact_hours=True, bucket=bucket)

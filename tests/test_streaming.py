@@ -8,6 +8,7 @@ import pytest
 
 from aeros.operators.windows import add_changes
 from aeros.plans.base import scratch
+from aeros.sources.versions import VersionedTable
 from aeros.streaming import operators as S
 
 T0 = dt.datetime(2024, 1, 1)
@@ -97,3 +98,38 @@ def test_routing(spark, tmp_path):
     job = S.routing_batch(lambda x: x, lambda x: seen.update(good=x.count()), lambda x: seen.update(bad=[r["error_message"] for r in x.collect()]))
     job(df, 0)
     assert seen == {"good": 1, "bad": ["e"]}
+
+
+def test_retried_batch_changes_nothing(spark, rows, tmp_path):
+    """A stream that dies between its two sinks and is restarted gives every row once in both."""
+    ok = {"yes": False}
+    path, alerts, checkpoint = (str(tmp_path / n) for n in ("obs", "alerts", "checkpoint"))
+
+    def score(df):
+        if not ok["yes"]:
+            raise RuntimeError("killed between the sinks")
+        return df.select("station_id", "timestamp")
+
+    stream = stream_of(spark, rows, tmp_path, 3)
+    with pytest.raises(Exception, match="killed between the sinks"):
+        S.start(stream, checkpoint, "available-now", batch=S.feature_batch(path, score, alerts)).awaitTermination()
+    observations = VersionedTable(spark, path)
+    assert observations.version() == 1 and VersionedTable(spark, alerts).version() is None
+    ok["yes"] = True
+    S.start(stream, checkpoint, "available-now", batch=S.feature_batch(path, score, alerts)).awaitTermination()
+    for p in (path, alerts):
+        table = VersionedTable(spark, p)
+        assert table.read().select("station_id", "timestamp").distinct().count() == table.read().count() == 90
+    assert observations.version() == 3 and len({r["batch"] for r in observations.history().collect()}) == 3
+    # a new checkpoint is a new stream: its first batch replaces what is there
+    S.start(stream, str(tmp_path / "other"), "available-now", batch=S.feature_batch(path, score, alerts)).awaitTermination()
+    assert observations.read().count() == 90 and observations.read(3).count() == 90 and observations.version() == 6
+
+
+def test_direct_replay_and_routes(spark, tmp_path):
+    df = spark.createDataFrame([(1, ["e"]), (2, []), (3, [])], "event_id int, errors array<string>")
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    job = S.routing_batch(lambda x: x, S.table_sink(good, ["event_id"]), S.table_sink(bad, ["event_id", "error_message"]), numbered=True)
+    for number in (0, 0, 1, 0):
+        job(df, number)
+    assert VersionedTable(spark, good).read().count() == 4 and VersionedTable(spark, bad).read().count() == 2
