@@ -25,6 +25,31 @@ def merge_latest(weather: DataFrame, air: DataFrame, key: str = "city", ts: str
     return w.join(a, key).withColumn(ts, F.greatest(ts, "_air_ts")).drop("_air_ts")
 
 
+def within(left: DataFrame, right: DataFrame, seconds: int, key: str = "station_id", ts: str = "event_time", how: str = "full_outer") -> DataFrame:
+    """Rows of a key whose times lie at most `seconds` apart, both ends included; with "left" or "full_outer" also those of one
+    or both sides that meet none. The right side's key and time are named a_*, its other clashing columns are dropped.
+
+    Times are cut into bins of that length: a row of one side meets the bins of its time and its two neighbours on the other,
+    so both joins are equi-joins on (key, bin) that Spark can deal out and split where a bin is large.
+    """
+    if how not in ("inner", "left", "full_outer"):
+        raise ValueError(f"how is inner, left or full_outer, not {how!r}")
+    clash = [c for c in right.columns if c in left.columns and c not in (key, ts)]
+    r = right.drop(*clash).withColumnsRenamed({key: f"a_{key}", ts: f"a_{ts}"})
+    micros = lambda c: F.unix_micros(F.col(c))
+    bin_ = lambda c: F.floor(micros(c) / F.lit(max(1, seconds) * 1_000_000)).cast("long")
+    spread = lambda c: F.explode(F.array(bin_(c) - 1, bin_(c), bin_(c) + 1))
+    near = (F.col(key) == F.col(f"a_{key}")) & (F.abs(micros(ts) - micros(f"a_{ts}")) <= seconds * 1_000_000)
+    wide = r.filter(F.col(f"a_{ts}").isNotNull()).withColumn("_a_bin", spread(f"a_{ts}"))
+    binned = left.withColumn("_bin", bin_(ts))
+    out = binned.join(wide, near & (F.col("_bin") == F.col("_a_bin")), "left" if how != "inner" else "inner").drop("_bin", "_a_bin")
+    if how != "full_outer":
+        return out
+    others = left.filter(F.col(ts).isNotNull()).select(key, ts).withColumn("_bin", spread(ts))
+    alone = r.withColumn("_a_bin", bin_(f"a_{ts}")).join(others, near & (F.col("_bin") == F.col("_a_bin")), "left_anti").drop("_a_bin")
+    return out.unionByName(alone, allowMissingColumns=True)
+
+
 def lookup(df: DataFrame, dimension: DataFrame, on: str) -> DataFrame:
     """Left lookup. Spark sends the dimension to every task if its size is below spark.sql.autoBroadcastJoinThreshold."""
     return df.join(dimension, on, "left")

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from ..ml import jobs
 from ..ml import regression as L
 from ..operators import projections as J
+from ..operators.filters import of_topic
+from ..operators.joins import within
 from ..operators.windows import add_targets, first_per_key
 from ..schemas import UNIFIED
 from ..sources import readers
+from ..sources.seen import SeenStore
 from ..sources.versions import VersionedTable
 from ..streaming import operators as S
 from .base import AIR_TOPIC, TRAIN_END, VAL_END, WEATHER_TOPIC, features, over, register, scratch, sensor, sensors, table
@@ -166,11 +169,46 @@ def _sides(spark, d):
     return J.canonical_weather(w, place), J.canonical_air(a, ["station_id", "event_time"])
 
 
-@register("jon4")
+_NEAR = "a.station_id = w.station_id AND a.event_time BETWEEN w.event_time - INTERVAL 15 MINUTE AND w.event_time + INTERVAL 15 MINUTE"
+_INTERVAL = f"""SELECT w.station_id, w.event_time, a.station_id AS a_station_id, a.event_time AS a_event_time, w.temperature_c AS temp_c, a.pm25 AS pm2_5
+ FROM (SELECT * FROM s WHERE kafka_topic = '{WEATHER_TOPIC}') w LEFT JOIN (SELECT * FROM s WHERE kafka_topic = '{AIR_TOPIC}') a ON {_NEAR}
+ UNION ALL SELECT NULL, NULL, a.station_id, a.event_time, NULL, a.pm25 FROM s a WHERE kafka_topic = '{AIR_TOPIC}' AND NOT EXISTS (SELECT 1 FROM s w WHERE w.kafka_topic = '{WEATHER_TOPIC}' AND {_NEAR})"""
+
+
+def _as_sent(sql: str) -> str:
+    """SQL over s with times in milliseconds, as the messages carry them."""
+    return f"SELECT * FROM (WITH t AS (SELECT * REPLACE (date_trunc('milliseconds', event_time) AS event_time) FROM s) {sql.replace('FROM s', 'FROM t').replace('JOIN s', 'JOIN t')})"
+
+
+_JOINED = ["station_id", "event_time", "a_station_id", "a_event_time", "temp_c", "pm2_5"]
+
+
+@register("jon4", over("s", _as_sent(_INTERVAL)), "temp_c pm2_5")
 def jon4(spark, d):
-    """The join as a stream run to its end: unmatched rows that the watermark has not passed by then are not given."""
-    joined = S.interval_join(*_sides(spark, d))
-    return run_to_end(joined.select("station_id", "event_time", "a_station_id", "a_event_time", "temp_c", "pm2_5"), "jon4")
+    """The join as a stream: one run over all records, then one over heartbeats, by which rows without a partner are given."""
+    path, schema = _broker(spark, d)
+    out, checkpoint = scratch(spark, "jon4"), scratch(spark, "jon4-checkpoint")
+    place = ["station_id", "event_time", "region", "city", "latitude", "longitude"]
+
+    def run():
+        raw = readers.kafka_stream(spark, "broker:9092", [WEATHER_TOPIC, AIR_TOPIC], fmt="parquet", options={"path": path}, schema=schema)
+        w, a = (S.parse(raw, UNIFIED, t) for t in (WEATHER_TOPIC, AIR_TOPIC))
+        joined = S.interval_join(J.canonical_weather(w, place), J.canonical_air(a, ["station_id", "event_time"])).select(*_JOINED)
+        S.start(joined.filter(F.coalesce("station_id", "a_station_id") != S.HEARTBEAT), checkpoint, "available-now", path=out).awaitTermination()
+        return joined.schema
+
+    kept = run()
+    last = spark.read.schema(schema).parquet(path).agg((F.max("timestamp") + F.expr("INTERVAL 1 DAY")).cast("string").alias("t")).first()["t"]
+    S.heartbeats(spark, [WEATHER_TOPIC, AIR_TOPIC], last).write.mode("append").parquet(path)
+    run()
+    return spark.read.schema(kept).parquet(out)
+
+
+@register("jon4_batch", over("s", _INTERVAL), "temp_c pm2_5")
+def jon4_batch(spark, d):
+    s, place = sensor(spark, d), ["station_id", "event_time"]
+    w, a = J.canonical_weather(of_topic(s, WEATHER_TOPIC), place), J.canonical_air(of_topic(s, AIR_TOPIC), place)
+    return within(w, a, 15 * 60).select(*_JOINED)
 
 
 _CHANGED = "pressure_delta_3h wind_shear_U wind_shear_V temp_mean_6h pm25_acc_12h"
@@ -212,7 +250,7 @@ _PAIRS = f"""SELECT w.station_id, w.event_time AS timestamp, w.temperature_c AS
  AND a.event_time BETWEEN w.event_time - INTERVAL 15 MINUTE AND w.event_time + INTERVAL 15 MINUTE WHERE w.kafka_topic = '{WEATHER_TOPIC}' AND a.kafka_topic = '{AIR_TOPIC}'"""
 
 
-@register("str5", over("s", _PAIRS), "temp_c pm2_5")
+@register("str5", over("s", _as_sent(_PAIRS)), "temp_c pm2_5")
 def str5(spark, d):
     """What the joined stream keeps of each pair; its moving features are str3's."""
     return VersionedTable(spark, _flow(spark, d)[0]).read().select("station_id", "timestamp", "temp_c", "pm2_5")
@@ -235,7 +273,7 @@ def _scored_stream(spark, d):
     return VersionedTable(spark, path).read()
 
 
-_LAST = "(SELECT city, max(event_time) AS t FROM s WHERE kafka_topic = '{}' GROUP BY city)"
+_LAST = "(SELECT city, max(date_trunc('milliseconds', event_time)) AS t FROM s WHERE kafka_topic = '{}' GROUP BY city)"
 
 
 @register("str7", over("s", f"SELECT city, greatest(w.t, a.t) AS timestamp, 'pm25_h1' AS model_name, TRUE AS scored FROM {_LAST.format(WEATHER_TOPIC)} w JOIN {_LAST.format(AIR_TOPIC)} a USING (city)"))
@@ -255,6 +293,18 @@ def str9(spark, d):
     return run_to_end(S.only_newer(e), "str9").select("city", "event_time")
 
 
+@register("str9_store", over("s", "SELECT event_id, city FROM s"))
+def str9_store(spark, d):
+    """A batch run over the first half of the month, then a stream over all of it, with one store: each event once."""
+    path, store = scratch(spark, "str9-rows"), SeenStore(spark, scratch(spark, "str9-seen"))
+    first = sensor(spark, d).filter("event_time <= '2024-01-15 00:00:00'").select("event_id", "city", "event_time")
+    VersionedTable(spark, path).append(store.fresh(first), "first")
+    store.remember(first, "first")
+    stream = sensors(_events(spark, d)).select("event_id", "city", "event_time")
+    S.start(stream, scratch(spark, "str9-checkpoint"), "available-now", batch=S.fresh_batch(store, path)).awaitTermination()
+    return VersionedTable(spark, path).read().select("event_id", "city")
+
+
 @register("str10", over("s", "SELECT CASE WHEN humidity + 40 > 100 THEN 'dead_letter' ELSE 'accepted' END AS outcome, count(*) AS n FROM s GROUP BY 1"))
 def str10(spark, d):
     from ..operators.quality import validate_weather

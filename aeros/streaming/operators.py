@@ -17,6 +17,7 @@ from ..operators.joins import merge_latest
 from ..operators.projections import canonical_air, canonical_weather, existing
 from ..operators.quality import route
 from ..schemas import OBSERVATION
+from ..sources.seen import SeenStore
 from ..sources.versions import VersionedTable
 
 LATE, TOLERANCE = "15 minutes", "15 minutes"
@@ -47,6 +48,16 @@ def interval_join(weather: DataFrame, air: DataFrame, station: str = "station_id
     return weather.join(a, near, how)
 
 
+HEARTBEAT = "heartbeat"
+
+
+def heartbeats(spark, topics: list[str], at: str, station: str = "station_id", ts: str = "event_time") -> DataFrame:
+    """A message for each topic that moves the watermark to a time: sent after the last record, it lets a join give the
+    rows that met none. Filter its key (`heartbeat`) from what the join gives."""
+    value = F.to_json(F.struct(F.lit(HEARTBEAT).alias(station), F.lit(at).alias(ts)))
+    return spark.createDataFrame([(t,) for t in topics], "topic string").select("topic", F.lit(HEARTBEAT).alias("key"), value.alias("value"), F.lit(at).cast("timestamp").alias("timestamp"))
+
+
 def unify(df: DataFrame, station: str = "station_id", ts: str = "event_time") -> DataFrame:
     """Keys of either side, `unknown` where a text key is missing, time parts, and the stateless features."""
     out = df.withColumns({station: F.coalesce(station, f"a_{station}", F.lit("unknown")), "timestamp": F.coalesce(ts, f"a_{ts}")}).drop(f"a_{station}", f"a_{ts}", ts)
@@ -197,6 +208,22 @@ def table_sink(path: str, columns: list[str] | None = None, fresh: bool = False)
     return write
 
 
+def fresh_batch(store: SeenStore, path: str) -> Callable[[DataFrame, int], None]:
+    """A micro-batch job: the rows that the store has not seen go to a versioned table, then the store notes the batch. A retry
+    finds the rows written, the batch noted, or both, and adds nothing."""
+    write = table_sink(path)
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            write(store.fresh(df), batch_id)
+            store.remember(df, batch_name(df, batch_id))
+        finally:
+            df.unpersist()
+
+    return run
+
+
 def feature_batch(path: str, score: Callable[[DataFrame], DataFrame] | None = None, alerts_path: str | None = None) -> Callable[[DataFrame, int], None]:
     """A micro-batch job: observations, then scored alerts, both into versioned tables. The first batch of a checkpoint replaces
     their rows, later ones append; a batch that is retried writes only what it had not committed."""

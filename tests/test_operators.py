@@ -16,6 +16,7 @@ from aeros.operators import aggregates, contract, filters, joins, quality, windo
 from aeros.operators.projections import add_alert_target, for_training, stamp
 from aeros.schemas import TARGETS
 from aeros.sources import readers, sinks
+from aeros.sources.seen import SeenStore
 from aeros.sources.versions import Conflict, VersionedTable
 
 T0 = dt.datetime(2024, 1, 1)
@@ -273,3 +274,32 @@ def test_buckets_equal_whole_stations(spark, bucket):
     assert largest < 100
     with pytest.raises(ValueError):
         windows.add_changes(df, exact_hours=True, bucket=bucket)
+
+
+def test_within(spark):
+    """Ends of the tolerance, before the epoch, no partner on either side, rows without a time, several partners."""
+    m = lambda x: None if x is None else T0 + dt.timedelta(minutes=x)
+    old = -60 * 24 * 365 * 60
+    w = spark.createDataFrame([(k, m(t), float(i)) for i, (k, t) in enumerate([("a", 0), ("a", 100), ("b", 0), ("a", old), ("a", None), (None, 0)])], "station_id string, event_time timestamp, temp_c double")
+    a = spark.createDataFrame([(k, m(t), float(i)) for i, (k, t) in enumerate([("a", 15), ("a", -15), ("a", 16), ("a", old - 15), ("c", 0), ("a", None)])], "station_id string, event_time timestamp, pm2_5 double")
+    pairs = lambda how: sorted(((r["temp_c"], r["pm2_5"]) for r in joins.within(w, a, 900, how=how).collect()), key=str)
+    both = [(0.0, 0.0), (0.0, 1.0), (3.0, 3.0)]
+    left = both + [(1.0, None), (2.0, None), (4.0, None), (5.0, None)]
+    assert pairs("inner") == sorted(both, key=str) and pairs("left") == sorted(left, key=str)
+    assert pairs("full_outer") == sorted(left + [(None, 2.0), (None, 4.0), (None, 5.0)], key=str)
+    with pytest.raises(ValueError):
+        joins.within(w, a, 900, how="cross")
+
+
+def test_seen_store(spark, tmp_path):
+    row = "event_id int, city string, event_time timestamp"
+    store = SeenStore(spark, str(tmp_path / "seen"))
+    one = spark.createDataFrame([(1, "a", at(1)), (2, "a", at(2)), (2, "a", at(2)), (3, "b", at(0)), (4, None, at(1)), (5, "b", None)], row)
+    ids = lambda df: sorted(r["event_id"] for r in store.fresh(df).collect())
+    assert ids(one) == [1, 2, 3]
+    assert [store.remember(one, "x"), store.remember(one, "x")] == [1, 1]
+    two = spark.createDataFrame([(1, "a", at(1)), (2, "a", at(2)), (6, "a", at(2)), (7, "a", at(3)), (8, "c", at(0)), (9, "b", at(-1))], row)
+    assert ids(two) == [6, 7, 8]
+    store.remember(two, "y")
+    assert ids(one) == [] and ids(two) == []
+    assert {(r["city"], r["last_id"]) for r in store.seen().collect()} == {("a", 7), ("b", 3), ("c", 8)}
