@@ -305,7 +305,7 @@ def digests(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
 def longest_matches(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
     """item, first, length, key, place: for every item the longest run of its words that stands verbatim in a document, where
-    in the item it begins, and one place of it (the smallest key and word). Items without a common word have no row."""
+    in the item it begins, and one place of it. Items without a common word have no row."""
     best = None
     schema = StructType([StructField("item", StringType()), StructField("first", LongType()), StructField("length", LongType()), StructField("key", df.schema[key].dataType), StructField("place", LongType())])
     for passages in blocks(benchmark, item, "text"):
