@@ -61,9 +61,10 @@ _GIVEN = {n: gs for gs, names in GIVEN.items() for n in names}
 _NAME_WORDS = frozenset([*_GIVEN, *TITLES])
 _WORD = re.compile(r"\w+")
 _CAP = r"[A-ZÀ-ÖØ-ÞΑ-ΩΆ-ΏА-ЯЁ][\w’'-]*[a-zß-öø-ÿα-ωά-ώа-яё]"
-_TITLED = re.compile(rf"\b({'|'.join(TITLES)})\.? ((?:{_CAP} )?{_CAP})")
-_NAMED = re.compile(rf"\b({'|'.join(_GIVEN)}) ({_CAP})")
-_LOCAL = re.compile(r"[\w.%+-]*\w[\w.%+-]*\Z")
+_INITIALS = r"(?:[A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ]\. ?)*"
+_TITLED = re.compile(rf"\b({'|'.join(TITLES)})\.? (?:({_CAP}) )?{_INITIALS}({_CAP})")
+_NAMED = re.compile(rf"\b({'|'.join(_GIVEN)}) {_INITIALS}({_CAP})")
+_LOCAL_MARKS = frozenset("_.%+-")
 _DOMAIN = re.compile(r"[^\W_][\w-]*(?:\.[\w-]+)*\.[^\W\d_]{2,}")
 _PHONE = re.compile(r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){1,3}|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])")
 _CARD = re.compile(r"(?<![\w.-])[2-6]\d{3}(?:[ -]?\d){9,15}(?![\w-])")
@@ -71,8 +72,12 @@ _CARD = re.compile(r"(?<![\w.-])[2-6]\d{3}(?:[ -]?\d){9,15}(?![\w-])")
 _ISSUED = [(re.compile("4"), (13, 16, 19)), (re.compile("3[47]"), (15,)), (re.compile("5[1-5]|2"), (16,))]
 _IP = re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)")
 _IP6 = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){4,7}[0-9A-Fa-f]{1,4}(?![\w:])")
+_IP6_SHORT = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![\w:])")
+_SSN_SPACED = re.compile(r"(?i)\b(?:ssn|social security)\D{0,20}(\d{3} \d{2} \d{4})(?![\w-])")
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
-_IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
+_IBAN = re.compile(r"(?<!\w)(?:[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?|[a-z]{2}\d{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?)(?!\w)")
+#: Keys that tell themselves by how they begin (fixed forms); what follows is replaced.
+_KEYS = re.compile(r"(?<!\w)(?:A[KS]IA([0-9A-Z]{16})|gh[pousr]_([A-Za-z0-9]{36,255}))(?!\w)|\b[Bb]earer ([A-Za-z0-9_+/=.-]{16,})")
 _SECRET = re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b[\"']?\s*[=:]\s*[\"']?([A-Za-z0-9_+/=.-]{8,})")
 _NUMERIC = re.compile(r"\d[\d ().-]{5,}")
 
@@ -118,15 +123,17 @@ def _names(text: str) -> Iterator[tuple[int, int, int, str, str]]:
         forms.setdefault(word.casefold(), entity)
         return rank, start, start + len(word), *entity
 
-    for m in _TITLED.finditer(text):
-        words = m[2].split(" ")
-        at = m.start(2)
-        for k, word in enumerate(words):
-            yield known(at, word, _name(word) if k == 0 and len(words) == 2 else ("surname", word.casefold()), 7)
-            at += len(word) + 1
     for m in _NAMED.finditer(text):
         yield known(m.start(1), m[1], _name(m[1]), 8)
         yield known(m.start(2), m[2], ("surname", m[2].casefold()), 8)
+    titled = list(_TITLED.finditer(text))
+    for m in titled:
+        if m[2]:
+            yield known(m.start(2), m[2], _name(m[2]), 7)
+            yield known(m.start(3), m[3], ("surname", m[3].casefold()), 7)
+    for m in titled:  # one name alone is what the document shows it to be elsewhere, else a surname
+        if not m[2]:
+            yield known(m.start(3), m[3], forms.get(m[3].casefold(), ("surname", m[3].casefold())), 7)
     if not forms:
         return
     for m in _WORD.finditer(text):
@@ -143,12 +150,17 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
     if not text:
         return []
     found: list[tuple[int, int, int, str, str]] = []
-    at = text.find("@")
+    before, at = -1, text.find("@")
     while at >= 0:
-        local, domain = _LOCAL.search(text, max(0, at - 64), at), _DOMAIN.match(text, at + 1)
-        if local and domain:
-            found.append((0, local.start(), domain.end(), "email", text[local.start() : domain.end()].lower()))
-        at = text.find("@", at + 1)
+        if domain := _DOMAIN.match(text, at + 1):
+            start = at
+            while start > before + 1 and ((c := text[start - 1]).isalnum() or c in _LOCAL_MARKS):
+                start -= 1
+            if any(c.isalnum() or c == "_" for c in text[start:at]):
+                found.append((0, start, domain.end(), "email", text[start : domain.end()].lower()))
+        before, at = at, text.find("@", at + 1)
+    if "IA" in text or "gh" in text or "earer " in text:
+        found += [(1, *m.span(m.lastindex), "secret", m[m.lastindex]) for m in _KEYS.finditer(text)]
     low = text.lower() if "=" in text or ":" in text else ""
     if low and any(w in low for w in ("token", "secret", "passw", "key")):
         found += [(1, m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text) if any(map(str.isalnum, m[1]))]
@@ -158,11 +170,14 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
             if all(int(x) < 256 for x in m[0].split(".")):
                 found.append((4, *m.span(), "ip", ".".join(str(int(x)) for x in m[0].split("."))))
         found += [(5, *m.span(), "ssn", m[0]) for m in _SSN.finditer(text)]
+        found += [(5, *m.span(1), "ssn", m[1].replace(" ", "-")) for m in _SSN_SPACED.finditer(text) if _ssn_ok(m[1].replace(" ", "-"))]
         found += [(6, *m.span(), "phone", re.sub(r"\D", "", m[0])) for m in _PHONE.finditer(text)]
     if ":" in text:
         found += [(4, *m.span(), "ip6", m[0].lower()) for m in _IP6.finditer(text)]
-    for m in _IBAN.finditer(text) if not text.islower() else ():
-        flat = m[0].replace(" ", "")
+        if "::" in text:  # at least one group, digits among them, so that scopes of code are none
+            found += [(4, *m.span(), "ip6", m[0].lower()) for m in _IP6_SHORT.finditer(text) if re.search(r"\d", m[0]) and 2 <= len(re.findall(r"[0-9A-Fa-f]+", m[0])) <= 7]
+    for m in _IBAN.finditer(text):
+        flat = m[0].replace(" ", "").upper()
         if 15 <= len(flat) <= 34 and _iban_ok(flat):
             found.append((2, *m.span(), "iban", flat))
     if not _NAME_WORDS.isdisjoint(_WORD.findall(text)):  # both patterns begin with such a whole word
@@ -220,16 +235,21 @@ def _along(value: int, size: int, key: bytes, tweak: bytes, step: int, good: Cal
             step -= 1
 
 
+def _foreign(c: str) -> bool:
+    """Signs among letters, such as the micro sign: their other case is no single letter near by. They stay as they are."""
+    return any(len(x) != 1 or abs(ord(x) - ord(c)) > 512 for x in (c.upper(), c.lower())) or ((c.islower() or c.isupper()) and c.upper() == c.lower())
+
+
 @lru_cache(maxsize=4096)
 def _letters(c: str, alphabets: tuple[str, ...]) -> str:
     """What may stand in the place of c."""
     for own in alphabets:
         if c in own:
             return own
-    if not c.isalpha():
+    if not c.isalpha() or _foreign(c):
         return c
     block = map(chr, range(ord(c) & ~127, (ord(c) & ~127) + 128))
-    return "".join(x for x in block if x.isalpha() and (x.islower(), x.isupper()) == (c.islower(), c.isupper()) and not any(x in a for a in alphabets))
+    return "".join(x for x in block if x.isalpha() and not _foreign(x) and (x.islower(), x.isupper()) == (c.islower(), c.isupper()) and not any(x in a for a in alphabets))
 
 
 def _coded(form: str, alphabets: tuple[str, ...], key: bytes, tweak: str, step: int, good: Callable[[str], bool] | None = None) -> str:
@@ -326,9 +346,9 @@ def surrogate(kind: str, form: str, key: bytes, attempt: int = 0) -> str:
 
 def dress(kind: str, new: str, original: str) -> str:
     """The surrogate in the spelling of the mention: its separators, its case."""
-    if kind in ("phone", "card", "iban"):
-        chars = iter(new)
-        return "".join(next(chars) if c.isalnum() else c for c in original)
+    if kind in ("phone", "card", "iban", "ssn"):
+        chars = iter(new.replace("-", "") if kind == "ssn" else new)
+        return "".join((next(chars).lower() if c.islower() else next(chars)) if c.isalnum() else c for c in original)
     if kind in ("email", "ip6", "surname", "given"):
         if len(original) > 1 and original == original.upper() != original.lower():
             return new.upper()
