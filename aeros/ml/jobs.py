@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,9 +43,15 @@ def train_missing(spark: SparkSession, data_path: str, root: str, matrix: list[t
         if L.model_name(target, hours) not in have:
             todo.setdefault(target, (numeric, []))[1].append(hours)
     models, frame = {}, spark.read.format(fmt).load(data_path)
-    for target, (numeric, hours) in todo.items():
+
+    def one(target: str) -> dict:
+        numeric, hours = todo[target]
         own = L.train_set(frame, target, tuple(hours), numeric, train_end, val_end, kind=kind, params=params)
-        models |= {L.model_name(target, h): m for h, m in own.items()}
+        return {L.model_name(target, h): m for h, m in own.items()}
+
+    with ThreadPoolExecutor(3) as pool:
+        for own in pool.map(one, todo):
+            models |= own
     if models:
         L.save_versions(spark, models, root, run_id or uuid.uuid4().hex)
     return list(models)

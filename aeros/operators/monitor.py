@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import mae_drift_status, severity
-from .aggregates import delay_stats, duplicate_rate, max_silence, missing_rate, pivot_metrics
+from .aggregates import delay_stats, duplicate_rate, max_silence, missing_rate, pivot_metrics, unpivot
+from .sketches import quantiles
 from .windows import current_and_previous
 
 #: Warning and critical thresholds (fixed values).
@@ -35,6 +36,29 @@ def quality_metrics(df: DataFrame, as_of: Column, columns: list[str], keys: list
     return out
 
 
+def sketched_metrics(sketches: DataFrame, as_of: Column, columns: list[str], delay: str = "delay_seconds") -> DataFrame:
+    """Missing rates, exactly, and the delay's 95th percentile from daily sketches (see sketches.py), without a scan of the rows."""
+    read = quantiles(sketches, {"p95": 0.95})
+    rates = metric(read.filter(F.col("column_name").isin(columns)), as_of, "data_quality", F.concat(F.lit("missing_rate_"), "column_name"), "missing_rate", "missing_rate")
+    return rates.unionByName(metric(read.filter(F.col("column_name") == delay), as_of, "freshness", "ingestion_delay_p95_seconds", "p95", "delay_p95_seconds"))
+
+
+def range_metrics(df: DataFrame, as_of: Column, ranges: dict[str, tuple]) -> DataFrame:
+    """The share of values outside (low, high, low is strict) of each column that df has; without values it is NULL."""
+    own = {c: r for c, r in ranges.items() if c in df.columns}
+
+    def outside(c: str, low: float | None, high: float | None, strict: bool) -> Column:
+        tests = [F.col(c) <= low if strict else F.col(c) < low] if low is not None else []
+        tests += [F.col(c) > high] if high is not None else []
+        bad = F.lit(False)
+        for t in tests:
+            bad = bad | t
+        return F.avg(F.when(F.col(c).isNotNull(), bad.cast("int")))
+
+    one = df.agg(*[outside(c, *r).alias(c) for c, r in own.items()])
+    return metric(unpivot(one, list(own), "column_name", "rate"), as_of, "data_quality", F.concat(F.lit("out_of_range_rate_"), "column_name"), "rate", "out_of_range_rate")
+
+
 def performance_metrics(snapshots: DataFrame, as_of: Column, split: str = "test") -> DataFrame:
     """MAE of each model's latest run against the run before it."""
     runs = pivot_metrics(snapshots.filter(F.col("split") == split), ["task", "model_name", "horizon", "run_id", "recorded_at"], ["mae"])

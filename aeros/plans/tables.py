@@ -11,9 +11,10 @@ from ..operators import monitor as M
 from ..operators import projections as J
 from ..operators import windows as W
 from ..operators.filters import of_topic, split_label, trailing
+from ..operators.sketches import ERROR, SketchTable, quantiles, sketched_drift
 from ..sources import sinks
 from ..sources.versions import VersionedTable
-from .base import AIR_TOPIC, AS_OF, BUCKET, TRAIN_END, VAL_END, WEATHER_TOPIC, features, halves, over, register, sensor, station_hours, table
+from .base import AIR_TOPIC, AS_OF, BUCKET, TRAIN_END, VAL_END, WEATHER_TOPIC, features, halves, over, register, scratch, sensor, station_hours, table
 
 _ALL = "temp_c humidity pressure wind_speed wind_dir precipitation cloud_cover shortwave_radiation soil_temperature pm2_5 us_aqi"
 _ALL_SQL = ", ".join(_ALL.split())
@@ -85,6 +86,28 @@ def agg3(spark, d):
     return G.delay_stats(sensor(spark, d), exact=True)
 
 
+_DRIFT_COLUMNS = ["pm25", "humidity", "temperature_c"]
+_DELAYED = "delay_seconds"
+
+
+def _sketched(spark, d):
+    """The view with its delays, and a table of its daily sketches, written day by day as a job would."""
+    s = sensor(spark, d).withColumn(_DELAYED, F.unix_timestamp("ingestion_time") - F.unix_timestamp("event_time"))
+    kept = SketchTable(spark, scratch(spark, "sketches"))
+    for part, rows in (("first", s.filter("event_time < '2024-01-15'")), ("second", s.filter("event_time >= '2024-01-15'"))):
+        kept.add(rows, [_DELAYED, *_DRIFT_COLUMNS, *_MISSING], batch=part)
+    return s, kept
+
+
+@register("agg3_sketch", over("s", f"SELECT avg_delay_seconds, max_delay_seconds, TRUE AS p95_within FROM ({_DELAY})"), "avg_delay_seconds")
+def agg3_sketch(spark, d):
+    """From merged daily sketches; the rank of the percentile is within the sketches' error."""
+    s, kept = _sketched(spark, d)
+    q = quantiles(kept.between(), {"p95": 0.95}).filter(F.col("column_name") == _DELAYED)
+    x = F.col(_DELAYED)
+    return s.crossJoin(F.broadcast(q)).agg(F.first("mean").alias("avg_delay_seconds"), F.first("most").cast("long").alias("max_delay_seconds"), ((F.avg((x < F.col("p95")).cast("int")) - ERROR <= 0.95) & (F.avg((x <= F.col("p95")).cast("int")) + ERROR >= 0.95)).alias("p95_within"))
+
+
 _SILENCE = f"SELECT station_id, max(event_time) AS last_event_time, (epoch(TIMESTAMP '{AS_OF}') - epoch(date_trunc('second', max(event_time)))) / 60.0 AS silence_minutes FROM s GROUP BY station_id"
 
 
@@ -151,7 +174,6 @@ def agg14(spark, d):
     return G.regression_metrics(_evaluated(spark, d), "actual").select("mae_high")
 
 
-_DRIFT_COLUMNS = ["pm25", "humidity", "temperature_c"]
 
 
 def _drift_sql() -> str:
@@ -183,6 +205,16 @@ def agg16(spark, d):
     return G.drift(*_sides(spark, d), _DRIFT_COLUMNS, exact=True)
 
 
+@register("agg16_sketch", over("s", f"SELECT feature_name, TRUE AS psi_within, mean_train, mean_serving, std_train, std_serving FROM ({_drift_sql().replace(TRAIN_END, '2024-01-20 23:59:59.999999')})"), "mean_train mean_serving std_train std_serving")
+def agg16_sketch(spark, d):
+    """Drift from merged daily sketches; psi is within 0.01 of that of the rows."""
+    s, kept = _sketched(spark, d)
+    cut = "2024-01-20 23:59:59.999999"
+    exact = G.drift(s.filter(f"event_time <= '{cut}'"), s.filter(f"event_time > '{cut}'"), _DRIFT_COLUMNS, exact=True).select("feature_name", F.col("psi").alias("exact"))
+    own = sketched_drift(kept.between(None, "2024-01-20"), kept.between("2024-01-21"))
+    return own.join(exact, "feature_name").select("feature_name", (F.abs(F.col("psi") - F.col("exact")) <= 0.01).alias("psi_within"), "mean_train", "mean_serving", "std_train", "std_serving")
+
+
 _SPLIT = f"CASE WHEN event_time <= TIMESTAMP '{TRAIN_END}' THEN 'train' WHEN event_time <= TIMESTAMP '{VAL_END}' THEN 'val' ELSE 'test' END"
 
 
@@ -394,6 +426,36 @@ def mon1(spark, d):
     return M.daily(s, _as_of(), _MISSING, ["station_id", "hour_ts"], _snapshots(spark, d), exact=True).select("category", "metric_name", "metric_value", "severity")
 
 
+@register("mon1_sketch", over("s", f"SELECT metric_name, CASE WHEN category = 'data_quality' THEN metric_value END AS metric_value, severity FROM ({_MON}) WHERE metric_name LIKE 'missing%' OR metric_name LIKE 'ingestion%'"), "metric_value")
+def mon1_sketch(spark, d):
+    """Of the percentile only the severity is compared: its value comes from the sketches."""
+    out = M.sketched_metrics(_sketched(spark, d)[1].between(), _as_of(), _MISSING, _DELAYED)
+    return out.select("metric_name", F.when(F.col("category") == "data_quality", F.col("metric_value")).alias("metric_value"), "severity")
+
+
+_OUTSIDE = " UNION ALL ".join(f"SELECT 'out_of_range_rate_{c}' AS metric_name, avg(CASE WHEN {test} THEN 1.0 ELSE 0.0 END) FILTER ({c} IS NOT NULL) AS v FROM s" for c, test in (("humidity", "humidity < 5 OR humidity > 95"), ("pm25", "pm25 <= 1"), ("temperature_c", "temperature_c > 39")))
+
+
+@register("mon1_ranges", over("s", f"SELECT metric_name, v AS metric_value, {_THRESHOLD.format(v='v', w=0.01, c=0.03)} AS severity FROM ({_OUTSIDE})"), "metric_value")
+def mon1_ranges(spark, d):
+    ranges = {"humidity": (5, 95, False), "pm25": (1, None, True), "temperature_c": (None, 39, False), "absent": (0, 1, False)}
+    return M.range_metrics(sensor(spark, d), _as_of(), ranges).select("metric_name", "metric_value", "severity")
+
+
+@register("con7_closed", over("s", "SELECT 'null_rate temperature_c' AS issue, 0 AS written_rows"))
+def con7_closed(spark, d):
+    """A contract that the view breaks closes the gate before the write: nothing is materialised, and the error says why."""
+    out = VersionedTable(spark, scratch(spark, "con7"))
+    contract = C.Contract({"station_id": ("string", False), "temperature_c": ("numeric", False)}, keys=["event_id"])
+    issue = "none"
+    try:
+        out.append(C.gated(sensor(spark, d), contract))
+    except ValueError as e:
+        issue = " ".join(str(e).split("; ")[0].split()[:2])
+    written = out.read().count() if out.version() else 0
+    return table(spark, d, "events").limit(1).select(F.lit(issue).alias("issue"), F.lit(written).alias("written_rows"))
+
+
 @register("ml6", over("s", f"SELECT task, model_name, horizon, run_id, mae, mae_high FROM ({_RUNS}) WHERE mae > 0 AND mae_high <= mae * 2.5"), "mae mae_high")
 def ml6(spark, d):
     from ..ml.regression import promotable
@@ -405,8 +467,6 @@ def ml6(spark, d):
 
 
 def _written(spark, df, name, write):
-    from .base import scratch
-
     path = scratch(spark, name)
     write(df, path)
     return spark.read.parquet(path)
@@ -441,8 +501,6 @@ _UPSERT = "SELECT station_id, hour_ts AS timestamp, CAST(max(event_id) AS BIGINT
 
 @register("snk6", over("s", f"SELECT station_id, timestamp, CAST(CASE WHEN event_id % 2 = 0 THEN -event_id ELSE event_id END AS BIGINT) AS event_id FROM ({_UPSERT})"))
 def snk6(spark, d):
-    from .base import scratch
-
     s = sensor(spark, d).withColumn("timestamp", F.date_trunc("hour", "event_time"))
     old = s.groupBy("station_id", "timestamp").agg(F.max("event_id").alias("event_id")).withColumn("day", F.to_date("timestamp"))
     path = scratch(spark, "snk6")
@@ -462,8 +520,6 @@ def snk7(spark, d):
 
 @register("snk9", over("s", "SELECT event_id, 'region_' || region AS key, '{\"event_id\":' || event_id || ',\"region\":\"' || region || '\"}' AS value FROM s"))
 def snk9(spark, d):
-    from .base import scratch
-
     path = scratch(spark, "snk9")
     sinks.publish(sensor(spark, d).select("event_id", "region"), "broker:9092", "alerts", fmt="parquet", options={"path": path})
     return spark.read.parquet(path).select(F.get_json_object("value", "$.event_id").cast("long").alias("event_id"), "key", "value")
@@ -471,8 +527,6 @@ def snk9(spark, d):
 
 @register("snk11", over("s", "SELECT event_id, station_id FROM s"))
 def snk11(spark, d):
-    from .base import scratch
-
     path = scratch(spark, "snk11")
     sinks.export_lines(sensor(spark, d).select("kafka_topic", "event_id", "station_id"), path, metadata=False)
     return spark.read.schema("event_id bigint, station_id string").json(path)

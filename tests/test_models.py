@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from aeros.ml import jobs
 from aeros.ml import regression as L
+from aeros.ml.forest import load_forests, score_set
 from aeros.operators.windows import add_targets
 from aeros.plans.base import TRAIN_END, VAL_END, features, sensor
 
@@ -48,6 +50,36 @@ def test_score_many_and_versions(spark, frame, trained, tmp_path):
     assert set(frame.drop(TARGET).columns) < set(out.columns)
 
 
+@pytest.mark.parametrize("kind", ["gbt", "random_forest"])
+def test_node_arrays_score_as_the_models(spark, frame, tmp_path, kind):
+    """Missing numbers, unknown and missing categories; latest versions; models without a forest or a column give NULLs."""
+    root = str(tmp_path)
+    params = {"maxIter": 5, "numTrees": 4, "maxDepth": 4}
+    models = {L.model_name("pm25", h): m for h, m in L.train_set(frame, "pm25", (1,), [*NUMERIC, "temp_c"], TRAIN_END, VAL_END, kind=kind, params=params).items()}
+    models["other"] = L.train(frame, TARGET, NUMERIC, TRAIN_END, VAL_END, kind=kind, params={"maxIter": 3, "numTrees": 2, "maxDepth": 6})[0]
+    assert L.save_versions(spark, models, root, "r") == {"pm25_h1": 1, "other": 1}
+    assert L.save_versions(spark, {"other": models["pm25_h1"]}, root, "r") == {"other": 2}
+    rows = frame.select("station_id", "timestamp", *L.CATEGORICAL, *NUMERIC, "temp_c")
+    n = F.abs(F.hash("timestamp")) % 7
+    odd = rows.withColumns({"city": F.when(n == 0, "elsewhere").when(n != 1, F.col("city")), "region": F.when(n != 2, F.col("region")), "humidity": F.when(n == 3, float("nan")).when(n != 4, F.col("humidity"))})
+    forests = load_forests(spark, root, ["pm25_h1", "other", "none"])
+    assert forests["none"] is None
+    got = score_set(odd, {"a": forests["pm25_h1"], "b": forests["other"], "c": None}).toPandas().sort_values(["station_id", "timestamp"])
+    want = L.score_many(odd, {"a": (models["pm25_h1"], [*NUMERIC, "temp_c"])}).toPandas().sort_values(["station_id", "timestamp"])
+    assert np.allclose(got["a"], want["a"], rtol=0, atol=1e-9) and (got["a"] == got["b"]).all() and got["c"].isna().all()
+    assert score_set(odd.drop("temp_c"), {"a": forests["pm25_h1"]}).filter("a IS NOT NULL").count() == 0
+
+
+def test_registry_fits_what_is_missing(spark, frame, tmp_path):
+    data, root = str(tmp_path / "data"), str(tmp_path / "root")
+    frame.write.parquet(data)
+    matrix = [("pm25", 1, NUMERIC)]
+    fit = lambda m: jobs.train_missing(spark, data, root, m, TRAIN_END, VAL_END, params={"maxIter": 1, "maxDepth": 2})
+    assert [fit(matrix), fit(matrix)] == [["pm25_h1"], []]
+    out = jobs.score_all(spark, frame, root, [*matrix, ("temp", 2, NUMERIC)])
+    assert {(r["target_feature"], r["forecast_horizon"]) for r in out.collect()} == {("pm25", "h1")} and out.count() == frame.count()
+
+
 def test_train_and_score_jobs(spark, frame, tmp_path):
     """A run is noted in any case and registered if it passes; scoring takes the latest version and appends."""
     data, root, out = (str(tmp_path / n) for n in ("data", "root", "out"))
@@ -75,7 +107,8 @@ def test_errors(frame):
 
 
 def test_registered_models_have_the_settings(spark, monkeypatch):
-    """Each query that trains does so with the 36 jobs' settings."""
+    """Each query that trains does so with the 36 jobs' settings; ml10, which fits all 36, with fewer rounds."""
+    from aeros.plans import models
     from aeros.plans.registry import QUERIES
 
     class Seen(Exception):
@@ -85,7 +118,12 @@ def test_registered_models_have_the_settings(spark, monkeypatch):
         assert params == L.GBT == {"maxDepth": 6, "maxIter": 100, "stepSize": 0.05, "subsamplingRate": 0.85}
         raise Seen
 
+    def train_set(*args, params=None, **kwargs):
+        assert params == {**L.GBT, "maxIter": models._ROUNDS}
+        raise Seen
+
     monkeypatch.setattr(L, "train", train)
+    monkeypatch.setattr(L, "train_set", train_set)
     for name in ("ml1", "ml2", "ml4", "ml5", "ml7", "ml9", "ml10", "ml12"):
         with pytest.raises(Seen):
             QUERIES[name](spark, SF)
@@ -94,7 +132,10 @@ def test_registered_models_have_the_settings(spark, monkeypatch):
 def test_all_jobs_are_scored(spark, monkeypatch):
     from aeros.plans.registry import QUERIES
 
-    monkeypatch.setattr(L, "GBT", {"maxDepth": 1, "maxIter": 1})
+    from aeros.plans import models
+
+    monkeypatch.setattr(L, "GBT", {"maxDepth": 1})
+    monkeypatch.setattr(models, "_ROUNDS", 1)
     out = QUERIES["ml10"](spark, SF)
     rows = features(sensor(spark, SF)).count()
     counts = {(r["target_feature"], r["forecast_horizon"]): r["count"] for r in out.groupBy("target_feature", "forecast_horizon").count().collect()}

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from aeros.functions import normalize, physics, rules
 from aeros.functions.catalog import locations, place, select_locations
-from aeros.operators import aggregates, contract, filters, joins, quality, windows
+from aeros.operators import aggregates, contract, filters, joins, quality, sketches, windows
+from aeros.operators.sketches import SketchTable
 from aeros.operators.projections import add_alert_target, for_training, stamp
 from aeros.schemas import TARGETS
 from aeros.sources import readers, sinks
@@ -303,3 +304,32 @@ def test_seen_store(spark, tmp_path):
     store.remember(two, "y")
     assert ids(one) == [] and ids(two) == []
     assert {(r["city"], r["last_id"]) for r in store.seen().collect()} == {("a", 7), ("b", 3), ("c", 8)}
+
+
+def test_sketches_merge(spark, tmp_path):
+    """Days that came in several batches, a batch noted twice, nulls, NaN and a column without values."""
+    rng = random.Random(5)
+    rows = [(at(rng.randint(0, 24 * 9)), rng.choice([None, float("nan"), rng.gauss(0, 1), rng.gauss(0, 1)]), None) for _ in range(6000)]
+    df = spark.createDataFrame(rows, "event_time timestamp, x double, y double")
+    table = SketchTable(spark, str(tmp_path / "s"))
+    for batch, part in (("a", df.limit(2500)), ("b", df.subtract(df.limit(2500)))):
+        table.add(part, ["x", "y"], batch=batch)
+    before = table.table.read().count()
+    table.add(df, ["x", "y"], batch="b")
+    assert table.table.read().count() == before
+    noted = spark.createDataFrame(rows[:3000], df.schema)
+    again = SketchTable(spark, str(tmp_path / "t"))
+    for i in range(3):
+        again.add(noted.filter(F.pmod(F.hash("event_time"), F.lit(3)) == i), ["x", "y"])
+    values = sorted(v for _, v, _ in rows[:3000] if v is not None and v == v)
+    got = {r["column_name"]: r for r in sketches.quantiles(again.between(), {"p50": 0.5, "p95": 0.95}).collect()}
+    for name, q in (("p50", 0.5), ("p95", 0.95)):
+        assert abs(sum(v <= got["x"][name] for v in values) / len(values) - q) < sketches.ERROR + 1 / len(values)
+    assert got["x"]["mean"] == pytest.approx(sum(values) / len(values)) and got["x"]["most"] == values[-1] and got["x"]["missing_rate"] == pytest.approx(1 - len(values) / 3000)
+    assert got["y"]["p50"] is None and got["y"]["missing_rate"] == 1.0
+    days = again.between(str(T0.date()), str(T0.date()))
+    assert {str(r["day"]) for r in days.collect()} == {"2024-01-01"}
+    half = lambda lo, hi: noted.filter((F.col("event_time") >= F.lit(at(lo))) & (F.col("event_time") < F.lit(at(hi))) & ~F.isnan("x"))
+    drift = sketches.sketched_drift(again.between(None, "2024-01-04"), again.between("2024-01-05")).collect()
+    assert [r["feature_name"] for r in drift] == ["x"]
+    assert drift[0]["psi"] == pytest.approx(aggregates.psi(half(0, 96), half(96, 999), "x", exact=True).first()["psi"], abs=0.01)
