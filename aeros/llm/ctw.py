@@ -428,6 +428,9 @@ def bucketed(df: DataFrame, columns: list[Column]) -> tuple[DataFrame, int, int]
     that are not long; a long text is a bucket of its own.
     """
     row = F.col("_metadata.row_index")
+    if "_metadata" in df.columns:  # a column of this name hides the file's
+        df = stored(df.select(*columns), "documents")
+        columns = [F.col(c) for c in df.columns]
     where = lambda d: d.select(*columns, F.xxhash64(F.col("_metadata.file_path"), F.floor(row / BUCKET)).alias("block"), (row % BUCKET).alias("row"))
     try:
         docs = where(df)

@@ -266,6 +266,7 @@ def test_ctw_buckets_change_no_score(spark, tmp_path, monkeypatch):
         monkeypatch.setattr(ctw, "BUCKET_BYTES", bucket_bytes)
         monkeypatch.setattr(ctw, "LONG", long)
         found.append(sorted(map(tuple, ctw.scores(df, F.col("id") % 5 != 0, key="id").collect())))
+    found.append(sorted(map(tuple, ctw.scores(df.withColumn("_metadata", F.lit(1)), F.col("id") % 5 != 0, key="id").collect())))
     assert len(found[0]) == len(rows)
     for other in found[1:]:
         assert [r[:5] for r in other] == [r[:5] for r in found[0]]
