@@ -15,6 +15,7 @@ from ..sources import readers
 from ..sources.seen import SeenStore
 from ..sources.versions import VersionedTable
 from ..streaming import operators as S
+from ..streaming import silence
 from .base import AIR_TOPIC, TRAIN_END, VAL_END, WEATHER_TOPIC, features, over, register, scratch, sensor, sensors, table
 
 _NUMERIC = L.FEATURES["pm25"]
@@ -340,6 +341,30 @@ def str12(spark, d):
     return alerts.groupBy("station_id", "hour_ts").agg(F.max("hours_in_row").alias("hours_in_row"), F.max("peak").alias("peak"))
 
 
+@register("str12_silence", over("s", _as_sent("SELECT station_id, event_time AS last_seen, event_time + INTERVAL 60 MINUTE AS silent_from FROM (SELECT station_id, event_time, lead(event_time) OVER (PARTITION BY station_id ORDER BY event_time) AS next FROM s) WHERE next IS NULL OR next - event_time > INTERVAL 60 MINUTE")))
+def str12_silence(spark, d):
+    """Stations that send nothing for an hour, by event-time timers; heartbeats end the silence after the last rows."""
+    path, schema = _broker(spark, d)
+    out, checkpoint = scratch(spark, "silence"), scratch(spark, "silence-checkpoint")
+    topics, before = [WEATHER_TOPIC, AIR_TOPIC], spark.conf.get(silence.STORE[0])
+    silence.with_timers(spark)
+
+    def run():
+        raw = readers.kafka_stream(spark, "broker:9092", topics, fmt="parquet", options={"path": path}, schema=schema)
+        alerts = silence.silence_alerts(S.parse(raw, UNIFIED), 60)
+        S.start(alerts.filter(F.col("station_id") != S.HEARTBEAT), checkpoint, "available-now", path=out).awaitTermination()
+        return alerts.schema
+
+    try:
+        kept = run()
+        last = spark.read.schema(schema).parquet(path).agg((F.max("timestamp") + F.expr("INTERVAL 1 DAY")).cast("string").alias("t")).first()["t"]
+        S.heartbeats(spark, topics, last).write.mode("append").parquet(path)
+        run()
+    finally:
+        spark.conf.set(silence.STORE[0], before)
+    return spark.read.schema(kept).parquet(out)
+
+
 @register("str6", over("s", "SELECT station_id, event_time AS timestamp, latitude, longitude FROM s"))
 def str6(spark, d):
     """Two runs from fresh checkpoints: the second overwrites what the first wrote."""

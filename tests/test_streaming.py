@@ -10,6 +10,7 @@ from aeros.operators.windows import add_changes
 from aeros.plans.base import scratch
 from aeros.sources.versions import VersionedTable
 from aeros.streaming import operators as S
+from aeros.streaming import silence
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -133,3 +134,25 @@ def test_direct_replay_and_routes(spark, tmp_path):
     for number in (0, 0, 1, 0):
         job(df, number)
     assert VersionedTable(spark, good).read().count() == 4 and VersionedTable(spark, bad).read().count() == 2
+
+
+def test_silence(spark, tmp_path):
+    """A gap within a file, one over two files, one that the timer tells before the next row, and a station that stays away."""
+    m = lambda x: T0 + dt.timedelta(minutes=x)
+    made = [("a", 0), ("a", 30), ("b", 0), ("a", 130), ("c", 140), ("c", 200), ("c", 600), ("a", 610), ("c", 640), ("c", 650)]
+    df = spark.createDataFrame([(s, m(t)) for s, t in made], "station_id string, event_time timestamp")
+    before = spark.conf.get(silence.STORE[0])
+    silence.with_timers(spark)
+    try:
+        stream = stream_of(spark, df, tmp_path, 5, "event_time").withWatermark("event_time", "10 minutes")
+        path = str(tmp_path / "out")
+        query = S.start(silence.silence_alerts(stream, 60), str(tmp_path / "checkpoint"), "available-now", path=path)
+        query.awaitTermination()
+        left = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+    finally:
+        spark.conf.set(silence.STORE[0], before)
+    out = spark.read.parquet(path).collect()
+    assert sorted((r["station_id"], r["last_seen"]) for r in out) == [("a", m(30)), ("a", m(130)), ("b", m(0)), ("c", m(200))]
+    assert all(r["silent_from"] - r["last_seen"] == dt.timedelta(minutes=60) for r in out)
+    # the state of b is gone: what is left is of a and c, a value and a timer each with the timer's index
+    assert left <= 6
