@@ -5,7 +5,9 @@ tokens that are suffixes of the prefix (read off an automaton over the vocabular
 one that is compatible with the stored last token of the prefix before it. Following the stored tokens
 backwards from the whole word gives exactly the ids that merging by rank gives, in time linear in the word.
 
-Nulls count as empty text; empty text has no ids. Texts of any length are encoded whole.
+Nulls count as empty text; empty text has no ids. Texts of any length are encoded whole. Each row is encoded by itself,
+so repeated rows and ids give repeated results, and rows without an id are encoded like any other; there are no ties, since
+each prefix has one last token. Columns besides the key and the text play no part; an empty table gives no rows.
 """
 
 from __future__ import annotations

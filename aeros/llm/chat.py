@@ -10,7 +10,8 @@ a 4 x 4 matrix of least costs between roles, the matrices of a conversation are
 repaired between the two roles that the chain chose. One row per turn is returned with its piece of the rendering;
 the pieces of a conversation, in order, are its text. Turns are ordered by turn, role and text, nulls first.
 
-Null roles are unknown ones, null texts are empty. Repeated rows are turns of their own.
+Null roles are unknown ones, null texts are empty, rows without a conversation's id are one conversation. Repeated rows are
+turns of their own. Texts are carried as they are, however long; columns besides the four play no part. An empty table gives no rows.
 """
 
 from __future__ import annotations

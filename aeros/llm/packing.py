@@ -7,6 +7,9 @@ gap) ** 2 becomes smallest. Shards keep the work parallel; a shard wastes only i
 
 A piece opens a new sequence only where it fits into no open one: among the open ones the sums of squares decide.
 
+Pieces of equal length are placed in the order of key, piece and start; of equally good gaps the smallest is filled. An empty table
+gives no pieces.
+
 Null and empty texts are a document of the end token alone. Repeated rows are packed once each, rows without an id like
 any other; the result has the key and the columns above, whatever other columns there are.
 """

@@ -13,7 +13,7 @@ Null and empty texts have all features 0 and get the score of such a text; equal
 rows, and rows without an id are scored like any other. Of labelled rows with equal texts, or of labels of one id, the
 larger label counts. Labelled rows without a text or without a label teach nothing. Without any labelled row, or with one
 class alone, the score is the share of label 1 (0 if none). Whole texts are read, however long, one at a time. Columns to
-keep travel in one struct, so their names are free.
+keep travel in one struct, so their names are free. An empty table of documents gives no scores.
 """
 
 from __future__ import annotations

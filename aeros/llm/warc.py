@@ -13,7 +13,8 @@ the id that they are concurrent to, into one nested row. A payload that its dige
 
 Null html is an empty payload, a null url an empty target. Rows that repeat a page id are each archived; with the same
 payload they are each a response if no smaller id has it. Rows without a page id are archived with an empty id and give
-page_id null. Pages are worked on one at a time, however long; columns other than the three play no part.
+page_id null. Pages are worked on one at a time, however long; columns other than the three play no part. An empty
+table gives no captures.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -62,6 +63,8 @@ def test_bpe_frames(spark):
     back = bpe.decode(bpe.encode(df, WORDS), WORDS).collect()
     assert all(hashlib.sha256(r["decoded"].encode()).hexdigest() == rows[r["doc_id"]]["decoded_sha256"] for r in back)
     assert bpe.digests(df.limit(0), WORDS).count() == 0
+    twice = bpe.digests(df.union(df).withColumns({"n_tokens": F.lit(1), "ids": F.lit(2)}), WORDS).collect()
+    assert sorted(map(str, twice)) == sorted(map(str, [*rows.values()] * 2))
 
 
 def test_byte_codec_matches_library():
@@ -94,6 +97,9 @@ def test_packing(spark):
     total = sum(r["length"] for r in rows)
     assert len(by) <= -(-total // 2048) + 1
     assert packing.pack_documents(df.limit(0), BYTES).count() == 0
+    clashing = packing.pack_documents(df.withColumns({c: F.lit(1) for c in ("piece", "length", "start", "shard", "offset", "sequence_id")}), BYTES).collect()
+    some = lambda found: sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in found)
+    assert some(clashing) == some(rows)
 
 
 def test_sum_of_squares_choice():
@@ -398,6 +404,9 @@ def test_chat_frames(spark):
     assert text(9).count("<|user|>") == 151 and text(9).endswith("<|assistant|>\n<|end|>\n") and text(9).count("<|end|>") == 302
     assert {r["total_cost"] for r in out if r["conv_id"] == 9} == {chat.INSERT}
     assert chat.repaired(df.limit(0)).count() == 0
+    long = spark.createDataFrame([(1, 0, "user", "long text " * 200_000), (None, 0, "user", "x")], df.schema)
+    more = chat.repaired(long.withColumns({c: F.lit(1) for c in ("piece", "stretch", "place", "total_cost")})).collect()
+    assert {len(r["piece"]) > 2_000_000 for r in more} == {True, False} and len(more) == 2
 
 
 def test_pii_probes():
