@@ -43,17 +43,19 @@ def regressor(kind: str, label: str, params: dict | None = None, seed: int = 42)
     return made._set(**{n: v for n, v in ({"seed": seed} | (params or {})).items() if n in known})
 
 
-def _prepared(numeric: list[str], categorical: list[str]) -> list:
+def _prepared(numeric: list[str], categorical: list[str], params: dict | None = None) -> list:
     filled = [f"{n}_imp" for n in numeric]
-    stages = [Imputer(strategy="median", inputCols=numeric, outputCols=filled)]
+    stages = [Imputer(strategy="median", inputCols=numeric, outputCols=filled, relativeError=(params or {}).get("relativeError", 0.001))]
     for c in categorical:
         stages += [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep"), OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_oh", handleInvalid="keep")]
     return [*stages, VectorAssembler(inputCols=filled + [f"{c}_oh" for c in categorical], outputCol="features", handleInvalid="keep")]
 
 
 def pipeline(numeric: list[str], categorical: list[str], label: str, kind: str = "gbt", params: dict | None = None) -> Pipeline:
-    """Median imputer, indexed and one-hot encoded categories (unknown ones kept), assembler, regressor."""
-    return Pipeline(stages=[*_prepared(numeric, categorical), regressor(kind, label, params)])
+    """Median imputer, indexed and one-hot encoded categories (unknown ones kept), assembler, regressor.
+
+    params are the regressor's, and relativeError of the medians' ranks."""
+    return Pipeline(stages=[*_prepared(numeric, categorical, params), regressor(kind, label, params)])
 
 
 def for_model(df: DataFrame, numeric: list[str]) -> DataFrame:
@@ -103,7 +105,7 @@ def train_set(df: DataFrame, target: str, hours: tuple[int, ...], numeric: list[
     rows = for_model(df, numeric).filter(split_label(F.col(ts), train_end, val_end) == "train").select(*dict.fromkeys([*numeric, *categorical]), *[v.alias(c) for c, v in label.items()])
     rows = rows.filter(F.coalesce(*labels.values()).isNotNull())
     fitting = gathered(rows, rows.count()).persist()
-    prepared = Pipeline(stages=_prepared(numeric, list(categorical))).fit(fitting)
+    prepared = Pipeline(stages=_prepared(numeric, list(categorical), params)).fit(fitting)
     vectors = prepared.transform(fitting).select("features", *labels.values()).persist()
 
     def one(h: int) -> tuple[int, PipelineModel]:

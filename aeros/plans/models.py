@@ -1,4 +1,4 @@
-"""Queries of training, scoring and streams. Tests compare those without SQL with batch results."""
+"""Queries of training, scoring and streams. Tests compare those without SQL with batch results; `linear` has the models with SQL."""
 
 from __future__ import annotations
 
@@ -30,8 +30,8 @@ def _trained(spark, d, kind="gbt"):
     return L.train(_frame(spark, d), _TARGET, _NUMERIC, TRAIN_END, VAL_END, kind=kind, params=L.GBT)
 
 
-@register("ml1")
-def ml1(spark, d):
+@register("ml1_plain")
+def ml1_plain(spark, d):
     _, scored = _trained(spark, d, "linear")
     return scored.select("station_id", "timestamp", "split", "prediction")
 
@@ -46,27 +46,27 @@ def ml2(spark, d):
     return out
 
 
-@register("ml4")
-def ml4(spark, d):
+@register("ml4_gbt")
+def ml4_gbt(spark, d):
     return L.importances(*_trained(spark, d))
 
 
-@register("ml5")
-def ml5(spark, d):
+@register("ml5_gbt")
+def ml5_gbt(spark, d):
     _, scored = _trained(spark, d)
     return L.evaluate(scored, _TARGET)
 
 
-@register("ml7")
-def ml7(spark, d):
+@register("ml7_gbt")
+def ml7_gbt(spark, d):
     data, root = scratch(spark, "ml7-curated"), scratch(spark, "ml7")
     _frame(spark, d).write.parquet(data)
     jobs.train_job(spark, data, root, "pm25_h1", _TARGET, _NUMERIC, 1, TRAIN_END, VAL_END, params=L.GBT)
     return jobs.evaluations(spark, root).select("split", "metric_name", "metric_value")
 
 
-@register("ml9")
-def ml9(spark, d):
+@register("ml9_gbt")
+def ml9_gbt(spark, d):
     model, _ = _trained(spark, d)
     data, root, out = scratch(spark, "ml9-curated"), scratch(spark, "ml9"), scratch(spark, "ml9-predictions")
     L.save_version(spark, model, root, "pm25_h1", "r1")
@@ -93,8 +93,8 @@ def ml10(spark, d):
     return jobs.score_all(spark, features(sensor(spark, d)), _registry(spark, d), L.job_matrix())
 
 
-@register("ml12")
-def ml12(spark, d):
+@register("ml12_plain")
+def ml12_plain(spark, d):
     model, _ = _trained(spark, d, "linear")
     path = scratch(spark, "models")
     for _ in range(2):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import models, records, tables
+from . import linear, models, records, tables
 from .base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "models", "records", "tables"]
+__all__ = ["ORACLES", "QUERIES", "linear", "models", "records", "tables"]

@@ -124,7 +124,7 @@ def test_registered_models_have_the_settings(spark, monkeypatch):
 
     monkeypatch.setattr(L, "train", train)
     monkeypatch.setattr(L, "train_set", train_set)
-    for name in ("ml1", "ml2", "ml4", "ml5", "ml7", "ml9", "ml10", "ml12"):
+    for name in ("ml1_plain", "ml2", "ml4_gbt", "ml5_gbt", "ml7_gbt", "ml9_gbt", "ml10", "ml12_plain"):
         with pytest.raises(Seen):
             QUERIES[name](spark, SF)
 
