@@ -38,6 +38,8 @@ HASHES = BANDS * ROWS
 BATCH, MISS = 40, 1e-7
 #: Members and shingles of a block of one bucket; members up to which a bucket's join goes by the bucket alone.
 BLOCK, BLOCK_SHINGLES, SALT = 256, 1 << 18, 4096
+#: Pairs of one pivot that meet one copy of its set.
+PIVOT_PAIRS = 512
 _RNG = np.random.default_rng(7)
 _A = _RNG.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _B = _RNG.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -153,10 +155,22 @@ def sets(df: DataFrame, size: int) -> DataFrame:
     return df.select("text").mapInArrow(tidy(run), "digest binary, signature binary, items binary")
 
 
+def with_sets(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (a, b) with signatures and shingles of both sides and the copy of a's set (`salt`) that a pair meets.
+
+    pairs is a stored table. Where an id is `a` of more than PIVOT_PAIRS pairs, they are dealt over copies of its set.
+    """
+    side = lambda x: found.select(F.col("id").alias(x), F.col("signature").alias(f"{x}_sig"), F.col("items").alias(f"{x}_items"))
+    hot = pairs.groupBy("a").agg(F.ceil(F.count("*") / PIVOT_PAIRS).cast("int").alias("copies")).filter("copies > 1")
+    hot = small(stored(hot, "hot"))
+    copies = F.coalesce("copies", F.lit(1))
+    dealt = pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), copies).cast("int").alias("salt"))
+    pivots = side("a").join(hot, "a", "left").select("a", "a_sig", "a_items", F.explode(F.sequence(F.lit(0), copies - 1)).alias("salt"))
+    return dealt.join(side("b"), "b").join(pivots, ["a", "salt"])
+
+
 def verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets pass: signatures batch by batch, then the full sets."""
-    side = lambda x: found.select(F.col("id").alias(x), F.col("signature").alias(f"{x}_sig"), F.col("items").alias(f"{x}_items"))
-    joined = pairs.join(side("b"), "b").join(side("a"), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -169,7 +183,7 @@ def verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
                         keep.append(int(i))
             yield pa.RecordBatch.from_arrays([b.column("a").take(pa.array(keep, pa.int64())), b.column("b").take(pa.array(keep, pa.int64()))], names=["a", "b"])
 
-    return joined.select("a", "b", "a_sig", "b_sig", "a_items", "b_items").mapInArrow(tidy(run), "a long, b long")
+    return with_sets(pairs, found).select("a", "b", "a_sig", "b_sig", "a_items", "b_items").mapInArrow(tidy(run), "a long, b long")
 
 
 def _root(up: list[int], i: int) -> int:

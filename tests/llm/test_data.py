@@ -61,6 +61,7 @@ def near_copies(seed=3):
 @pytest.mark.parametrize("size,block", [(2, 256), (2, 4), (5, 256)])
 def test_components_match_brute_force(spark, monkeypatch, size, block):
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "PIVOT_PAIRS", 3 if block < 256 else 512)
     docs = near_copies()
     df = spark.createDataFrame([(i, t, "d", i) for i, t in docs], "doc_id long, text string, digest string, band long")
     want = brute_components(docs, size)
@@ -69,6 +70,19 @@ def test_components_match_brute_force(spark, monkeypatch, size, block):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got.values())
 
 
+def test_pairs_of_a_hot_pivot_are_dealt_over_copies_of_its_set(spark):
+    """3000 pairs of one pivot and a few of another: each pair once, no key with many more than PIVOT_PAIRS."""
+    pairs = neardup.stored(spark.range(1, 3001).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b")).union(spark.range(2, 6).selectExpr("1L", "id")), "pairs")
+    found = spark.range(3001).selectExpr("id", "CAST(CAST(id AS STRING) AS BINARY) AS signature", "CAST('x' AS BINARY) AS items")
+    rows = neardup.with_sets(pairs, found).selectExpr("a", "b", "salt", "CAST(a_sig AS STRING) AS x", "CAST(b_sig AS STRING) AS y").collect()
+    assert sorted((r["a"], r["b"]) for r in rows) == sorted([(0, i) for i in range(1, 3001)] + [(1, i) for i in range(2, 6)])
+    assert all((r["x"], r["y"]) == (str(r["a"]), str(r["b"])) for r in rows)
+    per = defaultdict(int)
+    for r in rows:
+        per[r["a"], r["salt"]] += 1
+    assert max(per.values()) <= 1.25 * neardup.PIVOT_PAIRS and per[1, 0] == 4
+
+
 def test_components_edges(spark):
     df = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "a b c"), (2, "a b c")], "doc_id long, text string")
     rows = neardup.components(df, size=2).collect()
