@@ -41,11 +41,27 @@ def interval_join(weather: DataFrame, air: DataFrame, station: str = "station_id
     """Rows of a station whose times lie within the tolerance; unmatched rows come once the watermark has passed them.
 
     Both sides need a watermark on ts. The air side's clashing columns are dropped, its key and time named a_*.
+
+    Times are cut into bins of twice the tolerance, and an air row meets each bin that its tolerance reaches into. So the join is
+    one on (station, bin), whose state and work are dealt out by time too, where a station alone would compare all its rows. In a
+    full join the air rows that meet none come from a second one, in which the weather's times are spread and not theirs.
     """
     clash = [c for c in air.columns if c in weather.columns and c not in (station, ts)]
     a = air.drop(*clash).withColumnsRenamed({station: f"a_{station}", ts: f"a_{ts}"})
-    near = F.expr(f"{station} = a_{station} AND a_{ts} >= {ts} - INTERVAL {tolerance} AND a_{ts} <= {ts} + INTERVAL {tolerance}")
-    return weather.join(a, near, how)
+    length = F.expr(f"greatest(1, 2 * unix_micros(timestamp_micros(0) + INTERVAL {tolerance}))")
+    bin_ = lambda t: F.floor(F.unix_micros(t) / length)
+    one = lambda df, t, name: df.withColumn(name, bin_(F.col(t)))
+    spread = lambda df, t, name: df.withColumn(name, F.explode(F.sequence(*[bin_(F.expr(f"{t} {sign} INTERVAL {tolerance}")) for sign in "-+"])))
+    near = F.expr(f"{station} = a_{station} AND _bin = _a_bin AND a_{ts} >= {ts} - INTERVAL {tolerance} AND a_{ts} <= {ts} + INTERVAL {tolerance}")
+    kind = how.replace("_", "").lower()
+    if kind.startswith("right"):
+        return spread(weather, ts, "_bin").join(one(a, f"a_{ts}", "_a_bin"), near, how).drop("_bin", "_a_bin")
+    full = kind in ("full", "outer", "fullouter")
+    out = one(weather, ts, "_bin").join(spread(a, f"a_{ts}", "_a_bin"), near, "left_outer" if full else how).drop("_bin", "_a_bin")
+    if not full:
+        return out
+    met = one(a, f"a_{ts}", "_a_bin").join(spread(weather.select(station, ts), ts, "_bin"), near, "left_outer")
+    return out.unionByName(met.filter(F.col(ts).isNull()).select(a.columns), allowMissingColumns=True)
 
 
 HEARTBEAT = "heartbeat"

@@ -85,6 +85,22 @@ def test_interval_join(spark, tmp_path):
     assert pairs == {(1.0, 5.0), (2.0, None), (None, 6.0)}
 
 
+@pytest.mark.parametrize("how", ["inner", "left_outer", "right_outer", "full_outer"])
+def test_interval_join_by_time(spark, how):
+    """Pairs as by brute force, with times on the edges of bins and before 1970; the join's keys are the station and a bin."""
+    at = lambda minutes: dt.datetime(1969, 12, 31, 20) + dt.timedelta(minutes=minutes)
+    w = [("ab"[i % 2], at(m)) for i, m in enumerate([0, 15, 29, 30, 45, 200, 215, 240, 241, 255, 400])] + [("a", at(30)), ("b", at(900))]
+    a = [("ab"[i % 2], at(m)) for i, m in enumerate([0, 14, 30, 31, 60, 185, 230, 256, 270, 270, 600])] + [("a", at(15)), ("c", at(30))]
+    pairs = [(x, y) for x in w for y in a if x[0] == y[0] and abs(x[1] - y[1]) <= dt.timedelta(minutes=15)]
+    want = pairs + [(x, (None, None)) for x in w if how in ("left_outer", "full_outer") and all(p[0] != x for p in pairs)]
+    want += [((None, None), y) for y in a if how in ("right_outer", "full_outer") and all(p[1] != y for p in pairs)]
+    frames = [spark.createDataFrame(rows, "station_id string, event_time timestamp") for rows in (w, a)]
+    out = S.interval_join(*frames, how=how)
+    assert sorted(str(((r[0], r[1]), (r[2], r[3]))) for r in out.collect()) == sorted(map(str, want))
+    joins = [line for line in out._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in line]
+    assert joins and all("station_id" in line and "_bin" in line.split("]")[0] for line in joins)
+
+
 def test_sliding(spark, rows, tmp_path):
     s = stream_of(spark, rows, tmp_path).withWatermark("timestamp", "15 minutes")
     got = run(S.sliding_averages(s, "3 hours", "1 hour", ("pm2_5",)), "slide")
