@@ -40,47 +40,49 @@ def split_repeats(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return df.withColumn("error_type", F.when(n > 1, "duplicate_event"))
 
 
-def forward_fill(df: DataFrame, columns: list[str] = SENSORS, station: str = "station_id", ts: str = "timestamp", drop_empty: bool = True, bucket: str | None = None) -> DataFrame:
+def forward_fill(df: DataFrame, columns: list[str] = SENSORS, station: str = "station_id", ts: str = "timestamp", drop_empty: bool = True, bucket: str | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
     """Each null takes the station's last value before it.
 
     bucket (a unit of date_trunc, such as 'month') fills within a station's buckets and carries each bucket's last values
     into the next ones, so that no task sorts a station's whole history; only one row a bucket is ordered by station.
+    ties names columns that order rows of the same time.
     """
     columns = [c for c in columns if c in df.columns]
     last = lambda w: {c: F.last(c, ignorenulls=True).over(w) for c in columns}
     if bucket is None:
-        out = df.withColumns(last(Window.partitionBy(station).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)))
+        out = df.withColumns(last(Window.partitionBy(station).orderBy(ts, *ties).rowsBetween(Window.unboundedPreceding, 0)))
         return any_sensor(out, columns) if drop_empty else out
     cut = df.withColumn("_bucket", F.date_trunc(bucket, ts))
     # rows without a time come before all others, as in the station's order
     when = F.coalesce(F.col(ts), F.lit("0001-01-01").cast("timestamp"))
-    ends = cut.groupBy(station, "_bucket").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), when)).alias(c) for c in columns])
+    at = F.struct(when, *ties) if ties else when
+    ends = cut.groupBy(station, "_bucket").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in columns])
     carried = ends.withColumns(last(Window.partitionBy(station).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)))
     carried = carried.select(F.col(station).alias("_station"), F.col("_bucket").alias("_from"), *[F.col(c).alias(f"_carried_{c}") for c in columns])
-    inside = cut.withColumns(last(Window.partitionBy(station, "_bucket").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)))
+    inside = cut.withColumns(last(Window.partitionBy(station, "_bucket").orderBy(ts, *ties).rowsBetween(Window.unboundedPreceding, 0)))
     joined = inside.join(carried, F.col(station).eqNullSafe(F.col("_station")) & F.col("_bucket").eqNullSafe(F.col("_from")), "left")
     out = joined.withColumns({c: F.coalesce(c, f"_carried_{c}") for c in columns}).select(*df.columns)
     return any_sensor(out, columns) if drop_empty else out
 
 
-def over_buckets(df: DataFrame, compute: Callable[[DataFrame, WindowSpec], DataFrame], bucket: str, before: int = 0, after: int = 0, station: str = "station_id", ts: str = "timestamp") -> DataFrame:
+def over_buckets(df: DataFrame, compute: Callable[[DataFrame, WindowSpec], DataFrame], bucket: str, before: int = 0, after: int = 0, station: str = "station_id", ts: str = "timestamp", ties: tuple[str, ...] = ()) -> DataFrame:
     """compute(df, window) of frames that reach `before` rows back, or `after` rows ahead, as over each station in order of ts,
     but in windows over a station's buckets (a unit of date_trunc), so that no task sorts a station's whole history.
 
     Rows whose frame lies within their bucket are done there. The others, at most before (after) rows a bucket, get a halo: the rows
     next to the bucket, taken from the last (first) rows of the buckets next to it, of which a row a bucket is ordered by
-    station. All parts read one shuffle by station and bucket.
+    station. All parts read one shuffle by station and bucket. ties names columns that order rows of the same time.
     """
     if (before > 0) == (after > 0):
         raise ValueError("frames reach either back or ahead")
     reach, names = before + after, df.columns
-    w = Window.partitionBy(station, "_bucket").orderBy(ts)
+    w = Window.partitionBy(station, "_bucket").orderBy(ts, *ties)
     into, out = (F.lag, F.lead) if before else (F.lead, F.lag)
     # on the near side a row's frame may leave the bucket; the far side is the halo of other buckets
     marked = compute(df.withColumn("_bucket", F.date_trunc(bucket, ts)), w).withColumns({"_within": into(F.lit(True), reach).over(w), "_beyond": out(F.lit(True), reach).over(w)})
     inside = marked.filter("_within").drop("_bucket", "_within", "_beyond")
     edges = marked.filter("_within IS NULL").select(*names, "_bucket", F.lit(True).alias("_own"))
-    far = marked.filter("_beyond IS NULL").groupBy(station, "_bucket").agg(F.array_sort(F.collect_list(F.struct(F.col(ts).alias("_t"), F.struct(*names).alias("r")))).alias("_rows"))
+    far = marked.filter("_beyond IS NULL").groupBy(station, "_bucket").agg(F.array_sort(F.collect_list(F.struct(F.col(ts).alias("_t"), *ties, F.struct(*names).alias("r")))).alias("_rows"))
     near = Window.partitionBy(station).orderBy("_bucket").rowsBetween(*((-reach, -1) if before else (1, reach)))
     joined = F.flatten(F.collect_list("_rows").over(near))
     size = F.size("_halo")
@@ -94,10 +96,11 @@ def _back(value: str, n: int, w, exact: bool) -> Column:
     return F.max(value).over(w.rangeBetween(-n * HOUR, -n * HOUR)) if exact else F.lag(value, n).over(w)
 
 
-def add_changes(df: DataFrame, station: str = "station_id", ts: str = "timestamp", exact_hours: bool = False, null_fill: float | None = None, bucket: str | None = None) -> DataFrame:
+def add_changes(df: DataFrame, station: str = "station_id", ts: str = "timestamp", exact_hours: bool = False, null_fill: float | None = None, bucket: str | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
     """pressure_delta_3h, wind_shear_U, wind_shear_V, temp_mean_6h, pm25_acc_12h over one ordering of each station.
 
     bucket (a unit of date_trunc) works in buckets of a station, with the rows before each; it needs frames of rows.
+    ties names columns that order rows of the same time.
     """
 
     def compute(rows: DataFrame, w: WindowSpec) -> DataFrame:
@@ -114,10 +117,10 @@ def add_changes(df: DataFrame, station: str = "station_id", ts: str = "timestamp
         return rows.withColumns(out)
 
     if bucket is None:
-        return compute(df, Window.partitionBy(station).orderBy(F.unix_timestamp(ts) if exact_hours else F.col(ts)))
+        return compute(df, Window.partitionBy(station).orderBy(F.unix_timestamp(ts) if exact_hours else F.col(ts), *ties))
     if exact_hours:
         raise ValueError("buckets need frames of rows")
-    return over_buckets(df, compute, bucket, before=11, station=station, ts=ts)
+    return over_buckets(df, compute, bucket, before=11, station=station, ts=ts, ties=ties)
 
 
 def add_targets(df: DataFrame, hours: tuple[int, ...] = HORIZONS, station: str = "station_id", ts: str = "timestamp", drop_incomplete: bool = False, exact_hours: bool = False, bucket: str | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -16,6 +16,7 @@ from ..functions.physics import add_physics, add_realtime_features, time_parts
 from ..operators.joins import merge_latest
 from ..operators.projections import canonical_air, canonical_weather, existing
 from ..operators.quality import route
+from ..operators.windows import add_changes, forward_fill
 from ..schemas import OBSERVATION
 from ..sources.seen import SeenStore
 from ..sources.versions import VersionedTable
@@ -24,7 +25,7 @@ LATE, TOLERANCE = "15 minutes", "15 minutes"
 #: Rows of a station that the state keeps: the widest frame.
 KEEP = 12
 CHANGES = ["pressure_delta_3h", "wind_shear_U", "wind_shear_V", "temp_mean_6h", "pm25_acc_12h"]
-_TRACKED = ["pressure", "wind_U", "wind_V", "temp_c", "pm2_5"]
+TRACKED = ["pressure", "wind_U", "wind_V", "temp_c", "pm2_5"]
 
 
 def parse(df: DataFrame, schema: T.StructType, topic: str | None = None, late: str | None = LATE, ts: str = "event_time") -> DataFrame:
@@ -84,7 +85,7 @@ def unify(df: DataFrame, station: str = "station_id", ts: str = "event_time") ->
 
 def changes_of(history: pd.DataFrame, backfill: bool, null_fill: float | None) -> pd.DataFrame:
     """The moving features of one station's rows in order of time."""
-    x = history[_TRACKED].astype(float).ffill()
+    x = history[TRACKED].astype(float).ffill()
     if backfill:
         x = x.bfill()
     out = pd.DataFrame(index=history.index)
@@ -100,32 +101,37 @@ def stateful_changes(df: DataFrame, station: str = "station_id", ts: str = "time
 
     A late row gets its own value from the rows that the state still has and changes later rows from then on; rows already
     given are not given again. backfill lets later rows of a batch fill earlier gaps. A state with a timeout ends
-    after so long without rows.
+    after so long without rows. A station's rows of a micro-batch are held by one task; changes_batch() deals them out by time.
     """
     columns = [c for c in df.columns if c not in CHANGES]
     out_schema = T.StructType([df.schema[c] for c in columns] + [T.StructField(c, T.DoubleType()) for c in CHANGES])
-    state_schema = T.StructType([T.StructField("times", T.ArrayType(T.LongType()))] + [T.StructField(c, T.ArrayType(T.DoubleType())) for c in _TRACKED])
+    state_schema = T.StructType([T.StructField("times", T.ArrayType(T.LongType()))] + [T.StructField(c, T.ArrayType(T.DoubleType())) for c in TRACKED])
 
     def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        new = pd.concat(list(frames), ignore_index=True)
-        new["_t"], new["_new"] = new[ts].astype("int64"), True
-        rows = new
+        # the frames stay as they came, only times and tracked values are sorted
+        given = list(frames)
+        parts = [pd.DataFrame({"_t": f[ts].astype("int64"), "_new": True} | {c: f[c].astype(float) for c in TRACKED}) for f in given]
         if state.exists:
             times, *values = state.get
-            old = pd.DataFrame({"_t": times, "_new": False} | dict(zip(_TRACKED, values)))
-            rows = pd.concat([old, new], ignore_index=True)
-        rows = rows.sort_values(["_t", "_new"], kind="stable", ignore_index=True)
-        features = changes_of(rows, backfill, null_fill)
+            parts.insert(0, pd.DataFrame({"_t": times, "_new": False} | {c: np.array(v, float) for c, v in zip(TRACKED, values)}))
+        rows = pd.concat(parts, ignore_index=True)
+        del parts
+        rows = rows.sort_values(["_t", "_new"], kind="stable")
         last = rows.tail(KEEP)
         clean = lambda c: [None if pd.isna(v) else float(v) for v in last[c]]
-        state.update((last["_t"].astype("int64").tolist(), *[clean(c) for c in _TRACKED]))
+        state.update((last["_t"].astype("int64").tolist(), *[clean(c) for c in TRACKED]))
         if timeout_ms:
             state.setTimeoutDuration(timeout_ms)
-        fresh = rows["_new"].to_numpy(dtype=bool)
-        yield pd.concat([rows.loc[fresh, columns], features.loc[fresh]], axis=1)[[*columns, *CHANGES]]
+        features = changes_of(rows, backfill, null_fill).sort_index()
+        at = len(rows) - sum(map(len, given))
+        while given:
+            f = given.pop(0)
+            own = features.iloc[at : at + len(f)]
+            at += len(f)
+            yield pd.concat([f[columns].reset_index(drop=True), own.reset_index(drop=True)], axis=1)[[*columns, *CHANGES]]
 
     limit = GroupStateTimeout.ProcessingTimeTimeout if timeout_ms else GroupStateTimeout.NoTimeout
     return df.groupBy(station).applyInPandasWithState(run, out_schema, state_schema, "append", limit)
@@ -240,6 +246,44 @@ def fresh_batch(store: SeenStore, path: str) -> Callable[[DataFrame, int], None]
     return run
 
 
+def changes_batch(state: str, job: Callable[[DataFrame, int], None], station: str = "station_id", ts: str = "timestamp", null_fill: float | None = 0.0, bucket: str = "day") -> Callable[[DataFrame, int], None]:
+    """A micro-batch job that adds what stateful_changes() adds, by windows over a station's buckets of time (a unit of
+    date_trunc), and hands the rows to job. No task holds a station's rows of a micro-batch.
+
+    The state, the last KEEP rows of each station by time, is a versioned table under the path `state`. A micro-batch reads
+    what those before it in its stream have left, and leaves its own once job has ended, so a retry gives the same rows.
+    Rows of the same time are ordered by a hash of their columns.
+    """
+
+    def before(spark, stream: str, batch_id: int) -> DataFrame | None:
+        table = VersionedTable(spark, state)
+        mine = {int(e["batch"].rsplit("/", 1)[1]): e["version"] for e in table.log() if e["batch"] and e["batch"].rsplit("/", 1)[0] == stream}
+        past = [n for n in mine if n < batch_id]
+        return table.read(mine[max(past)]) if past else None
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        name, columns = batch_name(df, batch_id), [c for c in df.columns if c not in CHANGES]
+        order = lambda new, at: F.struct(F.lit(new).alias("new"), at.alias("at")).alias("_order")
+        tracked = [F.col(c).cast("double").alias(c) for c in TRACKED]
+        new = df.select(station, ts, *tracked, order(True, F.xxhash64(*columns)), F.struct(*columns).alias("_row")).persist()
+        try:
+            if new.isEmpty():
+                job(new.select("_row.*", *[F.lit(null_fill).cast("double").alias(c) for c in CHANGES]), batch_id)
+                return
+            old = before(df.sparkSession, name.rsplit("/", 1)[0], batch_id)
+            rows = new if old is None else new.unionByName(old.withColumn("_order", order(False, F.col("at"))).drop("at"), allowMissingColumns=True)
+            filled = forward_fill(rows, TRACKED, station, ts, drop_empty=False, bucket=bucket, ties=("_order",))
+            out = add_changes(filled, station, ts, null_fill=null_fill, bucket=bucket, ties=("_order",))
+            job(out.filter("_order.new").select("_row.*", *CHANGES), batch_id)
+            latest = Window.partitionBy(station).orderBy(F.col(ts).desc_nulls_last(), F.col("_order").desc())
+            last = rows.drop("_row").withColumn("at", -F.row_number().over(latest).cast("long")).filter(F.col("at") >= -KEEP)
+            VersionedTable(df.sparkSession, state).replace(last.drop("_order"), name)
+        finally:
+            new.unpersist()
+
+    return run
+
+
 def feature_batch(path: str, score: Callable[[DataFrame], DataFrame] | None = None, alerts_path: str | None = None) -> Callable[[DataFrame, int], None]:
     """A micro-batch job: observations, then scored alerts, both into versioned tables. The first batch of a checkpoint replaces
     their rows, later ones append; a batch that is retried writes only what it had not committed."""

@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
-from aeros.operators.windows import add_changes
+from aeros.operators.windows import add_changes, forward_fill
 from aeros.plans.base import scratch
+from aeros.plans.registry import QUERIES
 from aeros.sources.versions import VersionedTable
 from aeros.streaming import operators as S
 from aeros.streaming import silence
@@ -45,6 +47,39 @@ def test_stateful_changes_match_batch(spark, rows, tmp_path, files):
     assert key(got) == key(want)
 
 
+@pytest.mark.parametrize("files", [1, 4])
+def test_changes_batch(spark, rows, tmp_path, files):
+    """As the batch operator, with gaps to fill, equal times, and a stream that dies between its rows and its state."""
+    v = F.when(F.col("pressure") % 3 > 0, F.col("pressure"))
+    gaps = rows.withColumn("pressure", v).withColumn("timestamp", F.date_trunc("hour", F.col("timestamp") + F.expr("INTERVAL 2 DAYS") * F.floor(F.hour("timestamp") / 8)))
+    gaps = gaps.unionByName(gaps.filter("station_id = 's1' AND hour(timestamp) = 5"))
+    path, state, checkpoint = (str(tmp_path / n) for n in ("out", "state", "checkpoint"))
+    write, seen = S.table_sink(path), set()
+
+    def job(df, batch_id):
+        write(df, batch_id)
+        if batch_id not in seen:
+            seen.add(batch_id)
+            raise RuntimeError("killed before the state")
+
+    stream = stream_of(spark, gaps, tmp_path, files)
+    for _ in range(files):
+        with pytest.raises(Exception, match="killed before the state"):
+            S.start(stream, checkpoint, "available-now", batch=S.changes_batch(state, job)).awaitTermination()
+    S.start(stream, checkpoint, "available-now", batch=S.changes_batch(state, job)).awaitTermination()
+    want = add_changes(forward_fill(gaps, S.TRACKED, drop_empty=False), null_fill=0.0)
+    key = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.select("station_id", "timestamp", *S.CHANGES).collect())
+    assert key(VersionedTable(spark, path).read()) == key(want) and VersionedTable(spark, path).read().select("pressure").filter("pressure IS NULL").count() == gaps.filter("pressure IS NULL").count()
+    assert {r["n"] for r in VersionedTable(spark, state).read().groupBy("station_id").agg(F.count("*").alias("n")).collect()} == {S.KEEP}
+
+
+@pytest.mark.parametrize("name", ["str3"])
+def test_no_task_holds_a_station(spark, monkeypatch, name):
+    """The queries' moving features do not go through a function that gets all rows of a station."""
+    monkeypatch.setattr(S, "stateful_changes", lambda *a, **k: pytest.fail("one task a station"))
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").filter("pm25_acc_12h IS NOT NULL").count() > 0
+
+
 def test_hazard(spark, tmp_path):
     levels = [40, 40, 40, 10, 40, 40, None, 40, 50, 60]
     df = spark.createDataFrame([("a", T0 + dt.timedelta(hours=h, minutes=5), float(v) if v is not None else None) for h, v in enumerate(levels)], "station_id string, timestamp timestamp, pm2_5 double")
