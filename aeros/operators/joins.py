@@ -36,17 +36,19 @@ def within(left: DataFrame, right: DataFrame, seconds: int, key: str = "station_
         raise ValueError(f"how is inner, left or full_outer, not {how!r}")
     clash = [c for c in right.columns if c in left.columns and c not in (key, ts)]
     r = right.drop(*clash).withColumnsRenamed({key: f"a_{key}", ts: f"a_{ts}"})
-    micros = lambda c: F.unix_micros(F.col(c))
-    bin_ = lambda c: F.floor(micros(c) / F.lit(max(1, seconds) * 1_000_000)).cast("long")
-    spread = lambda c: F.explode(F.array(bin_(c) - 1, bin_(c), bin_(c) + 1))
-    near = (F.col(key) == F.col(f"a_{key}")) & (F.abs(micros(ts) - micros(f"a_{ts}")) <= seconds * 1_000_000)
-    wide = r.filter(F.col(f"a_{ts}").isNotNull()).withColumn("_a_bin", spread(f"a_{ts}"))
-    binned = left.withColumn("_bin", bin_(ts))
-    out = binned.join(wide, near & (F.col("_bin") == F.col("_a_bin")), "left" if how != "inner" else "inner").drop("_bin", "_a_bin")
+    # times as numbers are made once a row, not once a pair
+    r = r.withColumn("_a_us", F.unix_micros(F.col(f"a_{ts}").cast("timestamp")))
+    timed = left.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    bin_ = lambda us: F.floor(F.col(us) / F.lit(max(1, seconds) * 1_000_000)).cast("long")
+    spread = lambda us: F.explode(F.array(bin_(us) - 1, bin_(us), bin_(us) + 1))
+    near = (F.col(key) == F.col(f"a_{key}")) & (F.abs(F.col("_us") - F.col("_a_us")) <= seconds * 1_000_000)
+    extra = ("_bin", "_a_bin", "_us", "_a_us")
+    wide = r.filter(F.col(f"a_{ts}").isNotNull()).withColumn("_a_bin", spread("_a_us"))
+    out = timed.withColumn("_bin", bin_("_us")).join(wide, near & (F.col("_bin") == F.col("_a_bin")), "left" if how != "inner" else "inner").drop(*extra)
     if how != "full_outer":
         return out
-    others = left.filter(F.col(ts).isNotNull()).select(key, ts).withColumn("_bin", spread(ts))
-    alone = r.withColumn("_a_bin", bin_(f"a_{ts}")).join(others, near & (F.col("_bin") == F.col("_a_bin")), "left_anti").drop("_a_bin")
+    others = timed.filter(F.col(ts).isNotNull()).select(key, "_us").withColumn("_bin", spread("_us"))
+    alone = r.withColumn("_a_bin", bin_("_a_us")).join(others, near & (F.col("_bin") == F.col("_a_bin")), "left_anti").drop(*extra)
     return out.unionByName(alone, allowMissingColumns=True)
 
 

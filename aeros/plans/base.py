@@ -143,11 +143,12 @@ def settled(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def register(name: str, sql: str | None = None, doubles: str = "") -> Callable:
-    """Register a query; doubles names the columns of its SQL that are rounded like the query's own."""
+def register(name: str, sql: str | None = None, doubles: str = "", settle: bool = True) -> Callable:
+    """Register a query; doubles names the columns of its SQL that are rounded like the query's own. settle=False: the query
+    rounds them itself."""
 
     def keep(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: settled(fn(spark, sf_dir))
+        QUERIES[name] = (lambda spark, sf_dir: settled(fn(spark, sf_dir))) if settle else fn
         if sql:
             rounded = ", ".join(f"round({d}, 6) + 0.0 AS {d}" for d in doubles.split())
             ORACLES[name] = f"SELECT * REPLACE ({rounded}) FROM ({sql})" if rounded else sql

@@ -333,3 +333,12 @@ def test_sketches_merge(spark, tmp_path):
     drift = sketches.sketched_drift(again.between(None, "2024-01-04"), again.between("2024-01-05")).collect()
     assert [r["feature_name"] for r in drift] == ["x"]
     assert drift[0]["psi"] == pytest.approx(aggregates.psi(half(0, 96), half(96, 999), "x", exact=True).first()["psi"], abs=0.01)
+
+
+def test_pairs_are_rounded_before_they_are_made(spark):
+    """jon4_batch: above its joins, where rows are pairs, nothing is rounded or converted."""
+    from aeros.plans.registry import QUERIES
+
+    plan = QUERIES["jon4_batch"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    above = plan.split("Join ")[0]
+    assert "Join " in plan and "round(" in plan and not any(f in above for f in ("round(", "cast(event_time"))
