@@ -8,12 +8,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.joins import within
 from ..sources.versions import VersionedTable
-from .operators import table_sink
+from .operators import HEARTBEAT, table_sink
 
-#: Seconds that a pair's times lie apart at most.
-TOLERANCE_S = 15 * 60
+#: Seconds that a pair's times lie apart at most, and that the watermark stays behind the newest row.
+TOLERANCE_S = LATE_S = 15 * 60
 
 
 def sides_batch(path: str, sides: dict[str, Callable[[DataFrame], DataFrame]]) -> Callable[[DataFrame, int], None]:
@@ -31,3 +33,23 @@ def sides_batch(path: str, sides: dict[str, Callable[[DataFrame], DataFrame]]) -
 def stored(spark: SparkSession, path: str, names: tuple[str, str] = ("weather", "air")) -> list[DataFrame]:
     """The rows that the stream has stored so far, heartbeats too."""
     return [VersionedTable(spark, f"{path}/{n}").read() for n in names]
+
+
+def without_heartbeats(df: DataFrame, station: str = "station_id") -> DataFrame:
+    return df.filter(~F.col(station).eqNullSafe(F.lit(HEARTBEAT)))
+
+
+def watermark(weather: DataFrame, air: DataFrame, late: int = LATE_S, ts: str = "event_time"):
+    """The time up to which both sides are whole: `late` seconds before the newest row of the side that is behind. None where
+    a side has no row."""
+    newest = [df.agg(F.max(ts).alias("t")).select((F.col("t") - F.make_dt_interval(secs=F.lit(late))).alias("t")).first()["t"] for df in (weather, air)]
+    return None if None in newest else min(newest)
+
+
+def joined(weather: DataFrame, air: DataFrame, passed, seconds: int = TOLERANCE_S, station: str = "station_id", ts: str = "event_time") -> DataFrame:
+    """The full join of the rows of both sides within `seconds`; a row that meets none is given once the watermark `passed` has
+    gone by all times that it could meet."""
+    out = within(weather, air, seconds, station, ts)
+    alone = F.unix_micros(F.coalesce(ts, f"a_{ts}").cast("timestamp")) + seconds * 1_000_000
+    gone = F.lit(False) if passed is None else alone < F.unix_micros(F.lit(passed).cast("timestamp"))
+    return out.filter((F.col(ts).isNotNull() & F.col(f"a_{ts}").isNotNull()) | gone)

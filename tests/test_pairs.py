@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from aeros.plans import models
 from aeros.plans.registry import QUERIES
+from aeros.streaming import operators as S
+from aeros.streaming import pairs as P
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -26,7 +28,7 @@ def copies(spark, tmp_path_factory):
     return str(folder), many.count()
 
 
-@pytest.mark.parametrize("name", ["str5"])
+@pytest.mark.parametrize("name", ["str5", "jon4"])
 def test_pairs_are_not_written(spark, copies, tmp_path, monkeypatch, name):
     """What a query of the joined stream leaves on disk grows with the events; pairs are many times more."""
     made = iter(range(1000))
@@ -35,3 +37,23 @@ def test_pairs_are_not_written(spark, copies, tmp_path, monkeypatch, name):
     pairs = QUERIES[name](spark, folder).count()
     written = sum(pq.read_metadata(f).num_rows for f in tmp_path.rglob("*.parquet") if "registry" not in str(f))
     assert pairs > 5 * events and written <= 3 * events
+
+
+def test_stored_join(spark, tmp_path):
+    """Rows alone come once the watermark has passed all that they could meet, late rows find theirs, a batch that is retried
+    adds nothing, heartbeats are no rows."""
+    at = lambda minutes: T0 + dt.timedelta(minutes=minutes)
+    batches = [[("a", 0, 1.0, "w"), ("a", 14, 5.0, "a"), ("b", 3, 7.0, "a")], [("a", 100, 2.0, "w"), ("a", 130, 6.0, "a")], [("b", 18, 3.0, "w"), ("a", 115, 8.0, "a"), (None, 5, 9.0, "w")]]
+    batches += [[(S.HEARTBEAT, 2000, None, "w"), (S.HEARTBEAT, 2000, None, "a")]]
+    side = lambda kind, name: lambda df: df.filter(f"kind = '{kind}'").select("station_id", "event_time", F.col("x").alias(name))
+    job, seen = P.sides_batch(str(tmp_path / "sides"), {"weather": side("w", "temp_c"), "air": side("a", "pm2_5")}), []
+    for number, rows in enumerate(batches):
+        df = spark.createDataFrame([(s, at(m), x, k) for s, m, x, k in rows], "station_id string, event_time timestamp, x double, kind string")
+        job(df, number), job(df, number)
+        stored = P.stored(spark, str(tmp_path / "sides"))
+        out = P.joined(*(P.without_heartbeats(s) for s in stored), P.watermark(*stored))
+        seen.append({(r["station_id"], r["temp_c"], r["pm2_5"]) for r in out.collect()} if out.count() == out.distinct().count() else None)
+    met = {("a", 1.0, 5.0)}
+    assert seen[0] == met and seen[1] == met | {(None, None, 7.0)}
+    assert seen[2] == met | {("a", 2.0, 8.0), ("b", 3.0, 7.0), (None, 9.0, None)}
+    assert seen[3] == seen[2] | {(None, None, 6.0)}
