@@ -40,17 +40,17 @@ def split_repeats(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return df.withColumn("error_type", F.when(n > 1, "duplicate_event"))
 
 
-def forward_fill(df: DataFrame, columns: list[str] = SENSORS, station: str = "station_id", ts: str = "timestamp", drop_empty: bool = True, bucket: str | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
+def forward_fill(df: DataFrame, columns: list[str] = SENSORS, station: str = "station_id", ts: str = "timestamp", drop_empty: bool = True, bucket: str | None = None, ties: tuple[str, ...] = (), parts: tuple[str, ...] = ()) -> DataFrame:
     """Each null takes the station's last value before it.
 
     bucket (a unit of date_trunc, such as 'month') fills within a station's buckets and carries each bucket's last values
     into the next ones, so that no task sorts a station's whole history; only one row a bucket is ordered by station.
-    ties names columns that order rows of the same time.
+    ties names columns that order rows of the same time; parts, without a bucket, columns that part a station's rows too.
     """
     columns = [c for c in columns if c in df.columns]
     last = lambda w: {c: F.last(c, ignorenulls=True).over(w) for c in columns}
     if bucket is None:
-        out = df.withColumns(last(Window.partitionBy(station).orderBy(ts, *ties).rowsBetween(Window.unboundedPreceding, 0)))
+        out = df.withColumns(last(Window.partitionBy(station, *parts).orderBy(ts, *ties).rowsBetween(Window.unboundedPreceding, 0)))
         return any_sensor(out, columns) if drop_empty else out
     cut = df.withColumn("_bucket", F.date_trunc(bucket, ts))
     # rows without a time come before all others, as in the station's order
@@ -96,11 +96,11 @@ def _back(value: str, n: int, w, exact: bool) -> Column:
     return F.max(value).over(w.rangeBetween(-n * HOUR, -n * HOUR)) if exact else F.lag(value, n).over(w)
 
 
-def add_changes(df: DataFrame, station: str = "station_id", ts: str = "timestamp", exact_hours: bool = False, null_fill: float | None = None, bucket: str | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
+def add_changes(df: DataFrame, station: str = "station_id", ts: str = "timestamp", exact_hours: bool = False, null_fill: float | None = None, bucket: str | None = None, ties: tuple[str, ...] = (), parts: tuple[str, ...] = ()) -> DataFrame:
     """pressure_delta_3h, wind_shear_U, wind_shear_V, temp_mean_6h, pm25_acc_12h over one ordering of each station.
 
     bucket (a unit of date_trunc) works in buckets of a station, with the rows before each; it needs frames of rows.
-    ties names columns that order rows of the same time.
+    ties names columns that order rows of the same time; parts, without a bucket, columns that part a station's rows too.
     """
 
     def compute(rows: DataFrame, w: WindowSpec) -> DataFrame:
@@ -117,7 +117,7 @@ def add_changes(df: DataFrame, station: str = "station_id", ts: str = "timestamp
         return rows.withColumns(out)
 
     if bucket is None:
-        return compute(df, Window.partitionBy(station).orderBy(F.unix_timestamp(ts) if exact_hours else F.col(ts), *ties))
+        return compute(df, Window.partitionBy(station, *parts).orderBy(F.unix_timestamp(ts) if exact_hours else F.col(ts), *ties))
     if exact_hours:
         raise ValueError("buckets need frames of rows")
     return over_buckets(df, compute, bucket, before=11, station=station, ts=ts, ties=ties)

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,17 +130,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def settle(f: T.StructField) -> Column:
+    """The column for comparison: doubles to six places, times without a zone."""
+    c = F.col(f"`{f.name}`")
+    if f.dataType == T.DoubleType():
+        return F.round(c, 6) + F.lit(0.0)
+    return c.cast("timestamp_ntz") if f.dataType == T.TimestampType() else c
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """For comparison: doubles to six places, times without a zone."""
-    out = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if f.dataType == T.DoubleType():
-            c = F.round(c, 6) + F.lit(0.0)
-        elif f.dataType == T.TimestampType():
-            c = c.cast("timestamp_ntz")
-        out.append(c.alias(f.name))
-    return df.select(*out)
+    return df.select(*[settle(f).alias(f.name) for f in df.schema.fields])
 
 
 def register(name: str, sql: str | None = None, doubles: str = "", settle: bool = True) -> Callable:

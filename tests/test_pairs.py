@@ -8,12 +8,24 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from aeros.operators.joins import within
+from aeros.operators.windows import add_changes, forward_fill
 from aeros.plans import models
 from aeros.plans.registry import QUERIES
 from aeros.streaming import operators as S
 from aeros.streaming import pairs as P
 
 T0 = dt.datetime(2024, 1, 1)
+WEATHER = "station_id string, timestamp timestamp, temp_c double, pressure double, wind_U double, wind_V double"
+AIR = "station_id string, event_time timestamp, pm2_5 double"
+
+
+def at(minutes):
+    return T0 + dt.timedelta(minutes=minutes)
+
+
+def text(df, columns):
+    return sorted(tuple("NULL" if v is None else repr(round(v, 9)) if isinstance(v, float) else str(v) for v in r) for r in df.select(*columns).collect())
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +40,7 @@ def copies(spark, tmp_path_factory):
     return str(folder), many.count()
 
 
-@pytest.mark.parametrize("name", ["str5", "jon4"])
+@pytest.mark.parametrize("name", ["str5", "jon4", "str5_features"])
 def test_pairs_are_not_written(spark, copies, tmp_path, monkeypatch, name):
     """What a query of the joined stream leaves on disk grows with the events; pairs are many times more."""
     made = iter(range(1000))
@@ -42,7 +54,6 @@ def test_pairs_are_not_written(spark, copies, tmp_path, monkeypatch, name):
 def test_stored_join(spark, tmp_path):
     """Rows alone come once the watermark has passed all that they could meet, late rows find theirs, a batch that is retried
     adds nothing, heartbeats are no rows."""
-    at = lambda minutes: T0 + dt.timedelta(minutes=minutes)
     batches = [[("a", 0, 1.0, "w"), ("a", 14, 5.0, "a"), ("b", 3, 7.0, "a")], [("a", 100, 2.0, "w"), ("a", 130, 6.0, "a")], [("b", 18, 3.0, "w"), ("a", 115, 8.0, "a"), (None, 5, 9.0, "w")]]
     batches += [[(S.HEARTBEAT, 2000, None, "w"), (S.HEARTBEAT, 2000, None, "a")]]
     side = lambda kind, name: lambda df: df.filter(f"kind = '{kind}'").select("station_id", "event_time", F.col("x").alias(name))
@@ -57,3 +68,50 @@ def test_stored_join(spark, tmp_path):
     assert seen[0] == met and seen[1] == met | {(None, None, 7.0)}
     assert seen[2] == met | {("a", 2.0, 8.0), ("b", 3.0, 7.0), (None, 9.0, None)}
     assert seen[3] == seen[2] | {(None, None, 6.0)}
+
+
+def sides(spark, seed):
+    """Rows of three stations over two days: crowded and empty half hours, equal times, gaps, and measures that stay away."""
+    import random
+
+    r = random.Random(seed)
+    some = lambda v, p: None if r.random() < p else float(v)
+    times = [m for m in range(0, 2880, 7) if m % 720 < 400]
+    w = [(s, at(m), some(r.randrange(30), 0.3), some(1000 + r.randrange(20), 0.2), some(r.randrange(9), 0.9), some(r.randrange(9), 0.0)) for s in "abc" for m in times for _ in range(r.choice([0, 1, 1, 3]))]
+    w += [("c", at(5000 + 31 * i), None, None, 1.0, None) for i in range(40)] + [("a", at(-31), 1.0, 2.0, 3.0, 4.0)]
+    a = [(s, at(m + r.randrange(6)), some(r.randrange(50), 0.4)) for s in "abd" for m in times if r.random() < 0.6] + [("c", at(5000 + 31 * i), None) for i in range(40)]
+    return spark.createDataFrame(w, WEATHER), spark.createDataFrame(a, AIR)
+
+
+@pytest.mark.parametrize("task_rows", [50, 10**6])
+def test_pair_changes(spark, tmp_path, task_rows):
+    """As the batch operators over all pairs of a station, ties by the same hash."""
+    w, a = sides(spark, task_rows)
+    columns = ["station_id", "timestamp", "temp_c", "pressure", "wind_U", "wind_V", "pm2_5"]
+    pairs = within(w, a.withColumnRenamed("event_time", "timestamp"), P.TOLERANCE_S, ts="timestamp", how="inner").select(*columns)
+    rows = pairs.withColumns({"tie": F.xxhash64(*columns), "raw": F.struct(*S.TRACKED)})
+    want = add_changes(forward_fill(rows, S.TRACKED, drop_empty=False, ties=("tie",)), null_fill=0.0, ties=("tie",)).select("station_id", "timestamp", "raw.*", *S.CHANGES)
+    out = P.pair_changes(w, a, str(tmp_path / "ends"), columns, task_rows=task_rows)
+    names = ["station_id", "timestamp", *S.TRACKED, *S.CHANGES]
+    assert out.columns == [*columns, *S.CHANGES] and out.count() > 1000 and text(out, names) == text(want, names)
+
+
+def test_pairs_are_not_shuffled(spark, tmp_path):
+    """Above the join that makes the pairs there is no exchange, and the few rows a bin that it reads besides are stored."""
+    w, a = sides(spark, 1)
+    out = P.pair_changes(w, a, str(tmp_path / "ends"), ["station_id", "timestamp", "temp_c", "pressure", "wind_U", "wind_V", "pm2_5"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan.split("Join")[0] and "Exchange" not in plan.split("Join")[0]
+    bins = w.join(a.withColumnRenamed("event_time", "t"), "station_id").select("station_id", F.floor(F.unix_timestamp("timestamp") / 1800)).distinct().count()
+    assert spark.read.parquet(str(tmp_path / "ends/ends")).count() <= S.KEEP * bins
+
+
+def test_pairs_of_features_are_rounded_before_they_are_made(spark):
+    """str5_features: above the join, where rows are pairs, only the moving features are rounded."""
+    plan = QUERIES["str5_features"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join " in plan and plan.split("Join ")[0].count("round(") == len(S.CHANGES) < plan.count("round(")
+
+
+def test_pair_changes_of_nothing(spark, tmp_path):
+    w, a = sides(spark, 2)
+    assert P.pair_changes(w, a.filter("station_id = 'd'"), str(tmp_path / "ends"), ["station_id", "timestamp", "pm2_5"]).count() == 0
